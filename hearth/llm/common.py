@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(module: str) -> None:
+    """Send a module's functions to the workers by value, so that executors need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+ship(__name__)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named input table, through Spark's reader only (any store Spark can open works)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,7 +49,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordB
 
     Keeps the working set of a Python worker bounded whatever the batch size setting and however long a text is.
     """
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     begin, held = 0, 0
     for i, n in enumerate(sizes):
         if held and held + n > most:
@@ -47,6 +58,3 @@ def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordB
         held += n + 64
     if begin < batch.num_rows:
         yield batch.slice(begin)
-
-
-import pyarrow.compute  # noqa: E402,F401  (binds pa.compute)

@@ -5,6 +5,115 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from hearth.llm import chat_format, mixing, topk, url_filter
+from hearth.llm.common import cut, table
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    out = chat_format.format_chats(turns)
+    read = out.select(
+        "conv_id", "n_groups", "formatted",
+        chat_format.parse_turns(F.col("formatted")).alias("turns"),
+        F.concat_ws("", chat_format.under_mask(F.col("formatted"), F.col("mask"))).alias("loss"),
+    )
+    whole = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "n_groups",
+    )
+
+
+OP4_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), o AS (
+  SELECT *, row_number() OVER w AS k, coalesce(lag(role) OVER w <> role, true) AS opens,
+    length(role) + length(regexp_replace(role, '[^\\<\[]', '', 'g')) AS role_n,
+    length(text) + length(regexp_replace(text, '[^\\<\[]', '', 'g')) AS text_n
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(text_n + CASE WHEN opens THEN role_n + length('<|role|><|text|><|end|>') ELSE length('<|next|>') END)::BIGINT AS formatted_chars,
+  count(*) FILTER (opens) AS n_groups
+FROM o GROUP BY conv_id
+"""
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = cut(spark, docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")))
+    targets = cut(spark, mixing.source_targets(sized))
+    mixed = mixing.with_copies(sized, targets)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s
+), l AS (
+  SELECT *, row_number() OVER o AS place,
+    ((sum(source_size) OVER ())::BIGINT - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)::DOUBLE
+      / (sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+  FROM w WINDOW o AS (ORDER BY (3 * source_size)::DOUBLE / weight, source NULLS LAST)
+), f AS (SELECT min_by(level, place) AS level FROM l WHERE level * weight <= (3 * source_size)::DOUBLE),
+t AS (
+  SELECT source, source_size, least((3 * source_size)::DOUBLE, coalesce(f.level, 0) * weight) AS target FROM l, f
+), r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM (
+  SELECT doc_id, size, source_size, target,
+    floor(rate)::BIGINT + (CASE WHEN ('0x' || substr(md5('11:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END) AS copies
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+"""
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
+    return topk.top_k(rows, rows.where(F.col("vec_id") % 100 == 0), 10)
+
+
+OP7_SQL = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.fit(spark))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_chat_format": op4_chat_format,
+    "op5_mixing": op5_mixing,
+    "op7_topk": op7_topk,
+    "op10_url_filter": op10_url_filter,
+}
+ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_mixing": OP5_SQL, "op7_topk": OP7_SQL}
