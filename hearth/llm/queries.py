@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import chat_format, mixing, topk, url_filter
+from hearth.llm import chat_format, mixing, pii, topk, toxicity, url_filter
 from hearth.llm.common import cut, table
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_hits")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"),
@@ -106,14 +114,21 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
 """
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.fit(spark))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op4_chat_format": op4_chat_format,
     "op5_mixing": op5_mixing,
     "op7_topk": op7_topk,
+    "op8_pii": op8_pii,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_mixing": OP5_SQL, "op7_topk": OP7_SQL}
