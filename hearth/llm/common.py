@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,6 +45,11 @@ def cut(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, for a dataset that is written and read back."""
+    return f"{checkpoint_dir(spark)}/hearth-{name}-{uuid.uuid4().hex}"
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Consecutive row slices of a batch whose texts hold about ``most`` bytes together (one row at least).
 

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import chat_format, mixing, pii, topk, toxicity, url_filter
-from hearth.llm.common import cut, table
+from hearth.llm import chat_format, mixing, pii, token_blocks, topk, toxicity, url_filter
+from hearth.llm.common import cut, table, work_path
+
+
+def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "tokens")
+    token_blocks.write(token_blocks.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), path)
+    return token_blocks.decode(token_blocks.read(spark, path))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +131,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_blocks": op2_token_blocks,
     "op3_toxicity": op3_toxicity,
     "op4_chat_format": op4_chat_format,
     "op5_mixing": op5_mixing,
