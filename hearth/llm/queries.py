@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import chat_format, mixing, pii, token_blocks, topk, toxicity, url_filter
+from hearth.llm import chat_format, mixing, near_dedup, pii, token_blocks, topk, toxicity, url_filter
 from hearth.llm.common import cut, table, work_path
 
 
@@ -126,6 +126,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(spark, table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.fit(spark))
 
@@ -137,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op7_topk": op7_topk,
     "op8_pii": op8_pii,
+    "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_mixing": OP5_SQL, "op7_topk": OP7_SQL}
