@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import chat_format, mixing, near_dedup, pii, token_blocks, topk, toxicity, url_filter
+from hearth.llm import chat_format, mixing, near_dedup, pii, suffix_dedup, token_blocks, topk, toxicity, url_filter
 from hearth.llm.common import cut, table, work_path
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(spark, table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "tokens")
     token_blocks.write(token_blocks.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), path)
@@ -135,6 +139,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_blocks": op2_token_blocks,
     "op3_toxicity": op3_toxicity,
     "op4_chat_format": op4_chat_format,
