@@ -163,7 +163,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     """Log factors: ``node`` by shape (5 labels), ``chain`` and ``skip`` (5 x 5)."""
-    sample = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    # The ids are picked first, so that no text is sorted; at most sample_rows ids bound the broadcast.
+    picked = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     counted = sample.select("text").mapInArrow(_counts, "factor string, shape string, a int, b int, n long")
     rows = counted.groupBy("factor", "shape", "a", "b").agg(F.sum("n").alias("n")).collect()
     n = 1 + len(KINDS)

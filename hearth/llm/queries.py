@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import chat_format, mixing, near_dedup, pii, suffix_dedup, token_blocks, topk, toxicity, url_filter
+from hearth.llm import chat_format, decontaminate, mixing, near_dedup, pii, suffix_dedup, token_blocks, topk, toxicity, url_filter
 from hearth.llm.common import cut, table, work_path
 
 
@@ -107,6 +107,10 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM (
 """
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
     return topk.top_k(rows, rows.where(F.col("vec_id") % 100 == 0), 10)
@@ -144,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_chat_format": op4_chat_format,
     "op5_mixing": op5_mixing,
+    "op6_decontaminate": op6_decontaminate,
     "op7_topk": op7_topk,
     "op8_pii": op8_pii,
     "op9_near_dedup": op9_near_dedup,
