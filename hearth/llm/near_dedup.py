@@ -176,11 +176,10 @@ def classes(
 def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class: the first by (doc_id, text); columns are kept as they are."""
     found = classes(spark, docs, **options)
-    # The kept row of a class, named by its id and text; repeated rows of it count once.
-    fp = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    class_key = F.coalesce(F.col("class_id").cast("string"), F.hex("fp"))
-    best = found.groupBy(class_key.alias("c")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("k")).select("k.doc_id", "k.fp")
-    marked = docs.withColumn("_fp", fp)
-    b = best.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_kept"))
-    kept = marked.join(b, marked["doc_id"].eqNullSafe(b["_id"]) & (marked["_fp"] == b["_kept"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_fp"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = lambda doc_id, fp: F.unhex(F.md5(F.concat_ws(":", F.hex(fp), F.coalesce(doc_id.cast("string"), F.lit("null")))))
+    group = F.coalesce(F.col("class_id").cast("string"), F.hex("fp"))
+    best = found.groupBy(group.alias("c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("k"))
+    kept = best.select(name(F.col("k.doc_id"), F.col("k.fp")).alias("_row"))
+    marked = docs.withColumn("_row", name(F.col("doc_id"), F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))))
+    # Rows that repeat id and text are one document.
+    return marked.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])

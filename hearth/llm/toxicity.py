@@ -188,3 +188,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, n_hits long")
+
+
+def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose score is below the limit, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = model.automaton()
+        for batch in batches:
+            for part in slices(batch, "text", 8 << 20):
+                x = [density(t, automaton)[0] for t in part.column("text").to_pylist()]
+                yield part.filter(pa.array([1 / (1 + math.exp(-max(-500.0, min(500.0, model.intercept + model.slope * v)))) < limit for v in x], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
