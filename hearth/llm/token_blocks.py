@@ -43,8 +43,8 @@ from hearth.llm.common import ship, slices
 ship(__name__)
 
 BLOCK_TOKENS = 1 << 20
-LANES = 1024
-CACHED = 400_000
+LANES = 2048
+CACHED = 300_000
 _TOTAL, _ZERO = 24, 18  # bits of the whole distribution and of the order-0 table
 _LEVELS, _HASH = 16, 1 << 18
 _LOW32 = np.uint64(0xFFFFFFFF)
@@ -70,87 +70,113 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Words after a space are encoded many at once: the tokenizer splits their concatenation just there."""
+        plain = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        known = set(plain)
+        rest = [p for p in pieces if p not in known]
+        self.pieces.update(zip(rest, self._library(rest), strict=True))
+        for i in range(0, len(plain), 1000):
+            some = plain[i : i + 1000]
+            found = self.tokenizer.encode("".join(some), add_special_tokens=False)
+            ids, word = np.array(found.ids, "<u4"), np.array(found.word_ids)
+            cuts = np.searchsorted(word, np.arange(len(some) + 1)) * 4
+            flat = ids.tobytes()
+            if cuts[-1] != len(flat) or word[-1] != len(some) - 1:
+                self.pieces.update(zip(some, self._library(some), strict=True))
+            else:
+                self.pieces.update((p, flat[a:b]) for p, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         whole = [t is not None and _OTHER.search(t) is not None for t in texts]
         split = [None if w else _PIECE.findall(t or "") for t, w in zip(texts, whole, strict=True)]
         if len(self.pieces) > CACHED:
             self.pieces.clear()
         new = sorted(set().union(*(p for p in split if p)) - self.pieces.keys())
-        self.pieces.update(zip(new, self._library(new), strict=True))
+        self._learn(new)
         other = iter(self._library([t for t, w in zip(texts, whole, strict=True) if w]))
         get = self.pieces.__getitem__
         return [np.frombuffer((next(other) if w else b"".join(map(get, p))) + self.end, "<u4") for p, w in zip(split, whole, strict=True)]
 
 
+def encoder(path: str, end_id: int | None = 2) -> Encoder:
+    """One encoder for each worker process and tokenizer; it outlives the task, with its pieces."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_hearth_encoders", {})
+    if (path, end_id) not in kept:
+        kept[path, end_id] = Encoder(path, end_id)
+    return kept[path, end_id]
+
+
 # ---------------------------------------------------------------- model and coder
 
 
 class _Model:
-    """Predictions of the next symbol of every lane; taught with the symbols of all lanes at once."""
+    """Predictions of the next symbol of every lane; taught with the symbols of all lanes at once.
+
+    A prediction and its confidence share a number (prediction * 16 + confidence).  Counts and hit rates are brought up to
+    date at every step at first, then at every 16th.
+    """
 
     def __init__(self, symbols: int, lanes: int, inverse: bool):
         self.n, self.inverse, self.step = symbols, inverse, 0
         self.count = np.ones(symbols, np.int64)
-        self.one, self.one_c = np.zeros(symbols, np.int64), np.zeros(symbols, np.int64)
-        self.two, self.two_c = np.zeros(_HASH, np.int64), np.zeros(_HASH, np.int64)
+        self.one, self.two = np.zeros(symbols, np.int32), np.zeros(_HASH, np.int32)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.hits, self.seen = np.ones((2, _LEVELS)), np.full((2, _LEVELS), 4.0)
-        self.waiting: list[np.ndarray] = []
-        self._refresh()
+        # (missed, hit) by confidence, for order 2 and, where order 2 was another id and missed, for order 1.
+        self.tally = np.tile(np.array([3.0, 1.0]), (2, _LEVELS, 1))
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def _refresh(self) -> None:
         if self.waiting:
-            self.count += np.bincount(np.concatenate(self.waiting), minlength=self.n)
+            seen, two, one = (np.concatenate(x) for x in zip(*self.waiting, strict=True))
+            self.count += np.bincount(seen, minlength=self.n)
+            self.tally[0] += np.bincount(two, minlength=2 * _LEVELS).reshape(_LEVELS, 2)
+            self.tally[1] += np.bincount(one, minlength=2 * _LEVELS + 1)[: 2 * _LEVELS].reshape(_LEVELS, 2)
             self.waiting = []
         room = (1 << _ZERO) - self.n
-        total = int(self.count.sum())
-        freq = 1 + self.count * room // total
+        freq = 1 + self.count * room // int(self.count.sum())
         freq[int(self.count.argmax())] += (1 << _ZERO) - int(freq.sum())
         self.cum = np.zeros(self.n + 1, np.int64)
         np.cumsum(freq, out=self.cum[1:])
         if self.inverse:
-            self.slot = np.repeat(np.arange(self.n), freq)
+            self.slot = np.repeat(np.arange(self.n, dtype=np.int32), freq)
+        rate = np.minimum(self.tally[:, :, 1] / self.tally.sum(axis=2), 0.97)
+        self.whole = (1 << _TOTAL) - (1 << 20)
+        self.share2 = (self.whole * rate[0]).astype(np.int64)
+        self.share1 = (rate[1] * 1024).astype(np.int64)
 
     def predict(self) -> None:
         if self.step < 32 or self.step % 16 == 0:
             self._refresh()
-        rate = np.minimum(self.hits / self.seen, 0.97)
         self.h = (self.last * 40503 + self.before * 12289 + (self.before >> 7)) & (_HASH - 1)
-        self.p2, self.c2 = self.two[self.h], self.two_c[self.h]
-        self.p1, self.c1 = self.one[self.last], self.one_c[self.last]
-        whole = float((1 << _TOTAL) - (1 << 20))
-        share2 = (whole * rate[0]).astype(np.int64)
-        self.a = share2[self.c2]
-        second = (rate[1] * 1024).astype(np.int64)[self.c1]
-        self.b = ((int(whole) - self.a) * second >> 10) * (self.p1 != self.p2)
-        self.ab = self.a + self.b
+        self.t2, self.t1 = self.two.take(self.h), self.one.take(self.last)
+        self.p2, self.p1, self.c2, self.c1 = self.t2 >> 4, self.t1 >> 4, self.t2 & 15, self.t1 & 15
+        self.other = self.p1 != self.p2
+        self.a = self.share2.take(self.c2)
+        self.ab = self.a + ((self.whole - self.a) * self.share1.take(self.c1) >> 10) * self.other
         self.rest = (1 << _TOTAL) - self.ab
 
     def interval(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of the symbols' parts of the distribution."""
-        low = self.cum[s] * self.rest >> _ZERO
-        size = (self.cum[s + 1] * self.rest >> _ZERO) - low
-        is2, is1 = s == self.p2, s == self.p1
-        start = np.where(is2, 0, np.where(is1, self.a, self.ab + low))
-        return start, np.where(is2, self.a, np.where(is1, self.b, size))
+        low = self.cum.take(s) * self.rest >> _ZERO
+        high = self.cum[1:].take(s) * self.rest >> _ZERO
+        self.is2, self.is1 = s == self.p2, s == self.p1
+        start = np.where(self.is2, 0, np.where(self.is1, self.a, self.ab + low))
+        return start, np.where(self.is2, self.a, np.where(self.is1, self.ab - self.a, high - low))
 
     def symbol(self, t: np.ndarray) -> np.ndarray:
         u = np.maximum(t - self.ab, 0)
         v = (((u + 1) << _ZERO) - 1) // self.rest
-        return np.where(t < self.a, self.p2, np.where(t < self.ab, self.p1, self.slot[v]))
+        return np.where(t < self.a, self.p2, np.where(t < self.ab, self.p1, self.slot.take(v)))
 
     def teach(self, s: np.ndarray) -> None:
-        is2, is1 = s == self.p2, s == self.p1
-        fresh = ~is2 & (self.p1 != self.p2)
-        self.hits[0] += np.bincount(self.c2[is2], minlength=_LEVELS)
-        self.seen[0] += np.bincount(self.c2, minlength=_LEVELS)
-        self.hits[1] += np.bincount(self.c1[fresh & is1], minlength=_LEVELS)
-        self.seen[1] += np.bincount(self.c1[fresh], minlength=_LEVELS)
-        self.two[self.h] = np.where(is2 | (self.c2 > 1), self.p2, s)
-        self.two_c[self.h] = np.where(is2, np.minimum(self.c2 + 1, _LEVELS - 1), self.c2 >> 1)
-        self.one[self.last] = np.where(is1 | (self.c1 > 1), self.p1, s)
-        self.one_c[self.last] = np.where(is1, np.minimum(self.c1 + 1, _LEVELS - 1), self.c1 >> 1)
-        self.waiting.append(s)
+        is2, is1, c2, c1 = self.is2, self.is1, self.c2, self.c1
+        self.waiting.append((s, c2 * 2 + is2, np.where(is2 < self.other, c1 * 2 + is1, 2 * _LEVELS)))
+        fresh = s << 4
+        self.two[self.h] = np.where(is2, self.t2 + (c2 < 15), np.where(c2 > 1, self.t2 - c2 + (c2 >> 1), fresh))
+        self.one[self.last] = np.where(is1, self.t1 + (c1 < 15), np.where(c1 > 1, self.t1 - c1 + (c1 >> 1), fresh))
         self.before, self.last = self.last, s
         self.step += 1
 
@@ -266,7 +292,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 2, block_tokens:
     """``part, block, n_docs, n_tokens, payload`` in ascending order of ``doc_id`` over (part, block)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, block = Encoder(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
+        encode_texts, part, block = encoder(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
         held_docs: list = []
         held_ids: list = []
         held = 0
@@ -279,7 +305,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 2, block_tokens:
 
         for batch in batches:
             for piece in slices(batch, "text", 4 << 20):
-                for doc, ids in zip(piece.column("doc_id").to_pylist(), encoder(piece.column("text").to_pylist()), strict=True):
+                for doc, ids in zip(piece.column("doc_id").to_pylist(), encode_texts(piece.column("text").to_pylist()), strict=True):
                     held_docs.append(doc)
                     held_ids.append(ids)
                     held += len(ids)
