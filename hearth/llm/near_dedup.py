@@ -8,11 +8,13 @@ kept.  Where coordinates stay empty the bound is doubled.  Two texts agree in a
 their weighted Jaccard similarity (sum of minima by sum of maxima).
 
 Bands of rows of the signature form buckets.  Texts that are equal are collapsed first.  In a bucket every text is
-compared with the least one; a pair is a link if its exact similarity reaches the threshold.  Where the links leave
-one bucket in several components, all its pairs between components are compared too, but for those that the triangle
-inequality of the Jaccard distance (through the bucket's least text) rules out.  Classes are the connected
-components of the links.  So no pair that shares a bucket is lost from the classes, and a large group of copies or near copies
-costs one comparison a text and band, not all its pairs.
+compared with its head, the text that shares most buckets with others; a pair is a link if its exact similarity reaches
+the threshold.  Where the links leave a bucket in several components, its texts outside the largest are compared with all
+of the others: in small buckets by pairs, but for those that the triangle inequality of the Jaccard distance (through the
+head) rules out; in larger ones by blocks of texts that meet two by two in a task, which counts common shingles over an
+inverted index and emits one link for each text and other component.  Classes are the connected components of the links.
+So no pair that shares a bucket is lost from the classes, while a large group of near copies, once its head has linked it,
+costs one comparison a text and band and not all its pairs.
 
 At the defaults (28 bands of 6 rows) a pair at similarity 0.8 shares a bucket with probability 0.9998.
 
@@ -38,6 +40,7 @@ ship(__name__)
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 28, 6
+SMALL, BLOCK = 32, 256  # texts of a bucket whose pairs are laid out as rows; texts of a block of a larger one
 
 
 def weighted(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,6 +137,51 @@ def compare(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(_compared(width), "a binary, b binary, sim double")
 
 
+def _block_links(width: int, threshold: float):
+    """Links between components inside one block pair of one bucket, one for each text and other component."""
+
+    def solved(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+        roots = [r[2] for r in rows]
+        if len(set(roots)) < 2:
+            return []
+        hashes, counts = shingle_hashes([r[3] for r in rows], width)
+        units, owner = weighted(hashes, counts)
+        order = np.argsort(units, kind="stable")
+        units, owner = units[order], owner[order]
+        start = np.flatnonzero(np.r_[True, units[1:] != units[:-1]])
+        group = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(units)]))
+        stop = np.r_[start[1:], len(units)]
+        number = {r: i for i, r in enumerate(dict.fromkeys(roots))}
+        root = np.array([number[r] for r in roots])
+        largest = np.bincount(root).argmax()
+        mine = np.argsort(owner, kind="stable")
+        bounds = np.r_[0, np.cumsum(counts)]
+        out = []
+        for i in np.flatnonzero(root != largest):
+            g = group[mine[bounds[i] : bounds[i + 1]]]
+            n = stop[g] - start[g]
+            posted = owner[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[g], n)]
+            both = np.bincount(posted, minlength=len(rows))
+            near = np.flatnonzero((both >= threshold * (counts[i] + counts - both)) & (root != root[i]))
+            _, first = np.unique(root[near], return_index=True)
+            out += [(rows[i][1], rows[j][1]) for j in near[first].tolist()]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("pair", "b", "root", "text")), strict=True):
+                if held and held[-1][0] != row[0]:
+                    yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in solved(held)], schema=made)
+                    held = []
+                held.append(row)
+        if held:
+            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in solved(held)], schema=made)
+
+    made = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    return run
+
+
 def classes(
     spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -142,34 +190,44 @@ def classes(
     kind = dict(docs.dtypes)["doc_id"]
     signed = cut(spark, texts.mapInArrow(_signed(width, bands, rows), f"doc_id {kind}, fp binary, keys array<long>"))
     distinct = signed.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys"))
-    spots = distinct.select(F.explode("keys").alias("key"), "fp")
-    least = spots.groupBy("key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    # (bucket, its least text, member): the member is compared with the least text only.
-    members = cut(spark, spots.join(least, "key").select("key", "a", F.col("fp").alias("b")))
+    spots = distinct.select(F.explode("keys").alias("key"), F.col("fp").alias("b"))
+    shared = spots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    met = cut(spark, spots.join(shared, "key"))
+    # A bucket's head is the text that meets most others over all its buckets: the middle of a group of near copies.
+    ranked = met.join(met.groupBy("b").agg(F.sum("n").alias("meets")), "b")
+    heads = ranked.groupBy("key").agg(F.max(F.struct("meets", "b"))["b"].alias("a"))
+    members = cut(spark, met.join(heads, "key").select("key", "n", "a", "b"))
     bodies = texts.select("fp", "text")
     first = cut(spark, compare(members.where("a <> b").select("a", "b").distinct(), bodies, width))
     links = first.where(F.col("sim") >= threshold).select("a", "b")
     roots = cut(spark, components(spark, links))
-    # Buckets that still span several components: pairs between components, unless the triangle inequality excludes them.
+    # Buckets that still span several components.
     placed = (
         members.join(first, ["a", "b"], "left").join(roots.withColumnRenamed("node", "b"), "b", "left")
-        .select("key", "b", F.coalesce("sim", F.lit(1.0)).alias("sim"), F.coalesce("root", "b").alias("root"))
+        .select("key", "n", "b", F.coalesce("sim", F.lit(1.0)).alias("sim"), F.coalesce("root", "b").alias("root"))
     )
-    split = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 <> r1 and n > 2").select("key")
+    split = placed.where("n > 2").groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
     open_ = cut(spark, placed.join(split, "key", "left_semi"))
-    x, y = open_.alias("x"), open_.alias("y")
+    # Small ones: pairs between components, but for those that the triangle inequality excludes.
+    small = open_.where(F.col("n") <= SMALL)
+    x, y = small.alias("x"), small.alias("y")
     near = (F.col("x.root") != F.col("y.root")) & (F.col("x.b") < F.col("y.b")) & (F.abs(F.col("x.sim") - F.col("y.sim")) <= 1 - threshold)
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & near).where("x.sim < 1 and y.sim < 1").select(F.col("x.b").alias("a"), F.col("y.b").alias("b")).distinct()
-    second = cut(spark, compare(rest.join(first, ["a", "b"], "left_anti"), bodies, width))
-    more = second.where(F.col("sim") >= threshold).select("a", "b")
-    if more.isEmpty():
-        final = roots
-    else:
-        final = components(spark, links.unionByName(more))
+    second = compare(rest.join(first, ["a", "b"], "left_anti"), bodies, width).where(F.col("sim") >= threshold).select("a", "b")
+    # Large ones: blocks of the bucket meet two by two, and only links leave the task.
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("b"), blocks).cast("int")
+    other = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.concat_ws(":", F.col("key"), F.least(mine, j), F.greatest(mine, j)))
+    large = open_.where(F.col("n") > SMALL).select(F.explode(other).alias("pair"), "b", "root")
+    wanted = open_.where(F.col("n") > SMALL).select(F.col("b").alias("fp")).distinct()
+    held = bodies.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]).withColumnRenamed("fp", "b")
+    third = large.join(held, "b").repartition("pair").sortWithinPartitions("pair", "b").mapInArrow(_block_links(width, threshold), "a binary, b binary")
+    more = cut(spark, second.unionByName(third).distinct())
+    final = roots if more.isEmpty() else components(spark, links.unionByName(more))
     named = distinct.select("fp", "first_id").join(final.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     ids = cut(spark, named)
-    heads = ids.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    by_text = ids.join(heads, "root").select("fp", "class_id")
+    by_class = ids.groupBy("root").agg(F.min("first_id").alias("class_id"))
+    by_text = ids.join(by_class, "root").select("fp", "class_id")
     return signed.select("doc_id", "fp").join(by_text, "fp").select("doc_id", "class_id", "fp")
 
 
