@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("market", "search")
+MODULES = ("market", "search", "parsing", "dedup")
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
