@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import ship, slices, work_path
+from hearth.llm.common import cut, ship, slices, work_path
 from hearth.llm.shingles import _BASE, _LETTER, mix
 
 ship(__name__)
@@ -243,19 +243,22 @@ def dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed`` of every row of ``doc_id, text``; ``removed`` lists byte ranges."""
     kind = dict(docs.dtypes)["doc_id"]
     body = F.coalesce(F.col("text"), F.lit(""))
-    texts = docs.select("doc_id", F.unhex(F.md5(body)).alias("txt"), body.cast("binary").alias("text"))
+    # Both joins below shuffle just these columns of just these rows by ``txt``, so Spark shuffles the texts once.
+    texts = docs.select("doc_id", F.unhex(F.md5(body)).alias("txt"), body.cast("binary").alias("text")).where(F.col("txt").isNotNull())
     filed = texts.where(F.length("text") >= length).select("txt", "text").mapInArrow(_filed(length, gram), "h long, x long, n int, a int, txt binary, s long, times long")
-    often = filed.groupBy("h").agg(F.sum("times").alias("all")).where(F.col("all") > 1).select("h")
+    # A table of its own, so that the join below may split a hot anchor.
+    often = cut(spark, filed.groupBy("h").agg(F.sum("times").alias("all")).where(F.col("all") > 1).select("h"))
     # Only windows whose anchor repeats go on, as a table in the shared folder (it is read twice and cuts the lineage).
     path = work_path(spark, "windows")
     filed.join(often, "h").write.option("compression", "zstd").parquet(path)
     held = spark.read.parquet(path)
     key = ["h", "x", "n", "a"]
     unique = held.groupBy(*key).agg(F.sum("times").alias("times"), F.min(F.struct("txt", "s")).alias("rep")).select(*key, "times", "rep.*")
-    bytes_of = texts.select(F.col("txt").alias("t"), "doc_id", "text")
-    named = unique.join(bytes_of.groupBy("t").agg(F.min("doc_id").alias("one")), unique["txt"] == F.col("t")).drop("t")
+    first_id = texts.groupBy(F.col("txt").alias("t")).agg(F.min("doc_id").alias("one"))
+    named = unique.join(first_id, unique["txt"] == F.col("t")).select(*key, "times", "t", "s", "one")
+    one_row = F.xxhash64("one").bitwiseXOR(F.xxhash64("doc_id")) == 0  # not an equality Spark would add to the join's keys
     bodies = (
-        named.join(bytes_of, (named["txt"] == bytes_of["t"]) & (F.xxhash64("one").bitwiseXOR(F.xxhash64("doc_id")) == 0))
+        texts.join(named, (texts["txt"] == named["t"]) & one_row)
         .select(*key, "times", F.expr("substring(text, cast(s + 1 as int), n + %d)" % (length - 1)).alias("body"))
     )
     crowded = unique.groupBy("h").count().where(F.col("count") > hot).select("h")
