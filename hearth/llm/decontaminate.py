@@ -5,7 +5,8 @@ of its stretches is within floor(``tolerance`` * n) word edits of it.
 
 1. *Windows.*  If k edits separate two stretches, one of the k + 1 pieces between them is kept whole: at least
    ceil((n - k) / (k + 1)) words in a row (at most three are asked for).  So item-sized windows are laid, without loss,
-   only where a document shares such a run with an item: at the run's alignment and at every shift of up to k words.
+   only where a document shares such runs with an item, as many of them in one band of alignments as k edits must leave
+   (the q-gram lemma): at the runs' alignments and at every shift of up to k words.
 2. *Embedding.*  The CGK walk reads a window with a pointer; at step j it writes the word under the pointer and moves
    on if the coin of (repetition, j, word) says so.  Equal words toss equal coins, so after an edit the two walks meet
    again, and the edit distance becomes a Hamming distance over the written words.
@@ -66,7 +67,7 @@ class Items:
         self.size = np.array([len(p) for p in self.words], np.int64)
         self.edits = np.floor(tolerance * self.size + 1e-9).astype(np.int64)
         self.seeds = {}
-        need = np.minimum(SEED, -(-(self.size - self.edits) // (self.edits + 1)))
+        need = self.width = np.minimum(SEED, -(-(self.size - self.edits) // (self.edits + 1)))
         for width in np.unique(need).tolist():
             which = np.flatnonzero(need == width)
             found = [runs(self.words[i], width) for i in which]
@@ -77,6 +78,7 @@ class Items:
             known = np.zeros(_FILTER, bool)
             known[(key & np.uint64(_FILTER - 1)).astype(np.int64)] = True
             self.seeds[width] = (key[order], item[order], at[order], known)
+        self.embeds: dict[int, np.ndarray] = {}  # by repetition, filled when first asked for
         longest = int(self.size.max(initial=1))
         self.grid = np.zeros((len(self.words), longest), np.uint64)
         for i, p in enumerate(self.words):
@@ -127,6 +129,29 @@ def edit_search(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best
 
 
+def _banded(doc: np.ndarray, item: np.ndarray, shift: np.ndarray, items: Items) -> np.ndarray:
+    """Distinct (text, item, shift) of the shared runs that lie in a band of shifts with enough of them.
+
+    k edits spoil at most k * width of an item's runs and move none of the others by more than k, so at least
+    n - width + 1 - k * width runs are shared within 2k shifts of each other: fewer prove that there is no match.
+    """
+    order = np.lexsort((shift, item, doc))
+    doc, item, shift = doc[order], item[order], shift[order]
+    if not len(doc):
+        return np.zeros((0, 3), np.int64)
+    fresh = np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]
+    span = int(shift.max() - shift.min()) + 2 * int(items.edits.max(initial=0)) + 2
+    line = np.cumsum(fresh) * span + (shift - shift.min())
+    reach = np.searchsorted(line, line + 2 * items.edits[item], side="right")
+    need = np.maximum(1, items.size[item] - items.width[item] + 1 - items.edits[item] * items.width[item])
+    good = np.flatnonzero(reach - np.arange(len(line)) >= need)
+    kept = np.zeros(len(line) + 1, np.int64)
+    np.add.at(kept, good, 1)
+    np.add.at(kept, reach[good], -1)
+    inside = np.cumsum(kept)[:-1] > 0
+    return np.unique(np.stack([doc[inside], item[inside], shift[inside]], axis=1), axis=0)
+
+
 def matches(texts: list[str | None], items: Items) -> list[tuple[int, int, int]]:
     """(text, item, edits) of all texts and items within the tolerance."""
     words, counts = word_hashes(texts)
@@ -149,10 +174,9 @@ def matches(texts: list[str | None], items: Items) -> list[tuple[int, int, int]]
         shift.append((place - at[entry])[inside])
     if not rows:
         return []
-    hit = np.unique(np.stack([np.concatenate(rows), np.concatenate(which), np.concatenate(shift)], axis=1), axis=0)
+    hit = _banded(np.concatenate(rows), np.concatenate(which), np.concatenate(shift), items)
     out: list[tuple[int, int, int]] = []
-    embeds: dict[int, np.ndarray] = {}
-    near: list[np.ndarray] = []
+    near: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
     for begin in range(0, len(hit), 1000):
         part = hit[begin : begin + 1000]
         k = items.edits[part[:, 1]]
@@ -168,10 +192,10 @@ def matches(texts: list[str | None], items: Items) -> list[tuple[int, int, int]]
         grid = np.where(inside, words[np.clip(at, 0, len(words) - 1)], np.uint64(0))
         chosen = np.zeros(len(start), bool)
         for repeat in range(REPEATS):
-            if repeat not in embeds:
-                embeds[repeat] = embedded(items.grid, items.size, repeat)
+            if repeat not in items.embeds:
+                items.embeds[repeat] = embedded(items.grid, items.size, repeat)
             todo = np.flatnonzero(~chosen)
-            chosen[todo] = (embedded(grid[todo], size[todo], repeat) == embeds[repeat][item[todo]]).all(axis=1)
+            chosen[todo] = (embedded(grid[todo], size[todo], repeat) == items.embeds[repeat][item[todo]]).all(axis=1)
         near.append(np.stack([doc[chosen], item[chosen], start[chosen]], axis=1))
     pairs = np.concatenate(near)
     pairs = pairs[np.lexsort((pairs[:, 2], pairs[:, 1], pairs[:, 0]))]
