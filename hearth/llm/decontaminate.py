@@ -185,18 +185,22 @@ def matches(texts: list[str | None], items: Items) -> list[tuple[int, int, int]]
         doc, item = part[each, 0], part[each, 1]
         size = items.size[item]
         ok = (start + size > begins[doc]) & (start < ends[doc])
-        start, doc, item, size = start[ok], doc[ok], item[ok], size[ok]
+        start, doc, item, size, each = start[ok], doc[ok], item[ok], size[ok], each[ok]
         wide = items.grid.shape[1]
         at = start[:, None] + np.arange(wide)[None, :]
         inside = (at >= begins[doc][:, None]) & (at < ends[doc][:, None]) & (np.arange(wide)[None, :] < size[:, None])
         grid = np.where(inside, words[np.clip(at, 0, len(words) - 1)], np.uint64(0))
-        chosen = np.zeros(len(start), bool)
+        # One candidate window of an alignment is enough: every window of the alignment is verified with it.
+        chosen, done = np.zeros(len(start), bool), np.zeros(len(part), bool)
         for repeat in range(REPEATS):
             if repeat not in items.embeds:
                 items.embeds[repeat] = embedded(items.grid, items.size, repeat)
-            todo = np.flatnonzero(~chosen)
+            todo = np.flatnonzero(~done[each])
+            if not len(todo):
+                break
             chosen[todo] = (embedded(grid[todo], size[todo], repeat) == items.embeds[repeat][item[todo]]).all(axis=1)
-        near.append(np.stack([doc[chosen], item[chosen], start[chosen]], axis=1))
+            done[each[chosen]] = True
+        near.append(np.stack([doc[chosen], item[chosen], part[each[chosen], 2]], axis=1))
     pairs = np.concatenate(near)
     pairs = pairs[np.lexsort((pairs[:, 2], pairs[:, 1], pairs[:, 0]))]
     cuts = np.flatnonzero(np.r_[True, (np.diff(pairs[:, :2], axis=0) != 0).any(axis=1), True]) if len(pairs) else np.zeros(1, np.int64)
@@ -206,7 +210,7 @@ def matches(texts: list[str | None], items: Items) -> list[tuple[int, int, int]]
         best, reach = n + 1, -1
         stretches: list[list[int]] = []
         for s in pairs[a:b, 2].tolist():
-            lo, hi = max(int(begins[doc]), s - k), min(int(ends[doc]), s + n + k)
+            lo, hi = max(int(begins[doc]), s - k), min(int(ends[doc]), s + n + 2 * k)
             if stretches and lo <= reach:
                 stretches[-1][1] = max(stretches[-1][1], hi)
             else:
