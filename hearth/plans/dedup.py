@@ -97,13 +97,14 @@ j AS (SELECT t.id AS tid, s.id AS sid, t.score AS ts, s.score AS ss, t.processin
   CASE WHEN t.id IS NULL THEN 'inserted' WHEN s.id IS NULL THEN 'kept' WHEN s.score > t.score OR (s.score >= t.score AND s.processing_timestamp > t.processing_timestamp) THEN 'updated' ELSE 'skipped' END AS action
   FROM t FULL JOIN s ON t.id = s.id)"""
 
-COMMON = StructType.fromDDL("id string, name string, source string, segment string, balance double, region int")
+COMMON = "id string, name string, source string, segment string, balance double, region int"
 
 
 def conform_union(spark, sf):
     a = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.lit("customer").alias("source"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"), F.lit(1).alias("extra"))
     b = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.lit("supplier").alias("source"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
-    return conform.conform(a, COMMON).unionByName(conform.conform(b, COMMON))
+    schema = StructType.fromDDL(COMMON)
+    return conform.conform(a, schema).unionByName(conform.conform(b, schema))
 
 
 def serving(spark, sf):
