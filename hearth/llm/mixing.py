@@ -59,19 +59,24 @@ def draw(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(2**52)
 
 
-def with_copies(docs: DataFrame, targets: DataFrame, seed: int = 11, broadcast_rows: int = 100_000) -> DataFrame:
-    """``docs`` with ``source_size, target, copies``; ``targets`` must be a table that is cheap to count."""
-    t = targets.select(F.col("source").alias("_mix_source"), "source_size", "target", "rate")
+def _joined(docs: DataFrame, targets: DataFrame, seed: int, broadcast_rows: int) -> DataFrame:
+    """``docs`` with ``_mix_size, _mix_target, _mix_copies``, names apart from those of the documents."""
+    t = targets.select(*[F.col(c).alias(f"_mix_{n}") for c, n in (("source", "source"), ("source_size", "size"), ("target", "target"), ("rate", "rate"))])
     if t.count() <= broadcast_rows:
         t = F.broadcast(t)
-    whole = F.floor("rate")
-    extra = (draw(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long")
+    whole = F.floor("_mix_rate")
+    extra = (draw(F.col("doc_id"), seed) < F.col("_mix_rate") - whole).cast("long")
     joined = docs.join(t, docs["source"].eqNullSafe(t["_mix_source"]), "left")
-    return joined.withColumn("copies", (whole + extra).cast("long")).drop("_mix_source", "rate")
+    return joined.withColumn("_mix_copies", (whole + extra).cast("long")).drop("_mix_source", "_mix_rate")
+
+
+def with_copies(docs: DataFrame, targets: DataFrame, seed: int = 11, broadcast_rows: int = 100_000) -> DataFrame:
+    """``docs`` with ``source_size, target, copies``; ``targets`` must be a table that is cheap to count."""
+    return _joined(docs, targets, seed, broadcast_rows).withColumnsRenamed({"_mix_size": "source_size", "_mix_target": "target", "_mix_copies": "copies"})
 
 
-def emit(docs: DataFrame, targets: DataFrame, seed: int = 11) -> DataFrame:
+def emit(docs: DataFrame, targets: DataFrame, seed: int = 11, broadcast_rows: int = 100_000) -> DataFrame:
     """The mixed corpus: every document as often as its source's rate says, with the columns of ``docs``."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    many = with_copies(docs, targets, seed).where("copies > 0")
-    return many.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*columns)
+    many = _joined(docs, targets, seed, broadcast_rows).where("_mix_copies > 0")
+    return many.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies")))).select(*columns)

@@ -144,8 +144,9 @@ class _Model:
             self.slot = np.repeat(np.arange(self.n, dtype=np.int32), freq)
         rate = np.minimum(self.tally[:, :, 1] / self.tally.sum(axis=2), 0.97)
         self.whole = (1 << _TOTAL) - (1 << 20)
-        self.share2 = (self.whole * rate[0]).astype(np.int64)
-        self.share1 = (rate[1] * 1024).astype(np.int64)
+        # Never nothing: a prediction that is right must have a part of the distribution.
+        self.share2 = np.maximum((self.whole * rate[0]).astype(np.int64), 1)
+        self.share1 = np.maximum((rate[1] * 1024).astype(np.int64), 1)
 
     def predict(self) -> None:
         if self.step < 32 or self.step % 16 == 0:
