@@ -243,3 +243,31 @@ def address_key(text: Column, level: str) -> Column:
     if level == "street":
         return F.regexp_replace(low, r"^(.*\s)?((hẻm|ngõ)\s+([0-9][0-9/]*\s+)?|(đường|phố)\s+)+", "")
     return F.regexp_replace(low, "^(" + "|".join(p + (r"\s*" if p.endswith(".") else r"\s+") for p in PREFIXES[level]) + ")+", "")
+
+
+def loose_number(text: Column) -> Column:
+    """Scientific notation as it is, other text by its digits; null where there are none."""
+    t = F.trim(text)
+    plain = t.rlike(r"^[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?$")
+    return F.when(plain, t.try_cast("double")).otherwise(F.nullif(F.regexp_replace(t, r"[^0-9.]", ""), F.lit("")).try_cast("double"))
+
+
+def place_key(name: Column) -> Column:
+    """One key for the spellings of a place: upper case, no city prefix, no spaces or hyphens."""
+    bare = F.regexp_replace(F.upper(F.trim(name)), r"^(TP\.?|THÀNH PHỐ|TỈNH)\s*", "")
+    return F.translate(bare, " -", "")
+
+
+# The fields of an advertisement document that a listing takes.
+AD_SCHEMA = "ad struct<list_id:long, subject:string, price:double, size:double, rooms:int, area_name:string, region_name:string, list_time:long>, parameters array<struct<id:string, value:string>>"
+
+
+def advertisement(document: Column) -> Column:
+    """A listing struct from an advertisement document; unreadable documents give null fields."""
+    j = F.from_json(document, AD_SCHEMA)
+    ad = j["ad"]
+    return F.struct(
+        ad["list_id"].alias("listing"), ad["subject"].alias("title"), ad["price"].alias("price"), ad["size"].alias("area"), ad["rooms"].alias("bedroom"),
+        joined(ad["area_name"], ad["region_name"]).alias("location"), F.timestamp_millis(ad["list_time"]).alias("posted_date"),
+        parameter(j["parameters"], "direction").try_cast("int").alias("house_direction_code"),
+    )

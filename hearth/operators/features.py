@@ -65,3 +65,29 @@ def fallback_price(area: Column, province_id: Column, bedroom: Column, bathroom:
 
 def plausible(price: Column) -> Column:
     return F.when(price < 1e8, "too_low").when(price > 5e10, "too_high").otherwise("ok")
+
+
+def quality_01() -> Column:
+    """Completeness from 0 to 1: four main values, four details, text and place."""
+    parts = [(c, 0.1) for c in ("price", "area", "latitude", "longitude")] + [(c, 0.075) for c in ("bedroom", "bathroom", "floor_count", "house_type")] + [("title", 0.15), ("district", 0.15)]
+    total = F.lit(0.0)
+    for name, weight in parts:
+        total = total + F.when(F.col(name).isNotNull(), weight).otherwise(0.0)
+    return F.round(total, 4)
+
+
+def completeness(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.agg(*[F.round(F.count(c) / F.count(F.lit(1)), 6).alias(c) for c in columns])
+
+
+def correlations(rows: DataFrame, columns: list[str], label: str) -> DataFrame:
+    """Correlation of each column with the label, one row a column, from one pass."""
+    parts = [F.struct(F.lit(c).alias("name"), F.round(F.corr(c, label), 6).alias("r")) for c in columns]
+    return rows.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+
+
+def segments(rows: DataFrame, least: int = 1000) -> DataFrame:
+    """Rows of the price segments that are large enough to train on."""
+    marked = rows.withColumn("segment", F.when(F.col("price") >= 1e10, "luxury").when(F.col("price") >= 1e9, "mid"))
+    sizes = marked.where("segment is not null").groupBy("segment").agg(F.count("*").alias("_n")).where(F.col("_n") > least)
+    return marked.join(F.broadcast(sizes.select("segment")), "segment")

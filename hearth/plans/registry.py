@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("market", "search", "parsing", "dedup", "features", "streams")
+MODULES = ("market", "search", "parsing", "dedup", "features", "streams", "more")
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
