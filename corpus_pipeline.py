@@ -3,6 +3,11 @@
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept, read again from Parquet; all but the
 last return the columns of ``documents``.  ``run`` applies them to the ``documents`` table, cutting between stages
 with a dataset in the shared folder, so a lost executor costs no more than the stage it worked on.
+
+Defined cases, the same in all stages: a null text counts as empty and is clean; null ids are kept; rows that repeat id and
+text are one document for near-dedup and separate rows elsewhere; among equally good rows of a class the one of least id
+(then text) stays; documents without words weigh nothing in the mix and follow their source's rate; further columns pass through, whatever
+their names; an empty table gives an empty result; labels and benchmark may be empty.
 """
 
 from __future__ import annotations

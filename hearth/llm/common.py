@@ -50,6 +50,14 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/hearth-{name}-{uuid.uuid4().hex}"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Consecutive row slices of a batch whose texts hold about ``most`` bytes together (one row at least).
 

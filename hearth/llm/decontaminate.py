@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, ship, slices
+from hearth.llm.common import cut, free_name, ship, slices
 from hearth.llm.shingles import _BASE, mix, word_hashes
 
 ship(__name__)
@@ -254,7 +254,8 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, tolerance:
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with their columns; rows are judged by their text, not their id."""
-    fp = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    marked = docs.withColumn("_fp", fp)
-    found = leaks(spark, marked.select(F.hex("_fp").alias("doc_id"), "text"), benchmark, tolerance).select(F.unhex("doc_id").alias("_fp")).distinct()
-    return marked.join(found, "_fp", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    fp = free_name(docs, "_fp")
+    marked = docs.withColumn(fp, F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))))
+    named = marked.select(F.hex(fp).alias("doc_id"), "text")
+    found = leaks(spark, named, benchmark, tolerance).select(F.unhex("doc_id").alias(fp)).distinct()
+    return marked.join(found, fp, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.llm.common import free_name
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -59,24 +61,26 @@ def draw(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(2**52)
 
 
-def _joined(docs: DataFrame, targets: DataFrame, seed: int, broadcast_rows: int) -> DataFrame:
-    """``docs`` with ``_mix_size, _mix_target, _mix_copies``, names apart from those of the documents."""
-    t = targets.select(*[F.col(c).alias(f"_mix_{n}") for c, n in (("source", "source"), ("source_size", "size"), ("target", "target"), ("rate", "rate"))])
+def _joined(docs: DataFrame, targets: DataFrame, seed: int, broadcast_rows: int, names: dict[str, str]) -> DataFrame:
+    """``docs`` with the target's columns and the number of copies, under the names given for them."""
+    n = {c: names.get(c) or free_name(docs, f"_mix_{c}") for c in ("source", "source_size", "target", "rate", "copies")}
+    t = targets.select(*[F.col(c).alias(n[c]) for c in ("source", "source_size", "target", "rate")])
     if t.count() <= broadcast_rows:
         t = F.broadcast(t)
-    whole = F.floor("_mix_rate")
-    extra = (draw(F.col("doc_id"), seed) < F.col("_mix_rate") - whole).cast("long")
-    joined = docs.join(t, docs["source"].eqNullSafe(t["_mix_source"]), "left")
-    return joined.withColumn("_mix_copies", (whole + extra).cast("long")).drop("_mix_source", "_mix_rate")
+    whole = F.floor(n["rate"])
+    extra = (draw(F.col("doc_id"), seed) < F.col(n["rate"]) - whole).cast("long")
+    joined = docs.join(t, docs["source"].eqNullSafe(t[n["source"]]), "left")
+    return joined.withColumn(n["copies"], (whole + extra).cast("long")).drop(n["source"], n["rate"])
 
 
 def with_copies(docs: DataFrame, targets: DataFrame, seed: int = 11, broadcast_rows: int = 100_000) -> DataFrame:
     """``docs`` with ``source_size, target, copies``; ``targets`` must be a table that is cheap to count."""
-    return _joined(docs, targets, seed, broadcast_rows).withColumnsRenamed({"_mix_size": "source_size", "_mix_target": "target", "_mix_copies": "copies"})
+    return _joined(docs, targets, seed, broadcast_rows, {c: c for c in ("source_size", "target", "copies")})
 
 
 def emit(docs: DataFrame, targets: DataFrame, seed: int = 11, broadcast_rows: int = 100_000) -> DataFrame:
     """The mixed corpus: every document as often as its source's rate says, with the columns of ``docs``."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    many = _joined(docs, targets, seed, broadcast_rows).where("_mix_copies > 0")
-    return many.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies")))).select(*columns)
+    copies = free_name(docs, "_mix_copies")
+    many = _joined(docs, targets, seed, broadcast_rows, {"copies": copies}).where(F.col(copies) > 0)
+    return many.withColumn(free_name(many, "_copy"), F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*columns)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, ship, slices
+from hearth.llm.common import cut, free_name, ship, slices
 from hearth.llm.graph import components
 from hearth.llm.shingles import mix, shingle_hashes
 
@@ -237,7 +237,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     name = lambda doc_id, fp: F.unhex(F.md5(F.concat_ws(":", F.hex(fp), F.coalesce(doc_id.cast("string"), F.lit("null")))))
     group = F.coalesce(F.col("class_id").cast("string"), F.hex("fp"))
     best = found.groupBy(group.alias("c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("k"))
-    kept = best.select(name(F.col("k.doc_id"), F.col("k.fp")).alias("_row"))
-    marked = docs.withColumn("_row", name(F.col("doc_id"), F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))))
+    row = free_name(docs, "_row")
+    kept = best.select(name(F.col("k.doc_id"), F.col("k.fp")).alias(row))
+    marked = docs.withColumn(row, name(F.col("doc_id"), F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))))
     # Rows that repeat id and text are one document.
-    return marked.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return marked.join(kept, row, "left_semi").dropDuplicates([row]).select(*[F.col(f"`{c}`") for c in docs.columns])

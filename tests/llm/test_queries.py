@@ -43,3 +43,27 @@ def test_pipeline_stages(spark, tmp_path):
             if name != "mixing":
                 assert docs.count() <= left
             left = docs.count()
+
+
+def test_stages_keep_odd_rows_and_columns(spark):
+    """Nulls in any column, empty and very long texts, repeated rows, clashing names; then no rows at all."""
+    import corpus_pipeline
+
+    long = " ".join(f"word{i}" for i in range(150_000))
+    texts = [None, "", long, "a few words of text that are clean", "a few words of text that are clean", None, "\x00 odd \ufffd text"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _row string, _fp int, _mix_copies int, copies int, target int, rate int, score int, size int, fp int, key int, class_id int"
+    rows = [(i if i < 5 else None, t, None, None if i % 2 else "s", None, "r", *range(10)) for i, t in enumerate(texts)]
+    rows.append(rows[3])
+    docs = spark.createDataFrame(rows, schema)
+    left = {"toxicity": 8, "near_dedup": 4, "decontaminate": 4}
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, docs.limit(0), SF)
+        out = stage(spark, docs, SF)
+        assert empty.count() == 0
+        if name == "token_blocks":
+            assert out.count() == docs.count()
+        else:
+            assert out.columns == docs.columns
+            assert {tuple(r)[5:] for r in out.collect()} <= {("r", *range(10))}
+            assert name not in left or out.count() == left[name]
+            docs = spark.createDataFrame(out.collect(), schema)
