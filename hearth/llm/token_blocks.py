@@ -44,7 +44,7 @@ ship(__name__)
 
 BLOCK_TOKENS = 1 << 20
 LANES = 2048
-CACHED = 800_000
+CACHED = 1_200_000
 _TOTAL, _ZERO = 24, 18  # bits of the whole distribution and of the order-0 table
 _LEVELS, _HASH = 16, 1 << 18
 _LOW32 = np.uint64(0xFFFFFFFF)
@@ -68,37 +68,54 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.end = b"" if end_id is None else struct.pack("<I", end_id)
         self.pieces: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.length = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
+        self.length[list(vocabulary.values())] = [len(token) for token in vocabulary]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Words after a space are encoded many at once: the tokenizer splits their concatenation just there."""
+        """Words after a space are encoded some at once: the tokenizer splits their concatenation just there.
+
+        A byte-level token is as long as its bytes are many, which tells where each word's ids end.
+        """
         plain = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
         known = set(plain)
         rest = [p for p in pieces if p not in known]
         self.pieces.update(zip(rest, self._library(rest), strict=True))
-        for i in range(0, len(plain), 1000):
-            some = plain[i : i + 1000]
-            found = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            ids, word = np.array(found.ids, "<u4"), np.array(found.word_ids)
-            cuts = np.searchsorted(word, np.arange(len(some) + 1)) * 4
-            flat = ids.tobytes()
-            if cuts[-1] != len(flat) or word[-1] != len(some) - 1:
-                self.pieces.update(zip(some, self._library(some), strict=True))
-            else:
-                self.pieces.update((p, flat[a:b]) for p, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+        if not plain:
+            return
+        joined = ["".join(plain[i : i + 30]) for i in range(0, len(plain), 30)]
+        ids = np.array([i for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False) for i in e.ids], "<u4")
+        ends = np.cumsum(self.length[ids])
+        wanted = np.cumsum([len(p.encode()) for p in plain])
+        cuts = np.searchsorted(ends, wanted) + 1
+        if not np.array_equal(ends[cuts - 1], wanted):
+            self.pieces.update(zip(plain, self._library(plain), strict=True))
+            return
+        flat = ids.tobytes()
+        self.pieces.update((p, flat[a:b]) for p, a, b in zip(plain, [0, *(cuts[:-1] * 4).tolist()], (cuts * 4).tolist(), strict=True))
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         whole = [t is not None and (not t.isascii() or bool(_RARE.search(t))) and _OTHER.search(t) is not None for t in texts]
         split = [None if w else _PIECE.findall(t or "") for t, w in zip(texts, whole, strict=True)]
         if len(self.pieces) > CACHED:
             self.pieces.clear()
-        new = list(set().union(*(p for p in split if p)).difference(self.pieces))
-        self._learn(new)
+        get = self.pieces.get
+        found = [None if p is None else list(map(get, p)) for p in split]
+        new: set[str] = set()
+        for p, f in zip(split, found, strict=True):
+            if f is not None and None in f:
+                new.update([piece for piece, ids in zip(p, f, strict=True) if ids is None])
+        if new:
+            self._learn(list(new))
+            pieces = self.pieces
+            for k, (p, f) in enumerate(zip(split, found, strict=True)):
+                if f is not None and None in f:
+                    found[k] = [pieces[piece] if ids is None else ids for piece, ids in zip(p, f, strict=True)]
         other = iter(self._library([t for t, w in zip(texts, whole, strict=True) if w]))
-        get = self.pieces.__getitem__
-        return [np.frombuffer((next(other) if w else b"".join(map(get, p))) + self.end, "<u4") for p, w in zip(split, whole, strict=True)]
+        return [np.frombuffer((next(other) if f is None else b"".join(f)) + self.end, "<u4") for f in found]
 
 
 def encoder(path: str, end_id: int | None = 2) -> Encoder:
