@@ -83,7 +83,10 @@ def similar_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     need = ["listing_key", "province", "district", "ward", "street", "price", "area", "bedroom", "latitude", "longitude", "score", "processing_timestamp"]
     blocked = rows.select(*need, loose_key().alias("block"))
     x, y = blocked.alias("x"), blocked.alias("y")
-    pairs = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.listing_key") < F.col("y.listing_key")))
+    # Without a part of the area's weight the rest cannot reach the threshold: numbers decide before texts are compared.
+    need_area = 1.0 - WEIGHTS["area"] < threshold
+    near = F.abs(F.col("x.area") - F.col("y.area")) <= F.greatest("x.area", "y.area") * (STEPS[-1][0] + 1e-9) if need_area else F.lit(True)
+    pairs = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.listing_key") < F.col("y.listing_key")) & near)
     # Rounding noise must not decide at the threshold itself.
     return pairs.withColumn("similarity", similarity("x", "y")).where(F.col("similarity") >= threshold - 1e-9)
 
