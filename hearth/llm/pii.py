@@ -3,14 +3,17 @@
 Base spans come from fixed patterns (e-mail, IPv4, card, phone), matched leftmost and non-overlapping per kind in linear
 time.  The field labels the *candidate* tokens of a document, those holding a digit or an ``@``; all other tokens are
 fixed to "none" and so cut the chain into independent pieces.  Its factors are: one per token (label given shape), one per
-pair of candidate tokens that follow each other (chain), and one per token and its last like token anywhere before it
-(skip): the same characters or, from seven digits on, the same last seven digits.  Tokens in base spans are evidence.
-Sum-product messages are passed over the loopy graph for a fixed number of rounds; tokens whose marginal favours a kind
+pair of candidate tokens that follow each other (chain), and one per pair of a token and a hub of its like tokens (skip).
+Tokens are like if they have the same characters or, from seven digits on, the same last seven digits.  Tokens in base
+spans are evidence.  The hubs of a group of like tokens are its first token of every kind of evidence, or its first token
+where it holds no evidence: evidence speaks to every like mention at once, however many lie between, and a token adds at
+most one edge a kind.  Sum-product messages are passed over the loopy graph until none changes by more than ``BOUND``; where
+they circle, the steps shrink, and after ``LIMIT`` rounds the last beliefs stand.  Tokens whose marginal favours a kind
 become further spans, adjacent tokens of one kind as one span.  Base spans always stay.
 
 The weights are estimated piecewise (each factor's own likelihood, in closed form from smoothed counts) on at most
-``SAMPLE_ROWS`` documents, the first by a hash of their id, with the base spans as labels.  Links go to the last like
-token only, so a token repeated throughout a long document adds one edge each time.
+``SAMPLE_ROWS`` documents, the first by a hash of their id, with the base spans as labels.  The skip factor is counted on
+each token and its last like token, so that a group counts by its size.
 
 Defined cases: null texts count as empty; a document without candidates has no spans; repeated rows are handled row by
 row; an empty table gives an empty result and untrained factors are neutral; further columns are ignored.
@@ -35,7 +38,7 @@ ship(__name__)
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 5_000
-ROUNDS = 6
+BOUND, LIMIT = 1e-8, 10_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -121,8 +124,8 @@ def likeness(token: str) -> str:
     return "d" + digits[-7:] if len(digits) >= 7 else "t" + token.strip(".,()").lower()
 
 
-def graph(text: str) -> tuple[list[tuple[int, int]], list[int], list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int, int]]]:
-    """Tokens, their evidence (0 none, else 1 + kind), chain edges, skip edges and base spans."""
+def graph(text: str) -> tuple[list[tuple[int, int]], list[int], list[tuple[int, int]], list[list[int]], list[tuple[int, int, int]]]:
+    """Tokens, their evidence (0 none, else 1 + kind), chain edges, groups of like tokens and base spans."""
     base, spans = base_spans(text), tokens(text)
     label, j = [], 0
     ordered = sorted(base, key=lambda s: s[2])
@@ -131,13 +134,31 @@ def graph(text: str) -> tuple[list[tuple[int, int]], list[int], list[tuple[int,
             j += 1
         label.append(next((1 + k for s, k, e in ordered[j : j + 4] if s < b and e > a), 0))
     chain = [(i, i + 1) for i in range(len(spans) - 1) if not text[spans[i][1] : spans[i + 1][0]].strip()]
-    skip, last = [], {}
+    groups: dict[str, list[int]] = {}
     for i, (a, b) in enumerate(spans):
-        key = likeness(text[a:b])
-        if key in last and (last[key], i) not in chain[-1:]:
-            skip.append((last[key], i))
-        last[key] = i
-    return spans, label, chain, skip, base
+        groups.setdefault(likeness(text[a:b]), []).append(i)
+    return spans, label, chain, [g for g in groups.values() if len(g) > 1], base
+
+
+def pairs(chain: list[tuple[int, int]], groups: list[list[int]]) -> list[tuple[int, int]]:
+    """Every token and its last like token, but for those that follow each other: what the skip factor is counted on."""
+    linked = set(chain)
+    return [e for g in groups for e in zip(g, g[1:]) if e not in linked]
+
+
+def skips(label: list[int], chain: list[tuple[int, int]], groups: list[list[int]]) -> list[tuple[int, int]]:
+    """Edges, earlier token first, from the hubs of each group to its tokens without evidence."""
+    linked, out = set(chain), []
+    for g in groups:
+        hubs: dict[int, int] = {}
+        for i in g:
+            if label[i]:
+                hubs.setdefault(label[i], i)
+        for i in g:
+            if not label[i]:
+                # Two open tokens that follow each other have the chain's factor; evidence speaks to its neighbours as well.
+                out += [(min(h, i), max(h, i)) for h in hubs.values()] or [e for e in ((g[0], i),) if g[0] != i and e not in linked]
+    return out
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,10 +166,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in batch.column("text").to_pylist():
             text = text or ""
-            spans, label, chain, skip, _ = graph(text)
+            spans, label, chain, groups, _ = graph(text)
             for (a, b), y in zip(spans, label, strict=True):
                 seen["node", shape(text[a:b]), y, 0] += 1
-            for name, edges in (("chain", chain), ("skip", skip)):
+            for name, edges in (("chain", chain), ("skip", pairs(chain, groups))):
                 for i, j in edges:
                     seen[name, "", label[i], label[j]] += 1
     keys = sorted(seen)
@@ -183,8 +204,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     }
 
 
-def marginals(n: int, unary: np.ndarray, edges: list[tuple[int, int, np.ndarray]], rounds: int = ROUNDS) -> np.ndarray:
-    """Sum-product beliefs of ``n`` nodes after some rounds of loopy message passing (all edges at once, damped)."""
+def marginals(n: int, unary: np.ndarray, edges: list[tuple[int, int, np.ndarray]], rounds: int = LIMIT) -> np.ndarray:
+    """Sum-product beliefs of ``n`` nodes: damped loopy message passing, all edges at once, until no message changes."""
     labels = unary.shape[1]
     if not edges:
         out = np.exp(unary - unary.max(1, keepdims=True))
@@ -195,14 +216,20 @@ def marginals(n: int, unary: np.ndarray, edges: list[tuple[int, int, np.ndarray]
     both = np.concatenate([factor, factor.transpose(0, 2, 1)])  # message s -> t: sum over the labels of s
     m, half = np.zeros((len(source), labels)), len(edges)
     back = np.r_[np.arange(half, 2 * half), np.arange(half)]
-    for _ in range(rounds):
+    step = 0.5
+    for done in range(1, rounds + 1):
         belief = unary.copy()
         np.add.at(belief, target, m)
         out = belief[source] - m[back]
         out = np.exp(out - out.max(1, keepdims=True))
         new = np.log(np.einsum("es,est->et", out, both) + 1e-300)
         new -= new.max(1, keepdims=True)
-        m = 0.5 * m + 0.5 * new
+        change = np.abs(new - m).max()
+        m += step * (new - m)
+        if change <= BOUND:
+            break
+        if done % 1000 == 0:
+            step /= 2
     belief = unary.copy()
     np.add.at(belief, target, m)
     out = np.exp(belief - belief.max(1, keepdims=True))
@@ -211,7 +238,8 @@ def marginals(n: int, unary: np.ndarray, edges: list[tuple[int, int, np.ndarray]
 
 def all_spans(text: str, model: dict) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and base and field spans together, both as (start, kind, end) by start, then kind."""
-    spans, label, chain, skip, base = graph(text)
+    spans, label, chain, groups, base = graph(text)
+    skip = skips(label, chain, groups)
     if not spans or all(label) or not (any(label) or skip):
         # Everything is evidence, or nothing links a token to a kind: only the factor of its shape could speak.
         if not spans or all(label):
@@ -221,9 +249,10 @@ def all_spans(text: str, model: dict) -> tuple[list[tuple[int, int, int]], list[
     unary = np.array([model["node"].get(shape(text[a:b]), flat) for a, b in spans])
     for t, y in enumerate(label):
         if y:
-            unary[t] = -40.0
+            unary[t] = -np.inf
             unary[t, y] = 0.0
-    edges = [(i, j, np.array(model["chain"])) for i, j in chain] + [(i, j, np.array(model["skip"])) for i, j in skip]
+    factor = {name: np.array(model[name]) for name in ("chain", "skip")}
+    edges = [(i, j, factor["chain"]) for i, j in chain] + [(i, j, factor["skip"]) for i, j in skip]
     best = marginals(len(spans), unary, edges).argmax(1)
     added: list[tuple[int, int, int]] = []
     linked = set(chain)

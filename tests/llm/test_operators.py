@@ -332,6 +332,27 @@ def test_marginals_on_a_tree_are_exact():
     assert np.allclose(got, [joint.sum((1, 2)), joint.sum((0, 2)), joint.sum((0, 1))], atol=1e-6)
 
 
+def test_evidence_reaches_every_like_mention():
+    """Fifty mentions whose shape speaks for none, with the entity's evidence before, among or after them."""
+    node, like = np.full(5, 0.5), 1 + np.diag([2000.0, 20, 20, 20, 20])
+    node[0] += 50
+    like = np.log(like * like.sum() / np.outer(like.sum(1), like.sum(0)))
+    model = {"node": {pii.shape("2035557713"): np.log(node / node.sum()).tolist()}, "chain": np.zeros((5, 5)).tolist(), "skip": like.tolist()}
+    for at in (0, 25, 50):
+        said = ["at 2035557713 again"] * 50
+        said.insert(at, "call +12035557713 now")
+        base, every = pii.all_spans("; ".join(said), model)
+        assert [k for _, k, _ in base] == [3] and [k for _, k, _ in every] == [3] * 51
+    assert pii.all_spans("; ".join(["at 2035557713 again"] * 50), model) == ([], [])
+
+
+def test_messages_pass_to_the_end_of_a_long_chain():
+    unary, same = np.zeros((60, 2)), np.log(np.array([[0.99, 0.01], [0.01, 0.99]]))
+    unary[0] = 0.0, -np.inf
+    got = pii.marginals(60, unary, [(i, i + 1, same) for i in range(59)])
+    assert np.allclose(got[:, 0], 0.5 + 0.5 * 0.98 ** np.arange(60), atol=1e-5)
+
+
 # ------------------------------------------------------------------ 9
 
 
