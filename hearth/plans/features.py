@@ -61,6 +61,13 @@ def latest_partition(spark, sf):
     return r.join(F.broadcast(last), "day").select(F.col("day").cast("string").alias("day"), "listing_key")
 
 
+def balanced(listed):
+    return clean.balanced(listed, "province").groupBy("province").agg(F.count("*").alias("n"), F.min("listing_key").alias("first"))
+
+
+BALANCED = "c AS (SELECT province, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, province) AS k, lead(count(*)) OVER (ORDER BY count(*) DESC, province) AS second FROM f GROUP BY province), r AS (SELECT f.*, row_number() OVER (PARTITION BY province ORDER BY md5(listing_key), listing_key) AS k FROM f) SELECT r.province, count(*) AS n, min(r.listing_key) AS first FROM r JOIN c ON c.province = r.province WHERE r.k <= CASE WHEN c.k = 1 THEN floor(coalesce(c.second, c.n) * 1.2::DOUBLE) ELSE c.n END GROUP BY r.province"
+
+
 PLANS = {
     "critical_filter": (
         lambda s, d: rows(s, d).where(clean.in_ranges(clean.CRITICAL | {"floor_count": (1, 99)}, ("floor_count",))).select("listing_key", "price"),
@@ -123,9 +130,10 @@ PLANS = {
         with_listings("SELECT ('0x' || substr(md5(listing_key), 1, 7))::INT % 100 < 80 AS train, count(*) AS n FROM listings GROUP BY 1"),
     ),
     "balance": (
-        lambda s, d: clean.balanced(rows(s, d).where("province <> 'ASIA' or district_id < 10"), "province").groupBy("province").agg(F.count("*").alias("n"), F.min("listing_key").alias("first")),
-        with_listings("f AS (SELECT * FROM listings WHERE province <> 'ASIA' OR district_id < 10), c AS (SELECT province, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, province) AS k, lead(count(*)) OVER (ORDER BY count(*) DESC, province) AS second FROM f GROUP BY province), r AS (SELECT f.*, row_number() OVER (PARTITION BY province ORDER BY md5(listing_key), listing_key) AS k FROM f) SELECT r.province, count(*) AS n, min(r.listing_key) AS first FROM r JOIN c ON c.province = r.province WHERE r.k <= CASE WHEN c.k = 1 THEN floor(coalesce(c.second, c.n) * 1.2::DOUBLE) ELSE c.n END GROUP BY r.province"),
+        lambda s, d: balanced(rows(s, d).where("province <> 'ASIA' or district_id < 10")),
+        with_listings(f"f AS (SELECT * FROM listings WHERE province <> 'ASIA' OR district_id < 10), {BALANCED}"),
     ),
+    "balance_all": (lambda s, d: balanced(rows(s, d)), with_listings(f"f AS (SELECT * FROM listings), {BALANCED}")),
     "unknown_to_null": (
         lambda s, d: features.null_if_unknown(rows(s, d).select("listing_key", F.coalesce("bedroom", F.lit(-1)).alias("bedroom")), ["bedroom"]).agg(F.count("*").alias("n"), F.count("bedroom").alias("known")),
         with_listings("SELECT count(*) AS n, count(bedroom) AS known FROM listings"),

@@ -144,6 +144,17 @@ def test_checked_filter(spark):
         clean.checked(rows, rows.where("id = 1"), least=0.5)
 
 
+def test_balance_all_reads_every_listing(spark):
+    from hearth.plans import registry
+    from hearth.sources.adapters import listings
+
+    sf = "/root/testdata/sf0.001"
+    sizes = sorted(((r["count"], r.province) for r in listings(spark, sf).groupBy("province").count().collect()), key=lambda x: (-x[0], x[1]))
+    most = int(sizes[1][0] * 1.2)
+    want = {p: min(n, most) if k == 0 else n for k, (n, p) in enumerate(sizes)}
+    assert {r.province: r.n for r in registry.QUERIES["balance_all"](spark, sf).collect()} == want
+
+
 def test_raw_reader_turns_empty_text_to_null(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"price": "", "title": " x ", "zzz": 1}\n')
     rows = tables.read_raw(spark, str(tmp_path), tables.RAW_A)
