@@ -92,7 +92,7 @@ PLANS = {
         store_days,
         with_listings("SELECT strftime(posted_date, '%Y-%m') AS month, count(*) AS n, round(sum(CASE WHEN strftime(posted_date, '%Y-%m') = '1996-03' THEN 1.0::DOUBLE ELSE price END))::BIGINT AS total FROM listings WHERE strftime(posted_date, '%Y-%m') BETWEEN '1996-02' AND '1996-06' GROUP BY 1"),
     ),
-    "train_forest": (lambda s, d: _evaluated(s, d, models.forest(features.FEATURES, trees=10, depth=6)), None),
-    "train_boosted": (lambda s, d: _evaluated(s, d, models.boosted(features.FEATURES, trees=5, depth=4, step=0.3)), None),
+    "train_forest": (lambda s, d: _evaluated(s, d, models.forest(features.FEATURES)), None),
+    "train_boosted": (lambda s, d: _evaluated(s, d, models.boosted(features.FEATURES)), None),
     "train_linear": (lambda s, d: _evaluated(s, d, models.linear(features.FEATURES, ["house_type"]), F.exp), None),
 }

@@ -180,6 +180,15 @@ def test_days_and_sizes(spark, tmp_path):
     assert tables.read_files(spark, str(tmp_path / "c"), "csv", "*.csv").count() >= 99
 
 
+def test_trained_models_are_whole(spark, monkeypatch):
+    from hearth.plans import streams
+
+    monkeypatch.setattr(streams, "_evaluated", lambda spark, sf, pipeline, *a: pipeline.getStages()[-1])
+    forest, trees = (streams.PLANS[n][0](spark, "") for n in ("train_forest", "train_boosted"))
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (200, 15)
+    assert (trees.getMaxIter(), trees.getMaxDepth(), trees.getStepSize()) == (200, 6, 0.05)
+
+
 def test_stream_drops_seen_keys(spark, tmp_path):
     rows = spark.createDataFrame([(1, "2024-01-01"), (1, "2024-01-01"), (2, "2024-01-02")], "k int, d string").withColumn("t", F.to_timestamp("d"))
     rows.write.parquet(str(tmp_path / "in"))
