@@ -57,12 +57,12 @@ def stream_distinct(spark, sf):
 
 
 def store_days(spark, sf):
-    """Written by day, one day overwritten, a pruned window read back."""
+    """All listings written by day, the days of one month overwritten, a pruned window read back."""
     path = f"{_work(spark)}/days"
-    rows = listings(spark, sf).select("listing_key", "price", F.date_format("posted_date", "yyyy-MM").alias("dt")).where("dt between '1996-01' and '1996-06'")
+    rows = listings(spark, sf).select("listing_key", "price", F.date_format("posted_date", "yyyy-MM-dd").alias("dt"))
     tables.write_days(rows.repartition("dt"), path)
-    tables.write_days(rows.where("dt = '1996-03'").withColumn("price", F.lit(1.0)), path)
-    back = spark.read.parquet(path).where(F.col("dt").cast("string") >= "1996-02")
+    tables.write_days(rows.where("dt between '1996-03-01' and '1996-03-31'").withColumn("price", F.lit(1.0)).repartition("dt"), path)
+    back = tables.read_days(spark, path, "1996-06-30", 151)
     return back.groupBy(F.date_format(F.col("dt"), "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.round(F.sum("price")).cast("long").alias("total"))
 
 

@@ -180,6 +180,22 @@ def test_days_and_sizes(spark, tmp_path):
     assert tables.read_files(spark, str(tmp_path / "c"), "csv", "*.csv").count() >= 99
 
 
+def test_store_days_writes_every_day(spark):
+    from hearth.plans import registry
+    from hearth.sources.adapters import listings
+
+    sf, written = "/root/testdata/sf0.001", []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tables, "write_days", lambda rows, path, f=tables.write_days: (written.append(path), f(rows, path)))
+        registry.QUERIES["store_days"](spark, sf)
+    stored = spark.read.parquet(written[0])
+    posted = listings(spark, sf).select(F.to_date("posted_date").alias("day"))
+    count = lambda rows, day: {r[0]: r[1] for r in rows.groupBy(F.col(day).cast("date")).count().collect()}
+    assert count(stored, "dt") == count(posted, "day")
+    ones = stored.where("price = 1").select(F.date_format(F.col("dt"), "yyyy-MM")).distinct().collect()
+    assert [r[0] for r in ones] == ["1996-03"]
+
+
 def test_trained_models_are_whole(spark, monkeypatch):
     from hearth.plans import streams
 
