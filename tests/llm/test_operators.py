@@ -257,6 +257,14 @@ def test_clean_documents_stay(spark):
     assert decontaminate.leaks(spark, docs, bench.limit(0)).count() == 0 == decontaminate.leaks(spark, docs.limit(0), bench).count()
 
 
+def test_short_and_unspaced_items_match():
+    items = ["kelura fu", "moses", "one two three four", "\u4ec0\u4e48\u662f\u673a\u5668\u5b66\u4e60", "\u3053\u3093", None, ""]
+    texts = ["a Kelura, fu b", "kelura x fu", "moses", "one two three five", "zero one two three four five"]
+    texts += ["\u8bf7\u95ee\u4ec0\u4e48\u662f\u673a\u5668\u5b66\u4e60\u5462", "\u4ec0\u4e48\u662f\u6a5f\u5668\u5b66\u4e60", "x\u3053\u3093\u306b", "\u3053", None, "mosesx"]
+    found = decontaminate.matches(texts, decontaminate.Items(list(range(len(items))), items))
+    assert sorted(found) == [(0, 0, 0), (2, 1, 0), (4, 2, 0), (5, 3, 0), (6, 3, 1), (7, 4, 0)]
+
+
 # ------------------------------------------------------------------ 7
 
 
