@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ship(module: str) -> None:
@@ -50,6 +51,25 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/hearth-{name}-{uuid.uuid4().hex}"
 
 
+HOT_KEYS = 1024  # a key is hot if it holds over this part of the rows, so there are fewer hot keys than this
+HOT_ROWS = 256
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, total: int) -> DataFrame:
+    """Inner join of ``many`` with the single row of each key in ``one``; hot keys are dealt over several tasks.
+
+    ``counts`` has the ``key`` and its number ``n`` of rows in ``many``, ``total`` is at least the number of all rows.  A key is hot
+    above ``total / HOT_KEYS`` rows (``HOT_ROWS`` at least), which bounds the broadcast of hot keys to ``HOT_KEYS`` rows.  Its rows are
+    dealt by a hash into parts of about that size, and its row of ``one`` is copied to each part.
+    """
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    hot = F.broadcast(counts.where(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = many.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(*many.columns), parts).cast("int")).drop("_parts")
+    copies = one.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(copies, [key, "_part"]).drop("_part")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or with underscores before it until no column has it."""
     taken = {c.lower() for c in df.columns}

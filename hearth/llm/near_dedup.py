@@ -11,15 +11,17 @@ Bands of rows of the signature form buckets.  Texts that are equal are collapsed
 compared with its head, the text that shares most buckets with others; a pair is a link if its exact similarity reaches
 the threshold.  Where the links leave a bucket in several components, its texts outside the largest are compared with all
 of the others: in small buckets by pairs, but for those that the triangle inequality of the Jaccard distance (through the
-head) rules out; in larger ones by blocks of texts that meet two by two in a task, which counts common shingles over an
-inverted index and emits one link for each text and other component.  Classes are the connected components of the links.
+head) rules out; in larger ones in blocks: a block of texts outside the largest component and a block of any texts of the bucket
+meet in a task, which counts common shingles over an inverted index and emits one link for each text and other component.
+Classes are the connected components of the links.
 So no pair that shares a bucket is lost from the classes, while a large group of near copies, once its head has linked it,
-costs one comparison a text and band and not all its pairs.
+costs one comparison a text and band and not all its pairs.  Hot buckets, heads, hubs, classes and copied texts are dealt over
+several tasks (``common.spread_join``).
 
 At the defaults (28 bands of 6 rows) a pair at similarity 0.8 shares a bucket with probability 0.9998.
 
 Defined cases: null and empty texts and texts without words are equal only to the same text (null counts as empty); the class id is the
-least non-null ``doc_id`` of the class, null if all are null; ties and repeated rows fall in one class; an empty table
+least non-null ``doc_id`` of the class, null if all are null; different texts with the same id stay in their own classes (``root``); ties and repeated rows fall in one class; an empty table
 gives an empty result; further columns are ignored.
 """
 
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, free_name, ship, slices
+from hearth.llm.common import cut, free_name, ship, slices, spread_join
 from hearth.llm.graph import components
 from hearth.llm.shingles import mix, shingle_hashes
 
@@ -128,77 +130,91 @@ def _compared(width: int):
     return run
 
 
-def compare(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """``a, b, sim`` of the pairs, from ``fp, text``; only texts that occur in a pair are shuffled."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    kept = texts.join(wanted, "fp", "left_semi").dropDuplicates(["fp"])
+def one_text_each(texts: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``fp, text`` of the wanted ``fp``, from ``doc_id, fp, text``.
+
+    Rows meet by text and id, ``firsts`` naming the id to take, so that the copies of one text are dealt over many tasks.
+    """
+    named = firsts.join(wanted, "fp", "left_semi").select(F.col("fp").alias("f"), "first_id")
+    same = (F.col("fp") == F.col("f")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    return texts.join(named, same, "left_semi").select("fp", "text").dropDuplicates(["fp"])
+
+
+def compare(pairs: DataFrame, texts: DataFrame, firsts: DataFrame, width: int, total: int) -> DataFrame:
+    """``a, b, sim`` of at most ``total`` distinct pairs; a text that heads many pairs is copied to several tasks."""
+    kept = one_text_each(texts, firsts, pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct())
     one = kept.select(F.col("fp").alias("a"), F.col("text").alias("ta"))
     two = kept.select(F.col("fp").alias("b"), F.col("text").alias("tb"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(_compared(width), "a binary, b binary, sim double")
+    headed = spread_join(pairs.select("a", "b"), one, "a", pairs.groupBy("a").agg(F.count("*").alias("n")), total)
+    return headed.join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_compared(width), "a binary, b binary, sim double")
 
 
 def _block_links(width: int, threshold: float):
-    """Links between components inside one block pair of one bucket, one for each text and other component."""
-
-    def solved(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
-        roots = [r[2] for r in rows]
-        if len(set(roots)) < 2:
-            return []
-        hashes, counts = shingle_hashes([r[3] for r in rows], width)
-        units, owner = weighted(hashes, counts)
-        order = np.argsort(units, kind="stable")
-        units, owner = units[order], owner[order]
-        start = np.flatnonzero(np.r_[True, units[1:] != units[:-1]])
-        group = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(units)]))
-        stop = np.r_[start[1:], len(units)]
-        number = {r: i for i, r in enumerate(dict.fromkeys(roots))}
-        root = np.array([number[r] for r in roots])
-        largest = np.bincount(root).argmax()
-        mine = np.argsort(owner, kind="stable")
-        bounds = np.r_[0, np.cumsum(counts)]
+    """Links from the open texts of a block to the texts of another block of one bucket, one for each text and other component."""
+
+    def solved(rows: list[tuple]) -> pa.RecordBatch:
+        opened = [i for i, r in enumerate(rows) if r[4]]
+        number = {r[2]: i for i, r in enumerate(rows)}
+        root = np.array([number[r[2]] for r in rows])
         out = []
-        for i in np.flatnonzero(root != largest):
-            g = group[mine[bounds[i] : bounds[i + 1]]]
-            n = stop[g] - start[g]
-            posted = owner[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[g], n)]
-            both = np.bincount(posted, minlength=len(rows))
-            near = np.flatnonzero((both >= threshold * (counts[i] + counts - both)) & (root != root[i]))
-            _, first = np.unique(root[near], return_index=True)
-            out += [(rows[i][1], rows[j][1]) for j in near[first].tolist()]
-        return out
+        if opened and len(number) > 1:
+            hashes, counts = shingle_hashes([r[3] for r in rows], width)
+            units, owner = weighted(hashes, counts)
+            order = np.argsort(units, kind="stable")
+            units, owner = units[order], owner[order]
+            start = np.flatnonzero(np.r_[True, units[1:] != units[:-1]])
+            group = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(units)]))
+            stop = np.r_[start[1:], len(units)]
+            mine = np.argsort(owner, kind="stable")
+            bounds = np.r_[0, np.cumsum(counts)]
+            for i in opened:
+                g = group[mine[bounds[i] : bounds[i + 1]]]
+                n = stop[g] - start[g]
+                posted = owner[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[g], n)]
+                both = np.bincount(posted, minlength=len(rows))
+                near = np.flatnonzero((both >= threshold * (counts[i] + counts - both)) & (root != root[i]))
+                _, first = np.unique(root[near], return_index=True)
+                out += [(rows[i][1], rows[j][1]) for j in near[first].tolist()]
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("pair", "b", "root", "text")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("pair", "b", "root", "text", "opened")), strict=True):
                 if held and held[-1][0] != row[0]:
-                    yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in solved(held)], schema=made)
+                    yield solved(held)
                     held = []
                 held.append(row)
         if held:
-            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in solved(held)], schema=made)
+            yield solved(held)
 
-    made = pa.schema([("a", pa.binary()), ("b", pa.binary())])
     return run
 
 
 def classes(
     spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """``doc_id, class_id, fp`` of every row of ``doc_id, text``; ``fp`` is the text's own identity (md5)."""
+    """``doc_id, class_id, fp, root`` of every row of ``doc_id, text``.
+
+    ``fp`` is the text's own identity (md5), ``root`` that of the class: different classes have different roots, while they share a
+    ``class_id`` where texts of different classes have the same least id.
+    """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("fp", F.unhex(F.md5("text")))
     kind = dict(docs.dtypes)["doc_id"]
     signed = cut(spark, texts.mapInArrow(_signed(width, bands, rows), f"doc_id {kind}, fp binary, keys array<long>"))
-    distinct = signed.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys"))
+    total = signed.count()
+    distinct = cut(spark, signed.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys"), F.count("*").alias("n")))
+    firsts = distinct.select("fp", "first_id")
     spots = distinct.select(F.explode("keys").alias("key"), F.col("fp").alias("b"))
     shared = spots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = cut(spark, spots.join(shared, "key"))
+    met = cut(spark, spread_join(spots, shared, "key", shared, total * bands))
+    spotted = met.count()
     # A bucket's head is the text that meets most others over all its buckets: the middle of a group of near copies.
     ranked = met.join(met.groupBy("b").agg(F.sum("n").alias("meets")), "b")
-    heads = ranked.groupBy("key").agg(F.max(F.struct("meets", "b"))["b"].alias("a"))
-    members = cut(spark, met.join(heads, "key").select("key", "n", "a", "b"))
-    bodies = texts.select("fp", "text")
-    first = cut(spark, compare(members.where("a <> b").select("a", "b").distinct(), bodies, width))
+    heads = ranked.groupBy("key").agg(F.max(F.struct("meets", "b"))["b"].alias("a"), F.max("n").alias("n"))
+    members = cut(spark, spread_join(met.select("key", "b"), heads, "key", heads, spotted))
+    headed = cut(spark, members.where("a <> b").select("a", "b").distinct())
+    first = cut(spark, compare(headed, texts, firsts, width, headed.count()))
     links = first.where(F.col("sim") >= threshold).select("a", "b")
     roots = cut(spark, components(spark, links))
     # Buckets that still span several components.
@@ -206,37 +222,45 @@ def classes(
         members.join(first, ["a", "b"], "left").join(roots.withColumnRenamed("node", "b"), "b", "left")
         .select("key", "n", "b", F.coalesce("sim", F.lit(1.0)).alias("sim"), F.coalesce("root", "b").alias("root"))
     )
-    split = placed.where("n > 2").groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    open_ = cut(spark, placed.join(split, "key", "left_semi"))
+    split = placed.where("n > 2").groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("n").alias("n")).where("r0 <> r1").select("key", "n")
+    open_ = cut(spark, spread_join(placed.drop("n"), split, "key", split, spotted))
     # Small ones: pairs between components, but for those that the triangle inequality excludes.
     small = open_.where(F.col("n") <= SMALL)
     x, y = small.alias("x"), small.alias("y")
     near = (F.col("x.root") != F.col("y.root")) & (F.col("x.b") < F.col("y.b")) & (F.abs(F.col("x.sim") - F.col("y.sim")) <= 1 - threshold)
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & near).where("x.sim < 1 and y.sim < 1").select(F.col("x.b").alias("a"), F.col("y.b").alias("b")).distinct()
-    second = compare(rest.join(first, ["a", "b"], "left_anti"), bodies, width).where(F.col("sim") >= threshold).select("a", "b")
-    # Large ones: blocks of the bucket meet two by two, and only links leave the task.
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("b"), blocks).cast("int")
-    other = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.concat_ws(":", F.col("key"), F.least(mine, j), F.greatest(mine, j)))
-    large = open_.where(F.col("n") > SMALL).select(F.explode(other).alias("pair"), "b", "root")
-    wanted = open_.where(F.col("n") > SMALL).select(F.col("b").alias("fp")).distinct()
-    held = bodies.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]).withColumnRenamed("fp", "b")
-    third = large.join(held, "b").repartition("pair").sortWithinPartitions("pair", "b").mapInArrow(_block_links(width, threshold), "a binary, b binary")
+    untried = cut(spark, rest.join(first, ["a", "b"], "left_anti"))
+    second = compare(untried, texts, firsts, width, untried.count()).where(F.col("sim") >= threshold).select("a", "b")
+    # Large ones: the texts outside the largest component, in blocks, meet the blocks of all texts; only links leave the task.
+    big = open_.where(F.col("n") > SMALL)
+    sizes = big.groupBy("key", "root").agg(F.count("*").alias("m"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("m", "root"))["root"].alias("top"), (F.sum("m") - F.max("m")).alias("outside"), F.sum("m").alias("n"))
+    marked = spread_join(big.select("key", "b", "root"), largest, "key", largest, spotted)
+    every, some = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("outside") / BLOCK).cast("int")
+    pair = lambda i, j: F.concat_ws(":", F.col("key"), i, j)
+    left = marked.where("root <> top").withColumn("i", F.pmod(F.xxhash64("b"), some)).select(
+        F.explode(F.transform(F.sequence(F.lit(0), every - 1), lambda j: pair(F.col("i"), j))).alias("pair"), "b", "root", F.lit(True).alias("opened")
+    )
+    right = marked.withColumn("j", F.pmod(F.xxhash64("b"), every)).select(
+        F.explode(F.transform(F.sequence(F.lit(0), some - 1), lambda i: pair(i, F.col("j")))).alias("pair"), "b", "root", F.lit(False).alias("opened")
+    )
+    held = one_text_each(texts, firsts, big.select(F.col("b").alias("fp")).distinct()).withColumnRenamed("fp", "b")
+    met_blocks = left.unionByName(right).groupBy("pair", "b", "root").agg(F.max("opened").alias("opened"))
+    third = met_blocks.join(held, "b").repartition("pair").sortWithinPartitions("pair", "b").mapInArrow(_block_links(width, threshold), "a binary, b binary")
     more = cut(spark, second.unionByName(third).distinct())
     final = roots if more.isEmpty() else components(spark, links.unionByName(more))
-    named = distinct.select("fp", "first_id").join(final.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    named = distinct.select("fp", "first_id", "n").join(final.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root"))
     ids = cut(spark, named)
-    by_class = ids.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    by_text = ids.join(by_class, "root").select("fp", "class_id")
-    return signed.select("doc_id", "fp").join(by_text, "fp").select("doc_id", "class_id", "fp")
+    by_class = ids.groupBy("root").agg(F.min("first_id").alias("class_id"), F.count("*").alias("n"))
+    by_text = spread_join(ids.select("fp", "root"), by_class.select("root", "class_id"), "root", by_class, total)
+    return spread_join(signed.select("doc_id", "fp"), by_text, "fp", ids.select("fp", "n"), total).select("doc_id", "class_id", "fp", "root")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class: the first by (doc_id, text); columns are kept as they are."""
     found = classes(spark, docs, **options)
     name = lambda doc_id, fp: F.unhex(F.md5(F.concat_ws(":", F.hex(fp), F.coalesce(doc_id.cast("string"), F.lit("null")))))
-    group = F.coalesce(F.col("class_id").cast("string"), F.hex("fp"))
-    best = found.groupBy(group.alias("c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("k"))
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("k"))
     row = free_name(docs, "_row")
     kept = best.select(name(F.col("k.doc_id"), F.col("k.fp")).alias(row))
     marked = docs.withColumn(row, name(F.col("doc_id"), F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))))

@@ -135,7 +135,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.classes(spark, table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+    found = near_dedup.classes(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", F.lower(F.hex("root")).alias("class_key"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

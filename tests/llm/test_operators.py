@@ -418,6 +418,26 @@ def test_keep_one_of_each_class(spark):
     assert near_dedup.keep_one(spark, docs.limit(0)).count() == 0
 
 
+def test_same_id_with_different_texts_loses_none(spark):
+    a, b, c = prose(100), prose(100), prose(100)
+    docs = documents(spark, [a, b, c, a + " tail", a], [1, 1, 2, 1, 1])
+    found = near_dedup.classes(spark, docs).collect()
+    assert len({r.root for r in found}) == 3 and {r.class_id for r in found} == {1, 2}
+    assert sorted(r.text[:80] for r in near_dedup.keep_one(spark, docs).collect()) == sorted(t[:80] for t in (a, b, c))
+
+
+def test_hot_groups_are_spread_without_loss(spark, monkeypatch):
+    from hearth.llm import common, graph
+
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    monkeypatch.setattr(common, "HOT_KEYS", 1 << 40)
+    test_classes_equal_brute_force(spark)
+    test_keep_one_of_each_class(spark)
+    star = [(0, i) for i in range(1, 60)] + [(59, 60), (70, 71), (71, 72), (80, 80)]
+    got = {r.node: r.root for r in graph.components(spark, spark.createDataFrame(star, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(61), 0), 70: 70, 71: 70, 72: 70}
+
+
 # ------------------------------------------------------------------ 10
 
 
