@@ -4,30 +4,30 @@ A block holds whole documents of about ``BLOCK_TOKENS`` ids and is coded from a
 ``LANES`` runs that are coded in step, each with a coder state of its own, over one model that all runs teach::
 
     order 2   the id that last followed the two ids before, with a confidence
-    order 1   the id that last followed the id before, with a confidence
+    order 1   the two ids that followed the id before most surely, each with a confidence
     order 0   counts of all ids so far
 
-The share of each prediction is the measured hit rate at its confidence; the shares are mixed into one distribution per
-id, and a 64-bit carry-less range coder narrows to it.  Encoder and decoder run the same model code.
+Their weights are learned in every step from how often they were right at that confidence, the weighted predictions add up to one
+distribution per id, and a 64-bit carry-less range coder narrows to it.  Encoder and decoder run the same model code.
 
 Block layout (little-endian)::
 
-    magic "HTB1" | u32 crc32 of the rest | u32 sizes of the three parts | parts
-    zlib: i64 doc ids, null flags, u32 lengths | zlib: u32 alphabet | u32 words: n, lanes, words per lane, coder words
-
-and the decoded ids are checked against a crc32 of their own, kept in the second part.
+    magic "HTB2" | u32 crc32 of the rest | u32 sizes of the three parts | parts
+    zlib: u32 n, i64 doc ids, null flags, u32 lengths
+    zlib: u32 crc32 of the ids, u32 number of ids, u32 lanes, u32 words of each lane, u32 alphabet
+    u32 coder words
 
 The dataset is a Parquet table of blocks (``part, block, n_tokens, payload``): Spark's committer makes it whole although
 executors are lost, and any store that Spark writes will do.  Rows are in (part, block) order by ascending doc id.
 
 Defined cases: a null text is an empty document (its end id only); null doc ids come first; equal ids are ordered by
-text and keep one entry each; an empty table gives no blocks; a document is never split, so one longer than a block
+the md5 of their text, null first, and keep one entry each; an empty table gives no blocks; a document is never split, so one longer than a block
 makes a larger block; further columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -42,118 +42,155 @@ from hearth.llm.common import ship, slices
 
 ship(__name__)
 
-BLOCK_TOKENS = 1 << 20
-LANES = 2048
-CACHED = 1_200_000
+BLOCK_TOKENS = 1 << 21
+LANES = 4096
+CACHED = 400_000
 _TOTAL, _ZERO = 24, 18  # bits of the whole distribution and of the order-0 table
-_LEVELS, _HASH = 16, 1 << 18
+_WHOLE = float((1 << _TOTAL) - (1 << 20))  # the most that ids of orders 1 and 2 share
+_FIRST, _HASH = 2, 1 << 18  # predictions of order 1; places of order 2
+_PRIOR = float(8 << _TOTAL)
 _LOW32 = np.uint64(0xFFFFFFFF)
 
 # ---------------------------------------------------------------- tokens
 
-# Where every character is Latin, the tokenizer's own splitter comes to these classes.
-_OTHER = re.compile("[^\\x00-\\u024f]|[\\x1c-\\x1f\\x85\\xa0²³¹¼½¾]")
-_RARE = re.compile("[\\x1c-\\x1f]")
-_L = "A-Za-z\\u00aa\\u00b5\\u00ba\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f"
-_PIECE = re.compile(rf" ?[{_L}]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\s{_L}0-9]+|\s+(?!\S)|\s+")
+# A byte-level tokenizer that splits by the usual pattern (an optional space and letters, digits or other signs; white space)
+# always splits a text before the last of some white space that is a space or a line feed, after it if it is a line feed,
+# and between an ASCII letter and a sign other than an apostrophe.  ``_SOLID`` bytes begin characters that are no white space for
+# certain.  Texts are cut there and each different piece is encoded once.
+_SOLID = np.zeros(256, bool)
+_SOLID[0x21:0x7F] = _SOLID[0xC3:0xE0] = True
+_LETTER, _SIGN = np.zeros(256, bool), np.zeros(256, bool)
+for _c in range(0x21, 0x7F):
+    (_LETTER if chr(_c).isalpha() else _SIGN)[_c] = not chr(_c).isdigit() and chr(_c) != "'"
+_STOP = 0xFF  # in no UTF-8 text
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library; pieces that it encodes on their own are kept for reuse."""
+    """Ids of whole texts by the tokenizers library; pieces of texts that it encodes on their own are kept for reuse.
+
+    Where the tokenizer is not known to split at the pieces' ends, the library is given whole texts.
+    """
 
     def __init__(self, path: str, end_id: int | None = 2):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.end = b"" if end_id is None else struct.pack("<I", end_id)
-        self.pieces: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.length = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
-        self.length[list(vocabulary.values())] = [len(token) for token in vocabulary]
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Words after a space are encoded some at once: the tokenizer splits their concatenation just there.
-
-        A byte-level token is as long as its bytes are many, which tells where each word's ids end.
+        self.end = np.array([] if end_id is None else [end_id], np.uint32)
+        self.splits = self._known_splits()
+        if self.splits:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.length = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
+            self.length[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        self._forget()
+
+    def _known_splits(self) -> bool:
+        rules = json.loads(self.tokenizer.to_str())
+        splitter, model = rules["pre_tokenizer"] or {}, rules["model"]
+        return (
+            splitter.get("type") == "ByteLevel" and splitter.get("use_regex") is True and splitter.get("add_prefix_space") is False
+            and rules["normalizer"] is None and all(t["special"] for t in rules["added_tokens"]) and model["type"] == "BPE"
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+        )
+
+    def _forget(self) -> None:
+        """Piece 0 is the end of a text."""
+        self.pieces: dict[bytes, int] = {bytes([_STOP]): 0}
+        self.ids, self.ends = [self.end], [np.array([len(self.end)])]
+        self.held = len(self.end)
+
+    def _add(self, pieces: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        n = len(self.pieces)
+        self.pieces.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.ids.append(ids)
+        self.ends.append(ends + self.held)
+        self.held += len(ids)
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where each one's end."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for x in found for i in x], np.uint32), np.cumsum([len(x) for x in found], dtype=np.int64)
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Pieces that begin with a space are encoded many at once: the tokenizer splits between them.
+
+        A byte-level token is as long as its bytes are many, which tells where each piece's ids end.
         """
-        plain = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
-        known = set(plain)
+        spaced = [p for p in pieces if p[0] == 32 and len(p) > 1 and _SOLID[p[1]]]
+        if spaced:
+            ids, _ = self._library([b"".join(spaced[i : i + 500]).decode("utf-8", "surrogatepass") for i in range(0, len(spaced), 500)])
+            ends, wanted = np.cumsum(self.length[ids]), np.cumsum([len(p) for p in spaced])
+            cuts = np.searchsorted(ends, wanted) + 1
+            if cuts[-1] > len(ids) or not np.array_equal(ends[cuts - 1], wanted):
+                raise ValueError("the tokenizer joins pieces that it was expected to split")
+            self._add(spaced, ids, cuts)
+        known = set(spaced)
         rest = [p for p in pieces if p not in known]
-        self.pieces.update(zip(rest, self._library(rest), strict=True))
-        if not plain:
-            return
-        joined = ["".join(plain[i : i + 30]) for i in range(0, len(plain), 30)]
-        ids = np.array([i for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False) for i in e.ids], "<u4")
-        ends = np.cumsum(self.length[ids])
-        wanted = np.cumsum([len(p.encode()) for p in plain])
-        cuts = np.searchsorted(ends, wanted) + 1
-        if not np.array_equal(ends[cuts - 1], wanted):
-            self.pieces.update(zip(plain, self._library(plain), strict=True))
-            return
-        flat = ids.tobytes()
-        self.pieces.update((p, flat[a:b]) for p, a, b in zip(plain, [0, *(cuts[:-1] * 4).tolist()], (cuts * 4).tolist(), strict=True))
+        if rest:
+            self._add(rest, *self._library([p.decode("utf-8", "surrogatepass") for p in rest]))
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        ids, ends = self._library(texts)
+        return [np.concatenate([x, self.end]) for x in np.split(ids, ends[:-1])] if texts else []
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        whole = [t is not None and (not t.isascii() or bool(_RARE.search(t))) and _OTHER.search(t) is not None for t in texts]
-        split = [None if w else _PIECE.findall(t or "") for t, w in zip(texts, whole, strict=True)]
+        if not self.splits or not texts:
+            return self._whole([t or "" for t in texts])
+        data = np.frombuffer(b"".join([(t or "").encode("utf-8", "surrogatepass") + b"\xff" for t in texts]), np.uint8)
+        gap = np.zeros(len(data) + 1, bool)
+        solid = _SOLID[data[1:]]
+        line = solid & (data[:-1] == 10)
+        gap[:-2] = line | solid & (data[:-1] == 32)
+        gap[1:-1] |= line | _LETTER[data[:-1]] & _SIGN[data[1:]]
+        stop = data == _STOP
+        gap[:-1] |= stop
+        gap[1:] |= stop
+        gap[0] = True
+        offsets = np.flatnonzero(gap).astype(np.int32)
+        cut = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        unique, which = cut.dictionary.to_pylist(), cut.indices.to_numpy()
         if len(self.pieces) > CACHED:
-            self.pieces.clear()
-        get = self.pieces.get
-        found = [None if p is None else list(map(get, p)) for p in split]
-        new: set[str] = set()
-        for p, f in zip(split, found, strict=True):
-            if f is not None and None in f:
-                new.update([piece for piece, ids in zip(p, f, strict=True) if ids is None])
+            self._forget()
+        new = [p for p in unique if p not in self.pieces]
         if new:
-            self._learn(list(new))
-            pieces = self.pieces
-            for k, (p, f) in enumerate(zip(split, found, strict=True)):
-                if f is not None and None in f:
-                    found[k] = [pieces[piece] if ids is None else ids for piece, ids in zip(p, f, strict=True)]
-        other = iter(self._library([t for t, w in zip(texts, whole, strict=True) if w]))
-        return [np.frombuffer((next(other) if f is None else b"".join(f)) + self.end, "<u4") for f in found]
-
-
-def encoder(path: str, end_id: int | None = 2) -> Encoder:
-    """One encoder for each worker process and tokenizer; it outlives the task, with its pieces."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_hearth_encoders", {})
-    if (path, end_id) not in kept:
-        kept[path, end_id] = Encoder(path, end_id)
-    return kept[path, end_id]
+            self._learn(new)
+            self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
+        number = np.array([self.pieces[p] for p in unique], np.int64)
+        ends = self.ends[0]
+        begin = np.r_[0, ends[:-1]][number]
+        size = ends[number] - begin
+        n = size[which]
+        stops = np.cumsum(n)
+        at = np.arange(int(stops[-1])) + np.repeat(begin[which] - (stops - n), n)
+        return np.split(self.ids[0][at], stops[which == unique.index(b"\xff")][:-1])
 
 
 # ---------------------------------------------------------------- model and coder
 
 
 class _Model:
-    """Predictions of the next symbol of every lane; taught with the symbols of all lanes at once.
+    """Weighted predictions of the next symbol of every lane; taught with the symbols of all lanes at once.
 
-    A prediction and its confidence share a number (prediction * 16 + confidence).  Counts and hit rates are brought up to
-    date at every step at first, then at every 32nd; the hit rates are then taken from every fourth step.
+    A prediction is an id and its confidence, held as one number (id * 16 + confidence).  Every prediction has the weight of its
+    rank and confidence, the counts of order 0 have weight 1, and shares are weights by their sum.  A weight grows
+    by how often its ids came against the share they were given, in every step.  All arithmetic is that of integers
+    or sums, products and quotients of doubles in a fixed order, so that every machine decodes what any machine encoded.
     """
 
     def __init__(self, symbols: int, lanes: int, inverse: bool):
         self.n, self.inverse, self.step = symbols, inverse, 0
         self.count = np.ones(symbols, np.int64)
-        self.one, self.two = np.zeros(symbols, np.int32), np.zeros(_HASH, np.int32)
+        self.two, self.one = np.zeros(_HASH, np.int32), np.zeros((_FIRST, symbols), np.int32)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        # (missed, hit) by confidence, for order 2 and, where order 2 was another id and missed, for order 1.
-        self.tally = np.tile(np.array([3.0, 1.0]), (2, _LEVELS, 1))
+        self.rank = np.arange(1 + _FIRST, dtype=np.int32)[:, None] * 16
+        self.weight = np.full((1 + _FIRST) * 16, 0.05)
+        self.weight[:16] += np.arange(16) * 0.2
         self.waiting: list[np.ndarray] = []
-        self.judged: list[tuple[np.ndarray, np.ndarray]] = []
 
     def _refresh(self) -> None:
         if self.waiting:
             self.count += np.bincount(np.concatenate(self.waiting), minlength=self.n)
-            self.tally[0] += np.bincount(np.concatenate([x for x, _ in self.judged]), minlength=2 * _LEVELS).reshape(_LEVELS, 2)
-            self.tally[1] += np.bincount(np.concatenate([x for _, x in self.judged]), minlength=2 * _LEVELS + 1)[: 2 * _LEVELS].reshape(_LEVELS, 2)
-            self.waiting, self.judged = [], []
+            self.waiting = []
         room = (1 << _ZERO) - self.n
         freq = 1 + self.count * room // int(self.count.sum())
         freq[int(self.count.argmax())] += (1 << _ZERO) - int(freq.sum())
@@ -161,45 +198,66 @@ class _Model:
         np.cumsum(freq, out=self.cum[1:])
         if self.inverse:
             self.slot = np.repeat(np.arange(self.n, dtype=np.int32), freq)
-        rate = np.minimum(self.tally[:, :, 1] / self.tally.sum(axis=2), 0.97)
-        self.whole = (1 << _TOTAL) - (1 << 20)
-        # Never nothing: a prediction that is right must have a part of the distribution.
-        self.share2 = np.maximum((self.whole * rate[0]).astype(np.int64), 1)
-        self.share1 = np.maximum((rate[1] * 1024).astype(np.int64), 1)
 
     def predict(self) -> None:
-        if self.step < 32 or self.step % 32 == 0:
+        if self.step < 16 or self.step % 8 == 0:
             self._refresh()
         self.h = (self.last * 40503 + self.before * 12289) & (_HASH - 1)
-        self.t2, self.t1 = self.two.take(self.h), self.one.take(self.last)
-        self.p2, self.p1, self.c2, self.c1 = self.t2 >> 4, self.t1 >> 4, self.t2 & 15, self.t1 & 15
-        self.other = self.p1 != self.p2
-        self.a = self.share2.take(self.c2)
-        self.ab = self.a + ((self.whole - self.a) * self.share1.take(self.c1) >> 10) * self.other
-        self.rest = (1 << _TOTAL) - self.ab
+        self.t = np.stack([self.two.take(self.h), *(one.take(self.last) for one in self.one)])
+        self.id = self.t >> 4
+        self.cell = (self.t & 15) + self.rank
+        w = self.weight.take(self.cell)
+        for k in range(1, 1 + _FIRST):  # one id, one share: order 1 adds its weight where order 2 says the same
+            moved = w[k] * (self.id[k] == self.id[0])
+            w[0] += moved
+            w[k] -= moved
+        w *= _WHOLE / (w.sum(axis=0) + 1.0)
+        np.floor(w, out=w)
+        self.given, self.share = w, w.astype(np.int64)
+        self.ends = [self.share[0]]
+        for share in self.share[1:]:
+            self.ends.append(self.ends[-1] + share)
+        self.rest = (1 << _TOTAL) - self.ends[-1]
 
     def interval(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of the symbols' parts of the distribution."""
-        low = self.cum.take(s) * self.rest >> _ZERO
-        high = self.cum[1:].take(s) * self.rest >> _ZERO
-        self.is2, self.is1 = s == self.p2, s == self.p1
-        start = np.where(self.is2, 0, np.where(self.is1, self.a, self.ab + low))
-        return start, np.where(self.is2, self.a, np.where(self.is1, self.ab - self.a, high - low))
+        low, high = self.cum.take(s), self.cum.take(s + 1)
+        low = self.ends[-1] + (low * self.rest >> _ZERO)
+        size = self.ends[-1] + (high * self.rest >> _ZERO) - low
+        self.hit = (self.id == s) & (self.share > 0)
+        for end, share, hit in zip(self.ends, self.share, self.hit, strict=True):
+            np.copyto(low, end - share, where=hit)
+            np.copyto(size, share, where=hit)
+        return low, size
 
     def symbol(self, t: np.ndarray) -> np.ndarray:
-        u = np.maximum(t - self.ab, 0)
         # Both numbers are below 2**42, so the quotient's floor is exact in float64, which divides faster.
-        v = ((((u + 1) << _ZERO) - 1) / self.rest).astype(np.int64)
-        return np.where(t < self.a, self.p2, np.where(t < self.ab, self.p1, self.slot.take(v)))
+        u = np.maximum(t - self.ends[-1], 0)
+        s = self.slot.take((((u + 1 << _ZERO) - 1) / self.rest).astype(np.int64)).astype(np.int64)
+        for end, id_ in zip(self.ends[::-1], self.id[::-1], strict=True):
+            np.copyto(s, id_, where=t < end)
+        return s
 
     def teach(self, s: np.ndarray) -> None:
-        is2, is1, c2, c1 = self.is2, self.is1, self.c2, self.c1
+        cells, m = self.cell.reshape(-1), len(self.weight)
+        came = np.bincount(cells.take(np.flatnonzero(self.hit)), minlength=m) * float(1 << _TOTAL)
+        given = np.bincount(cells, weights=self.given.reshape(-1), minlength=m)
+        self.weight *= (came + given + _PRIOR) / (2.0 * given + _PRIOR)
         self.waiting.append(s)
-        if self.step < 32 or self.step % 4 == 0:
-            self.judged.append((c2 * 2 + is2, np.where(is2 < self.other, c1 * 2 + is1, 2 * _LEVELS)))
-        fresh = s << 4
-        self.two[self.h] = np.where(is2, self.t2 + (c2 < 15), np.where(c2 > 1, self.t2 - c2 + (c2 >> 1), fresh))
-        self.one[self.last] = np.where(is1, self.t1 + (c1 < 15), np.where(c1 > 1, self.t1 - c1 + (c1 >> 1), fresh))
+        fresh = (s << 4).astype(np.int32)
+        # A right prediction gains confidence; the last one of its order ages by a miss, then gives way to the id that came.
+        right = self.id == s
+        c = self.t & 15
+        up = self.t + (right & (c < 15))
+        missed = ~np.logical_or.reduce(right[1:])
+        for k, wrong in ((0, ~right[0]), (-1, missed)):
+            np.copyto(up[k], np.where(c[k] > 1, self.t[k] - c[k] + (c[k] >> 1), fresh), where=wrong)
+        self.two[self.h] = up[0]
+        for k in range(len(up) - 1, 1, -1):  # the surer one first
+            rises = np.flatnonzero((up[k] & 15) > (up[k - 1] & 15))
+            up[k][rises], up[k - 1][rises] = up[k - 1][rises], up[k][rises]
+        for one, new in zip(self.one, up[1:], strict=True):
+            one[self.last] = new
         self.before, self.last = self.last, s
         self.step += 1
 
@@ -208,8 +266,16 @@ def _lanes(n: int) -> int:
     return max(1, min(LANES, n // 64))
 
 
-def encode_symbols(symbols: np.ndarray, alphabet: int) -> np.ndarray:
-    """u32 words: the number of symbols, the number of lanes, the words of each lane, then the lanes' words."""
+def _narrowed(low: np.ndarray, size: np.ndarray, need: np.ndarray) -> None:
+    """Shift the leading word out of the lanes ``need``; where a carry could still change it, the size gives way."""
+    at, left = low[need], size[need]
+    left = np.minimum(left, (_LOW32 - (at & _LOW32)) + np.uint64(1))
+    low[need] = at << np.uint64(32)
+    size[need] = left << np.uint64(32)
+
+
+def encode_symbols(symbols: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words of each lane, and the lanes' words one after the other."""
     n = len(symbols)
     lanes = _lanes(n)
     steps = -(-n // lanes)
@@ -222,53 +288,52 @@ def encode_symbols(symbols: np.ndarray, alphabet: int) -> np.ndarray:
     for s in grid:
         model.predict()
         start, part = model.interval(s)
-        r = size >> np.uint64(_TOTAL)
-        low += r * start.view(np.uint64)
-        size = r * part.view(np.uint64)
+        size >>= np.uint64(_TOTAL)
+        low += size * start.view(np.uint64)
+        size *= part.view(np.uint64)
         need = np.flatnonzero(size <= _LOW32)
         if len(need):
-            at, left = low[need], size[need]
-            left = np.minimum(left, (_LOW32 - (at & _LOW32)) + np.uint64(1))
             who.append(need)
-            words.append((at >> np.uint64(32)).astype(np.uint32))
-            low[need] = at << np.uint64(32)
-            size[need] = left << np.uint64(32)
+            words.append((low[need] >> np.uint64(32)).astype(np.uint32))
+            _narrowed(low, size, need)
         model.teach(s)
-    every = np.arange(lanes)
-    for shift in (32, 0):
-        who.append(every)
-        words.append((low >> np.uint64(shift) & _LOW32).astype(np.uint32))
+    # One more word names a number in each lane's last part, which is wider than a word; what would follow reads as zeros.
+    who.append(np.arange(lanes))
+    words.append((low + _LOW32 >> np.uint64(32)).astype(np.uint32))
     who_all, words_all = np.concatenate(who), np.concatenate(words)
     order = np.argsort(who_all.astype(np.uint16), kind="stable")  # lanes are few: a radix sort
-    return np.concatenate([np.array([n, lanes], np.uint32), np.bincount(who_all, minlength=lanes).astype(np.uint32), words_all[order]])
+    return np.bincount(who_all, minlength=lanes).astype(np.uint32), words_all[order]
 
 
-def decode_symbols(words: np.ndarray, alphabet: int) -> np.ndarray:
-    n, lanes = int(words[0]), int(words[1])
+def decode_symbols(n: int, counts: np.ndarray, words: np.ndarray, alphabet: int) -> np.ndarray:
+    lanes = len(counts)
     steps = -(-n // lanes)
-    counts, stream = words[2 : 2 + lanes].astype(np.int64), np.r_[words[2 + lanes :], np.uint32(0)].astype(np.uint64)
-    at = np.r_[0, np.cumsum(counts)[:-1]]
-    code = stream[at] << np.uint64(32) | stream[at + 1]
-    at = at + 2
+    stop = np.cumsum(counts, dtype=np.int64)
+    at = stop - counts
+    stream = np.r_[words, np.uint32(0)].astype(np.uint64)
+
+    def word(which) -> np.ndarray:
+        out = np.where(at[which] < stop[which], stream[np.minimum(at[which], len(words))], np.uint64(0))
+        at[which] += 1
+        return out
+
+    code = word(slice(None)) << np.uint64(32)
+    code |= word(slice(None))
     model = _Model(alphabet, lanes, True)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
     out = np.empty((steps, lanes), np.int64)
     top = np.int64((1 << _TOTAL) - 1)
     for k in range(steps):
         model.predict()
-        r = size >> np.uint64(_TOTAL)
-        s = model.symbol(np.minimum(((code - low) // r).view(np.int64), top))
+        size >>= np.uint64(_TOTAL)
+        s = model.symbol(np.minimum(((code - low) // size).view(np.int64), top))
         start, part = model.interval(s)
-        low += r * start.view(np.uint64)
-        size = r * part.view(np.uint64)
+        low += size * start.view(np.uint64)
+        size *= part.view(np.uint64)
         need = np.flatnonzero(size <= _LOW32)
         if len(need):
-            l, left = low[need], size[need]
-            left = np.minimum(left, (_LOW32 - (l & _LOW32)) + np.uint64(1))
-            code[need] = code[need] << np.uint64(32) | stream[at[need]]
-            at[need] += 1
-            low[need] = l << np.uint64(32)
-            size[need] = left << np.uint64(32)
+            code[need] = code[need] << np.uint64(32) | word(need)
+            _narrowed(low, size, need)
         model.teach(s)
         out[k] = s
     return out.T.reshape(-1)[:n]
@@ -276,7 +341,7 @@ def decode_symbols(words: np.ndarray, alphabet: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- blocks
 
-_MAGIC = b"HTB1"
+_MAGIC = b"HTB2"
 
 
 def write_block(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
@@ -286,10 +351,11 @@ def write_block(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     place[alphabet] = np.arange(len(alphabet))
     heads = np.array([d or 0 for d in doc_ids], "<i8").tobytes() + bytes(d is None for d in doc_ids) + np.array([len(x) for x in ids], "<u4").tobytes()
     crc = zlib.crc32(flat.astype("<u4").tobytes())
+    counts, words = encode_symbols(place.take(flat), len(alphabet)) if len(flat) else (np.zeros(0, np.uint32),) * 2
     parts = (
         zlib.compress(struct.pack("<I", len(doc_ids)) + heads, 1),
-        zlib.compress(struct.pack("<I", crc) + alphabet.astype("<u4").tobytes(), 1),
-        encode_symbols(place.take(flat), max(1, len(alphabet))).astype("<u4").tobytes() if len(flat) else b"",
+        zlib.compress(struct.pack("<3I", crc, len(flat), len(counts)) + counts.astype("<u4").tobytes() + alphabet.astype("<u4").tobytes(), 1),
+        words.astype("<u4").tobytes(),
     )
     body = struct.pack("<3I", *map(len, parts)) + b"".join(parts)
     return _MAGIC + struct.pack("<I", zlib.crc32(body)) + body
@@ -304,9 +370,9 @@ def read_block(payload: bytes) -> tuple[list[int | None], list[np.ndarray]]:
     (n,) = struct.unpack("<I", head[:4])
     docs = np.frombuffer(head, "<i8", n, 4).tolist()
     missing, lengths = head[4 + 8 * n : 4 + 9 * n], np.frombuffer(head, "<u4", n, 4 + 9 * n)
-    (crc,) = struct.unpack("<I", letters[:4])
-    alphabet = np.frombuffer(letters, "<u4", -1, 4)
-    flat = alphabet[decode_symbols(np.frombuffer(words, "<u4"), len(alphabet))] if words else np.zeros(0, "<u4")
+    crc, size, lanes = struct.unpack("<3I", letters[:12])
+    counts, alphabet = np.split(np.frombuffer(letters, "<u4", -1, 12), [lanes])
+    flat = alphabet[decode_symbols(size, counts, np.frombuffer(words, "<u4"), len(alphabet))] if size else np.zeros(0, "<u4")
     if zlib.crc32(np.ascontiguousarray(flat, "<u4").tobytes()) != crc:
         raise ValueError("decoded ids do not match their checksum")
     cuts = np.cumsum(lengths)[:-1]
@@ -317,7 +383,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 2, block_tokens:
     """``part, block, n_docs, n_tokens, payload`` in ascending order of ``doc_id`` over (part, block)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_texts, part, block = encoder(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
+        encode_texts, part, block = Encoder(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
         held_docs: list = []
         held_ids: list = []
         held = 0
@@ -340,7 +406,9 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 2, block_tokens:
         if held_docs:
             yield made()
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The text's hash and the row's number part the rows of an id that many share.
+    numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.md5("text").alias("fp"), F.monotonically_increasing_id().alias("row"))
+    ordered = numbered.repartitionByRange("doc_id", "fp", "row").sortWithinPartitions("doc_id", "fp", "row").select("doc_id", "text")
     return ordered.mapInArrow(run, "part int, block int, n_docs long, n_tokens long, payload binary")
 
 

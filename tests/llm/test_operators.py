@@ -108,7 +108,7 @@ def test_token_blocks_equal_the_library(spark, tmp_path):
     got = token_blocks.decode(token_blocks.read(spark, str(tmp_path / "t"))).orderBy("start").collect()
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = True
-    order = sorted(zip([5, 3, 4, 1, 2, 8, 7, 6, None, 5], texts + [texts[0]], strict=True), key=lambda x: (x[0] is not None, x[0] or 0, x[1] or ""))
+    order = sorted(zip([5, 3, 4, 1, 2, 8, 7, 6, None, 5], texts + [texts[0]], strict=True), key=lambda x: (x[0] is not None, x[0] or 0, hashlib.md5((x[1] or "").encode()).hexdigest()))
     at = 0
     for row, (doc, text) in zip(got, order, strict=True):
         ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
@@ -118,6 +118,43 @@ def test_token_blocks_equal_the_library(spark, tmp_path):
     assert token_blocks.decode(token_blocks.read(spark, str(tmp_path / "e"))).count() == 0
 
 
+def test_pieces_are_encoded_as_the_library_encodes_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = random.Random(4)
+    signs = [*"abcXYZ019 .,;'-_!?\n\t\r", "  ", " \n", "\n\n", "\u00a0", "\u0085", "\u2003", "\u3000", "\u00e9", "\u00d7", "\u0438", "\u65e5", "\U0001f600", "\x1c", "\u00b2", "'s", "'ll", "<|endoftext|>", "\u0301"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + [" ", "\n", "a ", " a", "a" * 100_000]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        library = Tokenizer.from_file(path)
+        library.encode_special_tokens = True
+        made = token_blocks.Encoder(path, end_id=2)
+        assert made.splits == (name == "byte_bpe_50k.json")
+        want = library.encode_batch(texts, add_special_tokens=False)
+        for part in (texts[:1000], texts[1000:], [None, ""]):
+            got = made(part)
+            assert len(got) == len(part)
+            for text, ids in zip(part, got, strict=True):
+                assert ids.tolist() == (want[texts.index(text)].ids if text else []) + [2], repr(text)
+
+
+def test_blocks_are_smaller_than_the_ids_alone_allow():
+    """A fixed code over the ids needs their entropy of order 0 at least; contexts and repeats must save a good part of it."""
+    import public_tokenizers
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    ids = np.concatenate(token_blocks.Encoder(public_tokenizers.path("byte_bpe_50k.json"))(texts))
+    counts = np.bincount(ids)
+    share = counts[counts > 0] / len(ids)
+    entropy = -(share * np.log2(share)).sum()
+    assert 8 * len(token_blocks.write_block([0], [ids])) / len(ids) < entropy - 0.4
+    words = np.random.default_rng(3).integers(0, 5000, (200, 6)).astype(np.uint32)  # phrases in random order
+    phrases = words[np.random.default_rng(4).integers(0, 200, 40_000)].reshape(-1)
+    assert 8 * len(token_blocks.write_block([0], [phrases])) / len(phrases) < 3.5 < np.log2(1200)
+
+
 # ------------------------------------------------------------------ 3
 
 
