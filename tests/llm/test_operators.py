@@ -261,26 +261,54 @@ def edited(words: list[str], k: int, rng: random.Random) -> list[str]:
     return words
 
 
-def test_leaks_at_every_distance(spark):
+def best_match(item: str, text: str) -> int:
+    """Least word edits of the item to any stretch of the text, by the full table."""
+    a, b = decontaminate.sequences([item])[0], decontaminate.sequences([text])[0]
+    row = np.zeros(len(b) + 1, np.int64)
+    for n, x in enumerate(a, 1):
+        new = np.r_[n, np.minimum(row[1:] + 1, row[:-1] + (b != x))]
+        row = np.minimum.accumulate(new - np.arange(len(new))) + np.arange(len(new))
+    return int(row.min())
+
+
+def found_leaks(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id short, text string")
+    return {(r.doc_id, r.item_id): r.edits for r in decontaminate.leaks(spark, docs, bench).collect()}
+
+
+def test_leaks_at_every_distance_against_all_pairs(spark):
     rng = random.Random(3)
-    items = [prose(rng.randint(5, 60), rng) for _ in range(120)]
-    texts, truth = [], set()
-    for i, item in enumerate(items):
+    items = [prose(rng.randint(5, 60), rng) for _ in range(100)]
+    texts = []
+    for item in items:
         w = item.split()
         for share in (0, 0.5, 1):
             texts.append(" ".join(["xx"] * 9 + edited(w, int(int(0.2 * len(w) + 1e-9) * share), rng) + ["yy"] * 9))
-            truth.add((len(texts) - 1, i))
-    found = decontaminate.matches(texts, decontaminate.Items(list(range(120)), items))
-    assert len({(d, i) for d, i, _ in found} & truth) / len(truth) >= 0.98
-    for d, i, e in found[:80]:
-        a, b = word_hashes([items[i]])[0].tolist(), word_hashes([texts[d]])[0].tolist()
-        row = [0] * (len(b) + 1)
-        for n, x in enumerate(a, 1):
-            new = [n]
-            for j, y in enumerate(b, 1):
-                new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y)))
-            row = new
-        assert min(row) == e <= int(0.2 * len(a) + 1e-9)
+    texts += [prose(150, rng) for _ in range(30)]
+    truth = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            n = len(item.split())
+            if abs(len(text.split()) - n) < 200 and (e := best_match(item, text)) <= int(0.2 * n + 1e-9):
+                truth[d, i] = e
+    found = found_leaks(spark, texts, items)
+    assert found.items() <= truth.items()
+    assert len(found) / len(truth) >= 0.95
+    exact = {k for k, e in truth.items() if e == 0}
+    assert exact <= found.keys()
+
+
+def test_long_items_and_many_equal_ones(spark):
+    rng = random.Random(8)
+    items = [prose(n, rng) for n in (65, 130, 1000, 6000, 20_000)]
+    texts = [" ".join(["aa"] * 50 + edited(i.split(), int(0.15 * len(i.split())), rng) + ["bb"] * 50) for i in items] + [prose(3000, rng)]
+    found = found_leaks(spark, texts, items)
+    assert set(found) == {(i, i) for i in range(5)} and all(e <= 0.2 * len(items[i].split()) for (i, _), e in found.items())
+    bench = spark.range(30_000).select(F.concat(F.lit("i"), "id").alias("item_id"), F.lit(items[0]).alias("text"))
+    docs = spark.createDataFrame([(None, texts[0]), (None, "x " + items[0])], "doc_id date, text string")
+    got = decontaminate.leaks(spark, docs, bench)
+    assert got.count() == 60_000 == got.select("item_id").distinct().count() * 2
 
 
 def test_clean_documents_stay(spark):
@@ -290,16 +318,15 @@ def test_clean_documents_stay(spark):
     assert sorted((str(r.doc_id), r.item_id, r.edits) for r in decontaminate.leaks(spark, docs, bench).collect()) == sorted([("1", 7, 0), ("1", 8, 0), ("None", 7, 0), ("None", 8, 0), ("4", 7, 0), ("4", 8, 0)])
     kept = decontaminate.clean(spark, docs, bench)
     assert kept.columns == docs.columns and sorted(r.text or "" for r in kept.collect()) == sorted(["", "", "x", docs.first().text])
-    assert decontaminate.leaks(spark, docs, bench, item_block=2).count() == 6
     assert decontaminate.leaks(spark, docs, bench.limit(0)).count() == 0 == decontaminate.leaks(spark, docs.limit(0), bench).count()
 
 
-def test_short_and_unspaced_items_match():
+def test_short_and_unspaced_items_match(spark):
     items = ["kelura fu", "moses", "one two three four", "\u4ec0\u4e48\u662f\u673a\u5668\u5b66\u4e60", "\u3053\u3093", None, ""]
     texts = ["a Kelura, fu b", "kelura x fu", "moses", "one two three five", "zero one two three four five"]
     texts += ["\u8bf7\u95ee\u4ec0\u4e48\u662f\u673a\u5668\u5b66\u4e60\u5462", "\u4ec0\u4e48\u662f\u6a5f\u5668\u5b66\u4e60", "x\u3053\u3093\u306b", "\u3053", None, "mosesx"]
-    found = decontaminate.matches(texts, decontaminate.Items(list(range(len(items))), items))
-    assert sorted(found) == [(0, 0, 0), (2, 1, 0), (4, 2, 0), (5, 3, 0), (6, 3, 1), (7, 4, 0)]
+    found = found_leaks(spark, texts, items)
+    assert sorted((*k, e) for k, e in found.items()) == [(0, 0, 0), (2, 1, 0), (4, 2, 0), (5, 3, 0), (6, 3, 1), (7, 4, 0)]
 
 
 # ------------------------------------------------------------------ 7
