@@ -29,6 +29,8 @@ from __future__ import annotations
 
 import json
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -57,12 +59,26 @@ _LOW32 = np.uint64(0xFFFFFFFF)
 # always splits a text before the last of some white space that is a space or a line feed, after it if it is a line feed,
 # and between an ASCII letter and a sign other than an apostrophe.  ``_SOLID`` bytes begin characters that are no white space for
 # certain.  Texts are cut there and each different piece is encoded once.
-_SOLID = np.zeros(256, bool)
-_SOLID[0x21:0x7F] = _SOLID[0xC3:0xE0] = True
-_LETTER, _SIGN = np.zeros(256, bool), np.zeros(256, bool)
-for _c in range(0x21, 0x7F):
-    (_LETTER if chr(_c).isalpha() else _SIGN)[_c] = not chr(_c).isdigit() and chr(_c) != "'"
-_STOP = 0xFF  # in no UTF-8 text
+_SOLID, _SPACE, _LINE, _LETTER, _SIGN, _STOP = (1 << k for k in range(6))
+_KINDS = bytearray(256)
+for _c in (*range(0x21, 0x7F), *range(0xC3, 0xE0)):
+    _KINDS[_c] = _SOLID
+    if _c < 0x7F and not chr(_c).isdigit() and chr(_c) != "'":
+        _KINDS[_c] |= _LETTER if chr(_c).isalpha() else _SIGN
+_KINDS[32], _KINDS[10], _KINDS[0xFF] = _SPACE, _LINE, _STOP
+_END = b"\xff"  # in no UTF-8 text
+
+
+def tokenizer_of(path: str):
+    """The tokenizer of a file: one for each worker process, as the library does not give back all memory of those it drops."""
+    from tokenizers import Tokenizer
+
+    # By-value functions bring their module anew with every task; only an entry in ``sys.modules`` outlives it.
+    held = sys.modules.setdefault("_hearth_worker", types.ModuleType("_hearth_worker")).__dict__.setdefault("tokenizers", {})
+    if path not in held:
+        held[path] = Tokenizer.from_file(path)
+        held[path].encode_special_tokens = True
+    return held[path]
 
 
 class Encoder:
@@ -72,16 +88,13 @@ class Encoder:
     """
 
     def __init__(self, path: str, end_id: int | None = 2):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer = tokenizer_of(path)
         self.end = np.array([] if end_id is None else [end_id], np.uint32)
         self.splits = self._known_splits()
         if self.splits:
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-            self.length = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
-            self.length[list(vocabulary.values())] = [len(token) for token in vocabulary]
+            self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            self.length[list(vocabulary.values())] = list(map(len, vocabulary))
         self._forget()
 
     def _known_splits(self) -> bool:
@@ -95,7 +108,7 @@ class Encoder:
 
     def _forget(self) -> None:
         """Piece 0 is the end of a text."""
-        self.pieces: dict[bytes, int] = {bytes([_STOP]): 0}
+        self.pieces: dict[bytes, int] = {_END: 0}
         self.ids, self.ends = [self.end], [np.array([len(self.end)])]
         self.held = len(self.end)
 
@@ -116,7 +129,7 @@ class Encoder:
 
         A byte-level token is as long as its bytes are many, which tells where each piece's ids end.
         """
-        spaced = [p for p in pieces if p[0] == 32 and len(p) > 1 and _SOLID[p[1]]]
+        spaced = [p for p in pieces if p[0] == 32 and len(p) > 1 and _KINDS[p[1]] & _SOLID]
         if spaced:
             ids, _ = self._library([b"".join(spaced[i : i + 500]).decode("utf-8", "surrogatepass") for i in range(0, len(spaced), 500)])
             ends, wanted = np.cumsum(self.length[ids]), np.cumsum([len(p) for p in spaced])
@@ -136,33 +149,38 @@ class Encoder:
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         if not self.splits or not texts:
             return self._whole([t or "" for t in texts])
-        data = np.frombuffer(b"".join([(t or "").encode("utf-8", "surrogatepass") + b"\xff" for t in texts]), np.uint8)
-        gap = np.zeros(len(data) + 1, bool)
-        solid = _SOLID[data[1:]]
-        line = solid & (data[:-1] == 10)
-        gap[:-2] = line | solid & (data[:-1] == 32)
-        gap[1:-1] |= line | _LETTER[data[:-1]] & _SIGN[data[1:]]
-        stop = data == _STOP
-        gap[:-1] |= stop
-        gap[1:] |= stop
-        gap[0] = True
+        body = _END.join([*((t or "").encode("utf-8", "surrogatepass") for t in texts), b""])
+        kind = np.frombuffer(body.translate(_KINDS), np.uint8)
+        solid = kind[1:] & _SOLID
+        line = kind[:-1] // _LINE & solid
+        gap = np.zeros(len(body) + 1, np.uint8)
+        gap[0] = 1
+        gap[:-2] |= kind[:-1] // _SPACE & solid | line
+        gap[1:-1] |= line | kind[:-1] // _LETTER & kind[1:] // _SIGN & 1
+        gap[:-1] |= kind & _STOP
+        gap[1:] |= kind & _STOP
         offsets = np.flatnonzero(gap).astype(np.int32)
-        cut = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-        unique, which = cut.dictionary.to_pylist(), cut.indices.to_numpy()
+        cut = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
+        del kind, solid, line, gap, offsets
+        which, (_, places, held) = cut.indices.to_numpy(), cut.dictionary.buffers()
+        places, held = np.frombuffer(places, np.int32, len(cut.dictionary) + 1).tolist(), held.to_pybytes()
+        unique = [held[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
         if len(self.pieces) > CACHED:
             self._forget()
-        new = [p for p in unique if p not in self.pieces]
-        if new:
-            self._learn(new)
+        number = list(map(self.pieces.get, unique))
+        if None in number:
+            self._learn([p for p, n in zip(unique, number, strict=True) if n is None])
             self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
-        number = np.array([self.pieces[p] for p in unique], np.int64)
+            number = list(map(self.pieces.get, unique))
+        number = np.array(number, np.int64)
         ends = self.ends[0]
         begin = np.r_[0, ends[:-1]][number]
         size = ends[number] - begin
         n = size[which]
         stops = np.cumsum(n)
-        at = np.arange(int(stops[-1])) + np.repeat(begin[which] - (stops - n), n)
-        return np.split(self.ids[0][at], stops[which == unique.index(b"\xff")][:-1])
+        at = np.arange(int(stops[-1]))
+        at += np.repeat(begin[which] - (stops - n), n)
+        return np.split(self.ids[0][at], stops[which == unique.index(_END)][:-1])
 
 
 # ---------------------------------------------------------------- model and coder
@@ -395,7 +413,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 2, block_tokens:
             )
 
         for batch in batches:
-            for piece in slices(batch, "text", 4 << 20):
+            for piece in slices(batch, "text", 8 << 20):
                 for doc, ids in zip(piece.column("doc_id").to_pylist(), encode_texts(piece.column("text").to_pylist()), strict=True):
                     held_docs.append(doc)
                     held_ids.append(ids)
