@@ -55,18 +55,28 @@ HOT_KEYS = 1024  # a key is hot if it holds over this part of the rows, so there
 HOT_ROWS = 256
 
 
-def spread_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, total: int) -> DataFrame:
-    """Inner join of ``many`` with the single row of each key in ``one``; hot keys are dealt over several tasks.
+def hot_keys(counts: DataFrame, key: str, total: int) -> dict:
+    """Into how many parts to deal the rows of each hot key, from its number ``n`` of rows in ``counts``.
 
-    ``counts`` has the ``key`` and its number ``n`` of rows in ``many``, ``total`` is at least the number of all rows.  A key is hot
-    above ``total / HOT_KEYS`` rows (``HOT_ROWS`` at least), which bounds the broadcast of hot keys to ``HOT_KEYS`` rows.  Its rows are
-    dealt by a hash into parts of about that size, and its row of ``one`` is copied to each part.
+    A key is hot above ``total / HOT_KEYS`` rows (``HOT_ROWS`` at least), ``total`` being no less than the number of all rows:
+    that bounds what comes to the driver to ``HOT_KEYS`` keys.
     """
     limit = max(HOT_ROWS, total // HOT_KEYS)
-    hot = F.broadcast(counts.where(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).cast("int").alias("_parts")))
-    parts = F.coalesce("_parts", F.lit(1))
-    dealt = many.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(*many.columns), parts).cast("int")).drop("_parts")
-    copies = one.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return {r[0]: r[1] for r in counts.where(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).cast("int")).collect()}
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, hot: dict) -> DataFrame:
+    """Inner join of ``many`` with the few rows of each key in ``one``; the rows of a hot key are dealt over several tasks.
+
+    They are dealt by a hash of the row into the parts that ``hot`` names, and what ``one`` has for the key is copied to each part.
+    """
+    if not hot:
+        return many.join(one, key)
+    kind = many.schema[key].dataType
+    known = F.create_map(*(c for k, n in hot.items() for c in (F.lit(k).cast(kind), F.lit(n))))
+    parts = F.coalesce(F.try_element_at(known, F.col(key)), F.lit(1))
+    dealt = many.withColumn("_part", F.pmod(F.xxhash64(*many.columns), parts).cast("int"))
+    copies = one.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
     return dealt.join(copies, [key, "_part"]).drop("_part")
 
 

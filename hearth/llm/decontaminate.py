@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, free_name, ship, slices, spread_join, work_path
+from hearth.llm.common import cut, free_name, hot_keys, ship, slices, spread_join, work_path
 from hearth.llm.shingles import _BASE, mix, word_hashes
 
 ship(__name__)
@@ -292,16 +292,16 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, tolerance:
     numbered.mapInArrow(_searched(kinds, known_runs, known_keys), f"rid long, doc_id {kind}, words array<long>, hits array<struct<key:long,p:long>>").write.parquet(path)
     near = spark.read.parquet(path)
     hits = near.select("rid", F.inline("hits"))
-    per_key = hits.groupBy("key").agg(F.count("*").alias("n"))
     total = near.agg(F.coalesce(F.sum(F.size("hits")), F.lit(0)).alias("n")).first()["n"]
-    pairs = spread_join(hits, probes, "key", per_key, total).groupBy("rid", "item").agg(F.collect_set(F.col("p") - F.col("offset")).alias("starts"))
+    frequent = hot_keys(hits.groupBy("key").agg(F.count("*").alias("n")), "key", total)
+    pairs = spread_join(hits, probes, "key", frequent).groupBy("rid", "item").agg(F.collect_set(F.col("p") - F.col("offset")).alias("starts"))
     pairs = cut(spark, pairs)
     n = pairs.count()
-    count = lambda c: pairs.groupBy(c).agg(F.count("*").alias("n"))
-    with_item = spread_join(pairs, items.select("item", F.col("words").alias("item_words")), "item", count("item"), n)
-    whole = spread_join(with_item, near.select("rid", "doc_id", "words"), "rid", count("rid"), n)
+    by_item, by_row = (hot_keys(pairs.groupBy(c).agg(F.count("*").alias("n")), c, n) for c in ("item", "rid"))
+    with_item = spread_join(pairs, items.select("item", F.col("words").alias("item_words")), "item", by_item)
+    whole = spread_join(with_item, near.select("rid", "doc_id", "words"), "rid", by_row)
     found = whole.select("doc_id", "item", "words", "item_words", "starts").mapInArrow(_verified(tolerance), f"doc_id {kind}, item binary, edits int, item_words int")
-    return spread_join(found, named.select("item", "item_id"), "item", count("item"), n).select("doc_id", "item_id", "edits", "item_words")
+    return spread_join(found, named.select("item", "item_id"), "item", by_item).select("doc_id", "item_id", "edits", "item_words")
 
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:

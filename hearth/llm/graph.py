@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, spread_join
+from hearth.llm.common import cut, hot_keys, spread_join
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -18,16 +18,11 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     total, seen = edges.count(), None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
-        large = (
-            spread_join(both, least.select("u", "m"), "u", least, 2 * total)
-            .where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        )
-        lower = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        small = (
-            spread_join(large, lower.select("u", "m"), "u", lower, 2 * total)
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lower.select("u", F.col("m").alias("v")))
-        )
+        hubs = hot_keys(both.groupBy("u").agg(F.count("*").alias("n")), "u", 2 * total)
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = spread_join(both, least, "u", hubs).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = spread_join(large, lower, "u", hubs).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lower.select("u", F.col("m").alias("v")))
         edges = cut(spark, small.where("u <> v").distinct())
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, free_name, ship, slices, spread_join
+from hearth.llm.common import cut, free_name, hot_keys, ship, slices, spread_join
 from hearth.llm.graph import components
 from hearth.llm.shingles import mix, shingle_hashes
 
@@ -145,7 +145,7 @@ def compare(pairs: DataFrame, texts: DataFrame, firsts: DataFrame, width: int, t
     kept = one_text_each(texts, firsts, pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct())
     one = kept.select(F.col("fp").alias("a"), F.col("text").alias("ta"))
     two = kept.select(F.col("fp").alias("b"), F.col("text").alias("tb"))
-    headed = spread_join(pairs.select("a", "b"), one, "a", pairs.groupBy("a").agg(F.count("*").alias("n")), total)
+    headed = spread_join(pairs.select("a", "b"), one, "a", hot_keys(pairs.groupBy("a").agg(F.count("*").alias("n")), "a", total))
     return headed.join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_compared(width), "a binary, b binary, sim double")
 
 
@@ -206,13 +206,13 @@ def classes(
     distinct = cut(spark, signed.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys"), F.count("*").alias("n")))
     firsts = distinct.select("fp", "first_id")
     spots = distinct.select(F.explode("keys").alias("key"), F.col("fp").alias("b"))
-    shared = spots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = cut(spark, spread_join(spots, shared, "key", shared, total * bands))
-    spotted = met.count()
+    shared = cut(spark, spots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    buckets = hot_keys(shared, "key", total * bands)
+    met = cut(spark, spread_join(spots, shared, "key", buckets))
     # A bucket's head is the text that meets most others over all its buckets: the middle of a group of near copies.
     ranked = met.join(met.groupBy("b").agg(F.sum("n").alias("meets")), "b")
-    heads = ranked.groupBy("key").agg(F.max(F.struct("meets", "b"))["b"].alias("a"), F.max("n").alias("n"))
-    members = cut(spark, spread_join(met.select("key", "b"), heads, "key", heads, spotted))
+    heads = ranked.groupBy("key").agg(F.max(F.struct("meets", "b"))["b"].alias("a"))
+    members = cut(spark, spread_join(met, heads, "key", buckets))
     headed = cut(spark, members.where("a <> b").select("a", "b").distinct())
     first = cut(spark, compare(headed, texts, firsts, width, headed.count()))
     links = first.where(F.col("sim") >= threshold).select("a", "b")
@@ -222,8 +222,8 @@ def classes(
         members.join(first, ["a", "b"], "left").join(roots.withColumnRenamed("node", "b"), "b", "left")
         .select("key", "n", "b", F.coalesce("sim", F.lit(1.0)).alias("sim"), F.coalesce("root", "b").alias("root"))
     )
-    split = placed.where("n > 2").groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("n").alias("n")).where("r0 <> r1").select("key", "n")
-    open_ = cut(spark, spread_join(placed.drop("n"), split, "key", split, spotted))
+    split = placed.where("n > 2").groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+    open_ = cut(spark, spread_join(placed, split, "key", buckets))
     # Small ones: pairs between components, but for those that the triangle inequality excludes.
     small = open_.where(F.col("n") <= SMALL)
     x, y = small.alias("x"), small.alias("y")
@@ -235,7 +235,7 @@ def classes(
     big = open_.where(F.col("n") > SMALL)
     sizes = big.groupBy("key", "root").agg(F.count("*").alias("m"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("m", "root"))["root"].alias("top"), (F.sum("m") - F.max("m")).alias("outside"), F.sum("m").alias("n"))
-    marked = spread_join(big.select("key", "b", "root"), largest, "key", largest, spotted)
+    marked = spread_join(big.select("key", "b", "root"), largest, "key", buckets)
     every, some = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("outside") / BLOCK).cast("int")
     pair = lambda i, j: F.concat_ws(":", F.col("key"), i, j)
     left = marked.where("root <> top").withColumn("i", F.pmod(F.xxhash64("b"), some)).select(
@@ -249,11 +249,11 @@ def classes(
     third = met_blocks.join(held, "b").repartition("pair").sortWithinPartitions("pair", "b").mapInArrow(_block_links(width, threshold), "a binary, b binary")
     more = cut(spark, second.unionByName(third).distinct())
     final = roots if more.isEmpty() else components(spark, links.unionByName(more))
-    named = distinct.select("fp", "first_id", "n").join(final.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root"))
+    named = distinct.select("fp", "first_id").join(final.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     ids = cut(spark, named)
     by_class = ids.groupBy("root").agg(F.min("first_id").alias("class_id"), F.count("*").alias("n"))
-    by_text = spread_join(ids.select("fp", "root"), by_class.select("root", "class_id"), "root", by_class, total)
-    return spread_join(signed.select("doc_id", "fp"), by_text, "fp", ids.select("fp", "n"), total).select("doc_id", "class_id", "fp", "root")
+    by_text = spread_join(ids.select("fp", "root"), by_class.select("root", "class_id"), "root", hot_keys(by_class, "root", total))
+    return spread_join(signed.select("doc_id", "fp"), by_text, "fp", hot_keys(distinct.select("fp", "n"), "fp", total)).select("doc_id", "class_id", "fp", "root")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
