@@ -113,7 +113,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
-    return topk.top_k(rows, rows.where(F.col("vec_id") % 100 == 0), 10)
+    return topk.top_k(spark, rows, rows.where(F.col("vec_id") % 100 == 0), 10)
 
 
 OP7_SQL = """

@@ -332,27 +332,51 @@ def test_short_and_unspaced_items_match(spark):
 # ------------------------------------------------------------------ 7
 
 
+def brute_top(ids, vectors, query, k=10):
+    """(-score, id) in Python integers."""
+    q = [int(x) for x in vectors[list(ids).index(query)]]
+    scored = ((-sum(a * int(b) for a, b in zip(q, v, strict=True)), int(i)) for i, v in zip(ids, vectors, strict=True) if i != query and len(v) == len(q))
+    return sorted(scored)[:k]
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(700, 8)).astype(np.float32)
     vectors[100:160] = vectors[0]
-    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(700, None), (800, [float("nan")] * 8), (801, [None] * 8), (900, [1.0]), (None, [1.0] * 8), (650, [0.5] * 8)]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(700, None), (800, [float("nan")] * 8), (801, [None] * 8), (900, [1.0]), (901, []), (None, [1.0] * 8), (650, [0.5] * 8)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit(1)).select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
-    got = topk.top_k(df, df.where("vec_id % 100 = 0"), 10, shard_rows=150, chunk_rows=3).collect()
-    q = np.floor(1024 * vectors.astype(np.float64)).astype(np.int64)
-    ids = np.r_[np.arange(700), 650]
-    q = np.concatenate([q, np.full((1, 8), 512)])
+    got = topk.top_k(spark, df, df.where("vec_id % 100 = 0"), 10, shard_rows=150, chunk_rows=3).collect()
+    q = list(np.floor(1024 * vectors.astype(np.float64)))
     for query in range(0, 700, 100):
-        scores = q @ q[query]
-        best = sorted((-int(s), int(i)) for s, i in zip(scores, ids, strict=True) if i != query)[:10]
+        best = brute_top([*range(700), 650], [*q, np.full(8, 512.0)], query)
         assert [(-r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == query), key=lambda r: r.rank)] == best
     assert {r.query_id for r in got} == set(range(0, 700, 100))
-    assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
-
-
-def test_large_components_stay_exact():
-    a = np.array([[2**40, 3]], np.int64)
-    assert topk._dot(a, a[:, ::-1].copy()).tolist() == [[3 * 2**41]]
+    assert topk.top_k(spark, df.limit(0), df.limit(0)).count() == 0
+
+
+def test_ranges_of_near_vectors_are_pruned(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(24, 6)) * 5
+    vectors = np.floor(1024 * (centres[rng.integers(0, 24, 6000)] + rng.normal(size=(6000, 6)) * 0.05))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, v array<double>")
+    found = topk.parts(spark, df, df.where("vec_id % 100 = 0"), 10, shard_rows=250, block=32)
+    work = found.where("vec_id is null").agg(F.sum("scored"), F.count("*")).first()
+    assert work[0] < 0.25 * 60 * 6000
+    got = topk.top_k(spark, df, df.where("vec_id % 100 = 0"), 10, shard_rows=250, block=32).collect()
+    for query in range(0, 6000, 1000):
+        assert [(-r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == query), key=lambda r: r.rank)] == brute_top(range(6000), vectors, query)
+
+
+def test_very_large_components(spark):
+    big = [[3e38, 1.0], [0.0, 5.0], [-3e38, 2.0], [3.1e38, -7.5], [2.0**40, 2.0**40], [1.0, 1.0]]
+    df = spark.createDataFrame([(100 * i, v) for i, v in enumerate(big)], "vec_id long, embedding array<float>").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
+    v = [np.floor(1024 * np.array(x, np.float32).astype(np.float64)) for x in big]
+    got = topk.top_k(spark, df, df, 3).collect()
+    for i in range(6):
+        best = brute_top([100 * j for j in range(6)], v, 100 * i, 3)
+        mine = sorted((r for r in got if r.query_id == 100 * i), key=lambda r: r.rank)
+        assert [r.vec_id for r in mine] == [j for _, j in best]
+        assert [r.score for r in mine] == [min(max(-s, -(2**63)), 2**63 - 1) for s, _ in best]
 
 
 # ------------------------------------------------------------------ 8
