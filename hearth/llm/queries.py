@@ -143,6 +143,26 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.fit(spark))
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 10 reads from an url before its model is asked."""
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), ([0.0] * url_filter.BUCKETS, 0.0))
+    return judged.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled"))
+
+
+URL_RULES_SQL = r"""
+WITH p AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), r(h, p, ruled) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+m AS (
+  SELECT page_id, max_by(r.h || r.p, length(r.h || r.p)) AS rule, max_by(ruled, length(r.h || r.p)) AS ruled
+  FROM p JOIN r ON (p.host = r.h OR ends_with(p.host, '.' || r.h)) AND starts_with(p.path, r.p) GROUP BY page_id
+)
+SELECT p.page_id, host, path, rule, ruled FROM p LEFT JOIN m USING (page_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_blocks": op2_token_blocks,
@@ -154,5 +174,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
+    "url_rules": url_rules,
 }
-ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_mixing": OP5_SQL, "op7_topk": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_mixing": OP5_SQL, "op7_topk": OP7_SQL, "url_rules": URL_RULES_SQL}

@@ -24,7 +24,7 @@ def test_query_matches_its_sql(spark, name):
 
 
 def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
 
 
 def test_pipeline_stages(spark, tmp_path):
