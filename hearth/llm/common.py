@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -88,6 +90,25 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A worker's function that gives its memory back to the system when its task ends, as workers are kept for the next one."""
+
+    def tidied(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Consecutive row slices of a batch whose texts hold about ``most`` bytes together (one row at least).
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, free_name, hot_keys, ship, slices, spread_join, work_path
+from hearth.llm.common import cut, free_name, hot_keys, ship, slices, spread_join, tidy, work_path
 from hearth.llm.shingles import _BASE, mix, word_hashes
 
 ship(__name__)
@@ -279,7 +279,7 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, tolerance:
     named = benchmark.where("text is not null").select("item_id", "text", F.unhex(F.md5("text")).alias("item"))
     texts = named.groupBy("item").agg(F.first("text").alias("text"))
     path = work_path(spark, "items")
-    texts.mapInArrow(_items_read(tolerance), "item binary, words array<long>, kinds array<int>, runs array<long>, probes array<struct<key:long,offset:long>>").write.parquet(path)
+    texts.mapInArrow(tidy(_items_read(tolerance)), "item binary, words array<long>, kinds array<int>, runs array<long>, probes array<struct<key:long,offset:long>>").write.parquet(path)
     items = spark.read.parquet(path)
     # At most as many rows as there are classes.
     kinds = [Sizes(r["k"], tolerance) for r in items.select(F.explode("kinds").alias("k")).distinct().orderBy("k").collect()]
@@ -289,7 +289,7 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, tolerance:
     # A text's places are those of the row it was read from, so the documents that go on are written once.
     path = work_path(spark, "near-items")
     numbered = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-    numbered.mapInArrow(_searched(kinds, known_runs, known_keys), f"rid long, doc_id {kind}, words array<long>, hits array<struct<key:long,p:long>>").write.parquet(path)
+    numbered.mapInArrow(tidy(_searched(kinds, known_runs, known_keys)), f"rid long, doc_id {kind}, words array<long>, hits array<struct<key:long,p:long>>").write.parquet(path)
     near = spark.read.parquet(path)
     hits = near.select("rid", F.inline("hits"))
     total = near.agg(F.coalesce(F.sum(F.size("hits")), F.lit(0)).alias("n")).first()["n"]
@@ -300,7 +300,7 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, tolerance:
     by_item, by_row = (hot_keys(pairs.groupBy(c).agg(F.count("*").alias("n")), c, n) for c in ("item", "rid"))
     with_item = spread_join(pairs, items.select("item", F.col("words").alias("item_words")), "item", by_item)
     whole = spread_join(with_item, near.select("rid", "doc_id", "words"), "rid", by_row)
-    found = whole.select("doc_id", "item", "words", "item_words", "starts").mapInArrow(_verified(tolerance), f"doc_id {kind}, item binary, edits int, item_words int")
+    found = whole.select("doc_id", "item", "words", "item_words", "starts").mapInArrow(tidy(_verified(tolerance)), f"doc_id {kind}, item binary, edits int, item_words int")
     return spread_join(found, named.select("item", "item_id"), "item", by_item).select("doc_id", "item_id", "edits", "item_words")
 
 

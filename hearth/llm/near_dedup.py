@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, free_name, hot_keys, ship, slices, spread_join
+from hearth.llm.common import cut, free_name, hot_keys, ship, slices, spread_join, tidy
 from hearth.llm.graph import components
 from hearth.llm.shingles import mix, shingle_hashes
 
@@ -146,7 +146,7 @@ def compare(pairs: DataFrame, texts: DataFrame, firsts: DataFrame, width: int, t
     one = kept.select(F.col("fp").alias("a"), F.col("text").alias("ta"))
     two = kept.select(F.col("fp").alias("b"), F.col("text").alias("tb"))
     headed = spread_join(pairs.select("a", "b"), one, "a", hot_keys(pairs.groupBy("a").agg(F.count("*").alias("n")), "a", total))
-    return headed.join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_compared(width), "a binary, b binary, sim double")
+    return headed.join(two, "b").select("a", "b", "ta", "tb").mapInArrow(tidy(_compared(width)), "a binary, b binary, sim double")
 
 
 def _block_links(width: int, threshold: float):
@@ -201,7 +201,7 @@ def classes(
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("fp", F.unhex(F.md5("text")))
     kind = dict(docs.dtypes)["doc_id"]
-    signed = cut(spark, texts.mapInArrow(_signed(width, bands, rows), f"doc_id {kind}, fp binary, keys array<long>"))
+    signed = cut(spark, texts.mapInArrow(tidy(_signed(width, bands, rows)), f"doc_id {kind}, fp binary, keys array<long>"))
     total = signed.count()
     distinct = cut(spark, signed.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys"), F.count("*").alias("n")))
     firsts = distinct.select("fp", "first_id")
@@ -246,7 +246,7 @@ def classes(
     )
     held = one_text_each(texts, firsts, big.select(F.col("b").alias("fp")).distinct()).withColumnRenamed("fp", "b")
     met_blocks = left.unionByName(right).groupBy("pair", "b", "root").agg(F.max("opened").alias("opened"))
-    third = met_blocks.join(held, "b").repartition("pair").sortWithinPartitions("pair", "b").mapInArrow(_block_links(width, threshold), "a binary, b binary")
+    third = met_blocks.join(held, "b").repartition("pair").sortWithinPartitions("pair", "b").mapInArrow(tidy(_block_links(width, threshold)), "a binary, b binary")
     more = cut(spark, second.unionByName(third).distinct())
     final = roots if more.isEmpty() else components(spark, links.unionByName(more))
     named = distinct.select("fp", "first_id").join(final.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))

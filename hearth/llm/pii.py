@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import ship, slices
+from hearth.llm.common import ship, slices, tidy
 
 ship(__name__)
 
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     # The ids are picked first, so that no text is sorted; at most sample_rows ids bound the broadcast.
     picked = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    counted = sample.select("text").mapInArrow(_counts, "factor string, shape string, a int, b int, n long")
+    counted = sample.select("text").mapInArrow(tidy(_counts), "factor string, shape string, a int, b int, n long")
     rows = counted.groupBy("factor", "shape", "a", "b").agg(F.sum("n").alias("n")).collect()
     n = 1 + len(KINDS)
     node: dict[str, np.ndarray] = {}
@@ -292,4 +292,4 @@ def find(docs: DataFrame, model: dict) -> DataFrame:
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")

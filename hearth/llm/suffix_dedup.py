@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, ship, slices, work_path
+from hearth.llm.common import cut, ship, slices, tidy, work_path
 from hearth.llm.shingles import _BASE, _LETTER, mix
 
 ship(__name__)
@@ -245,7 +245,7 @@ def dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int
     body = F.coalesce(F.col("text"), F.lit(""))
     # Both joins below shuffle just these columns of just these rows by ``txt``, so Spark shuffles the texts once.
     texts = docs.select("doc_id", F.unhex(F.md5(body)).alias("txt"), body.cast("binary").alias("text")).where(F.col("txt").isNotNull())
-    filed = texts.where(F.length("text") >= length).select("txt", "text").mapInArrow(_filed(length, gram), "h long, x long, n int, a int, txt binary, s long, times long")
+    filed = texts.where(F.length("text") >= length).select("txt", "text").mapInArrow(tidy(_filed(length, gram)), "h long, x long, n int, a int, txt binary, s long, times long")
     # A table of its own, so that the join below may split a hot anchor.
     often = cut(spark, filed.groupBy("h").agg(F.sum("times").alias("all")).where(F.col("all") > 1).select("h"))
     # Only windows whose anchor repeats go on, as a table in the shared folder (it is read twice and cuts the lineage).
@@ -262,7 +262,7 @@ def dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int
         .select(*key, "times", F.expr("substring(text, cast(s + 1 as int), n + %d)" % (length - 1)).alias("body"))
     )
     crowded = unique.groupBy("h").count().where(F.col("count") > hot).select("h")
-    spans_of = lambda rows: rows.repartition("h").sortWithinPartitions("h", "x").mapInArrow(_searched(length), "h long, x long, n int, a int, spans array<int>")
+    spans_of = lambda rows: rows.repartition("h").sortWithinPartitions("h", "x").mapInArrow(tidy(_searched(length)), "h long, x long, n int, a int, spans array<int>")
     if crowded.isEmpty():
         found = spans_of(bodies)
     else:
@@ -281,4 +281,4 @@ def dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int
     back = held.select(*key, "txt", "s").distinct().join(found, key)
     spans = back.groupBy("txt").agg(F.collect_list(F.transform("spans", lambda v: v + F.col("s"))).alias("spans"))
     whole = texts.join(spans, "txt", "left").select("doc_id", "text", "spans")
-    return whole.mapInArrow(_cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<array<long>>")
+    return whole.mapInArrow(tidy(_cut), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<array<long>>")

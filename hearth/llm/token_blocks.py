@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import ship, slices
+from hearth.llm.common import ship, slices, tidy
 
 ship(__name__)
 
@@ -427,7 +427,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 2, block_tokens:
     # The text's hash and the row's number part the rows of an id that many share.
     numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.md5("text").alias("fp"), F.monotonically_increasing_id().alias("row"))
     ordered = numbered.repartitionByRange("doc_id", "fp", "row").sortWithinPartitions("doc_id", "fp", "row").select("doc_id", "text")
-    return ordered.mapInArrow(run, "part int, block int, n_docs long, n_tokens long, payload binary")
+    return ordered.mapInArrow(tidy(run), "part int, block int, n_docs long, n_tokens long, payload binary")
 
 
 def decode(blocks: DataFrame) -> DataFrame:
@@ -452,7 +452,7 @@ def decode(blocks: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def write(blocks: DataFrame, path: str) -> None:

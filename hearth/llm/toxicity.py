@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import ship, slices
+from hearth.llm.common import ship, slices, tidy
 
 ship(__name__)
 
@@ -160,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
         return Model(dict.fromkeys(SEED, 1.0), -2.0, 3.0)
-    pairs = rows.mapInArrow(_worded, "word string, before string, n long")
+    pairs = rows.mapInArrow(tidy(_worded), "word string, before string, n long")
     counted = pairs.groupBy("word").agg(
         F.count_distinct("before").alias("t"), F.sum("n").alias("n")
     )
@@ -168,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     top = counted.where((F.col("t") >= MIN_CONTEXTS) & (F.length("word") > 1) & (odds >= MIN_ODDS)).orderBy(F.desc("t"), "word").limit(MAX_WORDS)
     weights = {r["word"]: min(6.0, math.log(r["t"] / bad / ((r["n"] + 0.5) / good))) for r in top.collect()}
     model = Model(weights or dict.fromkeys(SEED, 1.0), -2.0, 3.0)
-    binned = rows.mapInArrow(_densities(model), "bin int, toxic int").groupBy("bin", "toxic").count()
+    binned = rows.mapInArrow(tidy(_densities(model)), "bin int, toxic int").groupBy("bin", "toxic").count()
     model.intercept, model.slope = _curve(sorted((r["bin"], r["toxic"], r["count"]) for r in binned.collect()))
     return model
 
@@ -187,7 +187,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, n_hits long")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, score double, n_hits long")
 
 
 def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
@@ -200,4 +200,4 @@ def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
                 x = [density(t, automaton)[0] for t in part.column("text").to_pylist()]
                 yield part.filter(pa.array([1 / (1 + math.exp(-max(-500.0, min(500.0, model.intercept + model.slope * v)))) < limit for v in x], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
