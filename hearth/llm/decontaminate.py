@@ -45,7 +45,7 @@ LONGEST = 64  # words of a window
 SEED = 3  # words of a run
 LOWS = (1, 2, 3, 4, 5, 6, 7, 9, 11, 14, 17, 21, 25, 30, 36, 43, 52, LONGEST + 1)  # least size of each class
 AT_ONCE = 1024  # windows embedded together
-LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
+LEAST_BITS, MOST_BITS, SPARSE = 1 << 16, 1 << 28, 512  # bits of a bitmap; bits for each hash in it
 # Thai and Lao, Myanmar, Khmer, kana, Han.
 _UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 
@@ -181,10 +181,10 @@ _ITEM_TYPES = (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()),
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """The bitmap of a column of hashes, as bytes: sixteen bits a hash, between the two bounds."""
+    """The bitmap of a column of hashes, as bytes: ``SPARSE`` bits a hash at least, between the two bounds."""
     column: Column = F.col(hashes.columns[0])
     n = hashes.count()
-    size = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * n - 1).bit_length())) if n else LEAST_BITS
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (SPARSE * n - 1).bit_length())) if n else LEAST_BITS
     at = column.bitwiseAND(F.lit(size - 1))
     # One number for 64 bits: at most MOST_BITS / 64 rows.
     words = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
