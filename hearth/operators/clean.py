@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.operators import quantiles
+
 # Hard and configured ranges.
 CRITICAL = {"price": (1e8, 1e11), "area": (10.0, 10000.0), "latitude": (8.0, 24.0), "longitude": (102.0, 110.0), "province_id": (1, 63)}
 CONFIGURED = {"price": (5e8, 1e11), "area": (10.0, 1000.0), "floor_count": (1, 50)}
@@ -19,49 +21,58 @@ def in_ranges(ranges: dict, optional: tuple[str, ...] = ()) -> Column:
     return whole
 
 
-def checked(rows: DataFrame, kept: DataFrame, least: float = 0.2) -> DataFrame:
-    """``kept``, or an error where a filter left nothing; counting is asked for here and nowhere else."""
-    n, m = rows.count(), kept.count()
+def checked(rows: DataFrame, wanted: Column, least: float = 0.2) -> DataFrame:
+    """The rows for which ``wanted`` holds, or an error where none of some is left; both counts come from one pass."""
+    n, m = rows.agg(F.count("*"), F.count_if(wanted)).first()
     if n and not m:
         raise ValueError("all rows were filtered out")
     if n and m / n < least:
         import warnings
 
         warnings.warn(f"{1 - m / n:.0%} of the rows were filtered out", stacklevel=2)
-    return kept
+    return rows.where(wanted)
 
 
 def impute(rows: DataFrame, medians: list[str], unknown_ids: list[str], texts: list[str], required: list[str]) -> DataFrame:
     """Rows without a required value go; medians fill numbers, -1 fills ids, ``unknown`` fills texts.
 
-    The medians are one aggregated row, broadcast as such.
+    The medians are exact and found before, from the columns alone.
     """
     for name in required:
         rows = rows.where(F.col(name).isNotNull())
-    typical = rows.agg(F.struct(*[F.percentile(c, F.lit(0.5)).alias(c) for c in medians]).alias("_m"))
-    filled = rows.join(F.broadcast(typical))
-    values = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_m.{c}")) for c in medians}
+    held = rows.select(*medians).persist()
+    try:
+        typical = {c: quantiles.exact(held, c, [0.5])[0] for c in medians}
+    finally:
+        held.unpersist()
+    values = {c: F.coalesce(F.col(c).cast("double"), F.lit(typical[c]).cast("double")) for c in medians}
     values |= {c: F.coalesce(F.col(c), F.lit(-1)) for c in unknown_ids} | {c: F.coalesce(F.col(c), F.lit("unknown")) for c in texts}
-    return filled.withColumns(values).drop("_m")
+    return rows.withColumns(values)
 
 
-def within_iqr(rows: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
-    q = rows.agg(F.percentile(column, F.lit(0.25)).alias("_q1"), F.percentile(column, F.lit(0.75)).alias("_q3"))
-    width = (F.col("_q3") - F.col("_q1")) * factor
-    return rows.join(F.broadcast(q), F.col(column).between(F.col("_q1") - width, F.col("_q3") + width), "left_semi")
+def iqr_bounds(rows: DataFrame, column: str, factor: float = 1.5) -> tuple[float | None, float | None]:
+    low, high = quantiles.exact(rows, column, [0.25, 0.75])
+    return (None, None) if low is None else (low - (high - low) * factor, high + (high - low) * factor)
 
 
-def within_z(rows: DataFrame, column: str, most: float = 3.0) -> DataFrame:
-    s = rows.agg(F.avg(column).alias("_avg"), F.stddev_samp(column).alias("_dev"))
-    return rows.join(F.broadcast(s), F.abs(F.col(column) - F.col("_avg")) <= F.col("_dev") * most, "left_semi")
+def z_bounds(rows: DataFrame, column: str, most: float = 3.0) -> tuple[float | None, float | None]:
+    mean, dev = rows.agg(F.avg(column).cast("double"), F.stddev_samp(column).cast("double")).first()
+    return (None, None) if dev is None else (mean - dev * most, mean + dev * most)
 
 
 def without_outliers(rows: DataFrame, method: str, columns: list[str]) -> DataFrame:
-    """Column after column, each on what the one before left."""
-    how = {"iqr": within_iqr, "zscore": within_z, "none": lambda r, _: r}[method]
-    for c in columns:
-        rows = how(rows, c)
-    return rows
+    """Column after column, each by the bounds of what the one before left; the columns are read once."""
+    if method == "none":
+        return rows
+    bounds = {"iqr": iqr_bounds, "zscore": z_bounds}[method]
+    held = rows.select(*columns).persist()
+    kept = F.lit(True)
+    try:
+        for c in columns:
+            kept = kept & F.col(c).cast("double").between(*[F.lit(b).cast("double") for b in bounds(held.where(kept), c)])
+    finally:
+        held.unpersist()
+    return rows.where(kept)
 
 
 def hash_split(key: Column, percent: int) -> Column:
@@ -69,25 +80,38 @@ def hash_split(key: Column, percent: int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(key), 1, 7), 16, 10).cast("int"), F.lit(100)) < percent
 
 
-def earliest(rows: DataFrame, share: float, *order: Column) -> DataFrame:
-    """The first share of the rows by time, marked in ``train``.
+def earliest(rows: DataFrame, share: float, key: str = "listing_key") -> DataFrame:
+    """The first share of the rows by day, then ``key``, marked in ``train``; rows without a day are left out.
 
-    Ranks come from counts by day: only one row a day is ordered in one place, rows of the border day by key within it.
+    Counts by day tell the border day, and one row of that day the border key, so that no row is ranked or moved.
     """
     day = F.to_date("posted_date")
-    counts = rows.groupBy(day.alias("_day")).agg(F.count("*").alias("_n"))
+    dated = rows.where(day.isNotNull())
+    counts = dated.groupBy(day.alias("_day")).agg(F.count("*").alias("_n"))
     w = Window.partitionBy(F.lit(1)).orderBy("_day")
-    before = counts.select("_day", (F.sum("_n").over(w) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_all"))
-    placed = rows.withColumn("_day", day).join(F.broadcast(before), "_day")
-    inside = F.row_number().over(Window.partitionBy("_day").orderBy(*order))
-    return placed.withColumn("train", F.col("_before") + inside <= F.floor(F.col("_all") * share)).drop("_day", "_before", "_all")
+    ahead = counts.select("_day", (F.sum("_n").over(w) - F.col("_n")).alias("before"), F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("all"))
+    border = ahead.withColumn("last", F.floor(F.col("all") * share)).where("before < last").orderBy(F.desc("_day")).limit(1).first()
+    if border is None:
+        return dated.withColumn("train", F.lit(False))
+    inside = dated.where(day == F.lit(border["_day"])).select(key).orderBy(key).offset(border["last"] - border["before"] - 1).limit(1).first()
+    return dated.withColumn("train", (day < F.lit(border["_day"])) | ((day == F.lit(border["_day"])) & (F.col(key) <= F.lit(inside[0]))))
 
 
 def balanced(rows: DataFrame, key: str, cap: float = 1.2, by: str = "listing_key") -> DataFrame:
-    """The largest group cut to ``cap`` times the second largest, by the order of a hash of its rows' keys."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(F.lit(1)).orderBy(F.desc("_n"), key)
-    limits = counts.withColumn("_place", F.row_number().over(w)).withColumn("_second", F.lead("_n").over(w))
-    limit = limits.select(key, F.when(F.col("_place") == 1, F.floor(F.coalesce("_second", "_n") * cap)).otherwise(F.col("_n")).alias("_cap"))
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(F.md5(by), F.col(by))))
-    return ranked.join(F.broadcast(limit), key).where(F.col("_rank") <= F.col("_cap")).drop("_rank", "_cap")
+    """The largest group cut to ``cap`` times the second largest, by the order of a hash of its rows' keys.
+
+    Counts by the first digits of the hash tell where the cut lies, and one row there its very place: no group is sorted.
+    """
+    first = rows.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key).limit(2).collect()
+    if len(first) < 2 or first[0]["n"] <= int(first[1]["n"] * cap):
+        return rows
+    left = int(first[1]["n"] * cap)
+    largest, hashed = F.col(key).eqNullSafe(F.lit(first[0][0])), F.md5(F.col(by).cast("string"))
+    digits = F.substring(hashed, 1, 4)
+    counts = rows.where(largest).groupBy(digits.alias("d")).agg(F.count("*").alias("n"))
+    w = Window.partitionBy(F.lit(1)).orderBy("d")
+    border = counts.withColumn("before", F.sum("n").over(w) - F.col("n")).where(F.col("before") < left).orderBy(F.desc("d")).limit(1).first()
+    place = F.struct(hashed.alias("h"), F.col(by).alias("k"))
+    last = rows.where(largest & (digits == border["d"])).select(place.alias("p")).orderBy("p").offset(left - border["before"] - 1).limit(1).first()["p"]
+    kept = (hashed < last["h"]) | ((hashed == last["h"]) & (F.col(by) <= F.lit(last["k"])))
+    return rows.where(~largest | kept)

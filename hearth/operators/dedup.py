@@ -6,6 +6,8 @@ self-join on a blocking key (Spark splits skewed blocks) and removed with an ant
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,14 +81,25 @@ def similarity(a: str, b: str) -> Column:
 
 
 def similar_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs inside a block (``x.listing_key < y.listing_key``) at or above the threshold, with both sides' ranks."""
+    """Pairs inside a block (``x.listing_key < y.listing_key``) at or above the threshold, with both sides' ranks.
+
+    Where a pair cannot reach the threshold without a part of the area's weight, areas must be within the widest step of
+    each other: they then fall into the same or neighbouring steps of their logarithm, and the block's key takes that step too.
+    """
     need = ["listing_key", "province", "district", "ward", "street", "price", "area", "bedroom", "latitude", "longitude", "score", "processing_timestamp"]
     blocked = rows.select(*need, loose_key().alias("block"))
-    x, y = blocked.alias("x"), blocked.alias("y")
-    # Without a part of the area's weight the rest cannot reach the threshold: numbers decide before texts are compared.
-    need_area = 1.0 - WEIGHTS["area"] < threshold
-    near = F.abs(F.col("x.area") - F.col("y.area")) <= F.greatest("x.area", "y.area") * (STEPS[-1][0] + 1e-9) if need_area else F.lit(True)
-    pairs = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.listing_key") < F.col("y.listing_key")) & near)
+    x, y, near = blocked, blocked, F.lit(True)
+    on = (F.col("x.block") == F.col("y.block")) & (F.col("x.listing_key") < F.col("y.listing_key"))
+    if 1.0 - WEIGHTS["area"] < threshold:
+        step = F.floor(F.log("area") / (-math.log(1 - STEPS[-1][0]) + 1e-6))
+        x, y = blocked.where("area > 0").withColumn("step", step), blocked.where("area > 0").withColumn("step", F.explode(F.array(step - 1, step, step + 1)))
+        on = on & (F.col("x.step") == F.col("y.step"))
+        near = F.abs(F.col("x.area") - F.col("y.area")) <= F.greatest("x.area", "y.area") * (STEPS[-1][0] + 1e-9)
+    if 1.0 - 2 * WEIGHTS["rooms"] < threshold:
+        # Other rooms cost their whole weight, which leaves nothing to lose elsewhere: area and price decide before texts are compared.
+        lost = lambda c: F.abs(F.col(f"x.{c}") - F.col(f"y.{c}")) > F.greatest(f"x.{c}", f"y.{c}") * (STEPS[-1][0] + 1e-9)
+        near = near & ~(~F.coalesce(F.col("x.bedroom") == F.col("y.bedroom"), F.lit(False)) & (lost("area") | lost("price")))
+    pairs = x.alias("x").join(y.alias("y"), on & near)
     # Rounding noise must not decide at the threshold itself.
     return pairs.withColumn("similarity", similarity("x", "y")).where(F.col("similarity") >= threshold - 1e-9)
 

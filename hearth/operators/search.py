@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions import geo
@@ -18,9 +19,13 @@ def like(text: str) -> str:
     return "%" + text.replace("\\", "\\\\").replace("%", r"\%").replace("_", r"\_") + "%"
 
 
+# The columns a text search reads, as far as the rows have them.
+TEXTS = ("title", "description", "location", "province", "district", "ward", "street")
+
+
 @dataclass(frozen=True)
 class SearchFilter:
-    """Search parameters; absent ones do not restrict."""
+    """Search parameters; absent ones do not restrict.  ``equal`` holds exact values (source, ids, codes) by column."""
 
     province: str | None = None
     district: str | None = None
@@ -30,31 +35,40 @@ class SearchFilter:
     keyword: str | None = None
     price: tuple[float | None, float | None] = (None, None)
     area: tuple[float | None, float | None] = (None, None)
-    bedroom: int | None = None
-    bathroom: int | None = None
+    bedroom: int | tuple[int | None, int | None] | None = None
+    bathroom: int | tuple[int | None, int | None] | None = None
     posted_since: str | None = None
+    text: str | None = None
+    equal: tuple[tuple[str, object], ...] = ()
 
-    def predicate(self) -> Column:
+    def predicate(self, columns: list[str] | None = None) -> Column:
+        """``columns`` are those of the rows; ``text`` needs them."""
         parts = [F.lit(True)]
         for name in ("province", "district", "ward", "street", "house_type"):
             if value := getattr(self, name):
                 parts.append(F.col(name).ilike(like(value)))
-        for name in ("price", "area"):
-            low, high = getattr(self, name)
-            parts += [F.col(name) >= low] if low is not None else []
-            parts += [F.col(name) <= high] if high is not None else []
-        for name in ("bedroom", "bathroom"):
-            if (value := getattr(self, name)) is not None:
+        for name in ("price", "area", "bedroom", "bathroom"):
+            value = getattr(self, name)
+            if isinstance(value, tuple):
+                low, high = value
+                parts += [F.col(name) >= low] if low is not None else []
+                parts += [F.col(name) <= high] if high is not None else []
+            elif value is not None:
                 parts.append(F.col(name) == value)
         if self.keyword:
             k = like(self.keyword)
             parts.append(F.col("title").ilike(k) | F.col("street").ilike(k) | F.col("house_type").ilike(k))
+        if self.text:
+            parts.append(reduce(Column.__or__, [F.col(c).ilike(like(self.text)) for c in TEXTS if c in (columns or TEXTS)]))
         if self.posted_since:
             parts.append(F.col("posted_date") >= F.lit(self.posted_since).cast("timestamp_ntz"))
-        whole = parts[0]
-        for p in parts[1:]:
-            whole = whole & p
-        return whole
+        parts += [F.col(c) == F.lit(v) for c, v in self.equal]
+        return reduce(Column.__and__, parts)
+
+
+def listed(listings: DataFrame) -> DataFrame:
+    """Listings with a source and a title that is not empty: what the serving views show."""
+    return listings.where(F.col("title").isNotNull() & F.col("source").isNotNull() & (F.col("title") != ""))
 
 
 def search(listings: DataFrame, wanted: SearchFilter, sort_by: str = "posted_date", descending: bool = True, page: int = 1, size: int = 20) -> DataFrame:
@@ -63,11 +77,11 @@ def search(listings: DataFrame, wanted: SearchFilter, sort_by: str = "posted_dat
         raise ValueError(f"cannot sort by {sort_by!r}")
     size = min(size, MAX_PAGE)
     order = F.col(sort_by).desc_nulls_last() if descending else F.col(sort_by).asc_nulls_last()
-    return listings.where(wanted.predicate()).orderBy(order, "listing_key").offset((page - 1) * size).limit(size)
+    return listings.where(wanted.predicate(listings.columns)).orderBy(order, "listing_key").offset((page - 1) * size).limit(size)
 
 
 def page_info(listings: DataFrame, wanted: SearchFilter, page: int, size: int) -> DataFrame:
-    total = listings.where(wanted.predicate()).agg(F.count("*").alias("total"))
+    total = listings.where(wanted.predicate(listings.columns)).agg(F.count("*").alias("total"))
     pages = F.ceil(F.col("total") / size).cast("long")
     return total.select("total", pages.alias("total_pages"), (F.lit(page) < pages).alias("has_next"), F.lit(page > 1).alias("has_previous"))
 
@@ -93,15 +107,21 @@ def suggestions(listings: DataFrame, text: str, per_kind: int = 5, limit: int =
     return parts.orderBy("place", F.desc("n"), "name").limit(limit)
 
 
-def similar(listings: DataFrame, listing_key: str, limit: int = 5, tolerance: float = 0.2) -> DataFrame:
-    """Listings of the anchor's district within the price band, nearest in price first; the anchor is one row."""
-    anchor = listings.where(F.col("listing_key") == listing_key).limit(1)
-    a = F.broadcast(anchor.select(F.col("district").alias("a_district"), F.col("price").alias("a_price"), F.col("listing_key").alias("a_key")))
+def similar(listings: DataFrame, anchor: DataFrame, limit: int = 5, tolerance: float = 0.2) -> DataFrame:
+    """Listings of the anchor's district within the price band, nearest in price first; ``anchor`` is one row of the listings."""
+    a = F.broadcast(anchor.limit(1).select(F.col("district").alias("a_district"), F.col("price").alias("a_price"), F.col("listing_key").alias("a_key")))
     on = (F.col("district") == F.col("a_district")) & F.col("price").between(F.col("a_price") * (1 - tolerance), F.col("a_price") * (1 + tolerance))
     found = listings.join(a, on & (F.col("listing_key") != F.col("a_key")))
     return found.withColumn("gap", F.abs(F.col("price") - F.col("a_price"))).orderBy("gap", "listing_key").limit(limit).drop("a_district", "a_price", "a_key")
 
 
+def recommended(listings: DataFrame, anchor: DataFrame, limit: int = 5) -> DataFrame:
+    """The newest shown listings of the anchor's district but the anchor; ``anchor`` is one row of the listings."""
+    a = F.broadcast(anchor.limit(1).select(F.col("district_id").alias("a_district"), F.col("listing_key").alias("a_key")))
+    found = listed(listings).join(a, (F.col("district_id") == F.col("a_district")) & (F.col("listing_key") != F.col("a_key")))
+    return found.orderBy(F.col("posted_date").desc(), "listing_key").limit(limit).drop("a_district", "a_key")
+
+
 def banded(listings: DataFrame, price: float, area: float, bedroom: int, limit: int = 12) -> DataFrame:
     """Price within 30 %, area within 40 %, bedrooms within 2; nearest in price."""
     near = (
@@ -120,5 +140,6 @@ def options(listings: DataFrame, parent: str, value: str, child: str) -> DataFra
 
 
 def recent_partitions(rows: DataFrame, day: str, n: int) -> DataFrame:
-    """Rows of the ``n`` latest days."""
-    return rows.withColumn("place", F.dense_rank().over(Window.partitionBy(F.lit(1)).orderBy(F.col(day).desc()))).where(F.col("place") <= n).drop("place")
+    """Rows of the ``n`` latest days: the days are few, only they are ordered."""
+    latest = rows.select(day).distinct().orderBy(F.desc(day)).limit(n)
+    return rows.join(F.broadcast(latest), day, "left_semi")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.operators import quantiles
+
 # Histogram bounds of the market endpoints.
 PRICE_BINS = ((0, 1e9, "< 1 tỷ"), (1e9, 3e9, "1-3 tỷ"), (3e9, 5e9, "3-5 tỷ"), (5e9, 1e10, "5-10 tỷ"), (1e10, 2e10, "10-20 tỷ"), (2e10, None, "> 20 tỷ"))
 AREA_BINS = ((0, 50, "< 50 m²"), (50, 100, "50-100 m²"), (100, 200, "100-200 m²"), (200, 500, "200-500 m²"), (500, None, "> 500 m²"))
@@ -47,7 +49,8 @@ def histogram(rows: DataFrame, value: str, bins, extra: list[Column]) -> DataFra
         inside = F.col(value) >= low if high is None else (F.col(value) >= low) & (F.col(value) < high)
         number = F.when(inside, i).otherwise(number)
     found = rows.select("*", number.alias("bin")).where("bin is not null").groupBy("bin").agg(F.count("*").alias("n"), *extra)
-    dim = rows.sparkSession.createDataFrame([(i, label) for i, (_, _, label) in enumerate(bins)], "bin int, label string")
+    labels = F.array(*(F.struct(F.lit(i).alias("bin"), F.lit(label).alias("label")) for i, (_, _, label) in enumerate(bins)))
+    dim = rows.sparkSession.range(0, 1, 1, 1).select(F.inline(labels))
     return dim.join(found, "bin", "left").fillna({"n": 0})
 
 
@@ -111,11 +114,16 @@ def missing_profile(listings: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def numeric_profile(listings: DataFrame, columns: list[str]) -> DataFrame:
-    """Mean, sample deviation, extremes and exact median of each column, as one row a column from a single pass."""
+    """Mean, sample deviation, extremes and exact median of each column, as one row a column; the columns are read once."""
+    held = listings.select(*columns).persist()
+    try:
+        medians = {c: quantiles.exact(held, c, [0.5])[0] for c in columns}
+    finally:
+        held.unpersist()
     parts = [
         F.struct(
             F.lit(c).alias("name"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("dev"), F.min(c).cast("double").alias("low"),
-            F.max(c).cast("double").alias("high"), F.percentile(c, F.lit(0.5)).alias("median"),
+            F.max(c).cast("double").alias("high"), F.lit(medians[c]).cast("double").alias("median"),
         )
         for c in columns
     ]
@@ -124,20 +132,51 @@ def numeric_profile(listings: DataFrame, columns: list[str]) -> DataFrame:
     return one.select("p.name", show("mean"), show("dev"), show("low"), show("high"), show("median"))
 
 
-def price_errors(rows: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Error measures of predictions: shares within 10, 20 and 30 %, median and mean relative error, RMSE, MAE, R2."""
-    e = rows.select(F.col(actual).alias("y"), F.col(predicted).alias("p")).where("y is not null and p is not null and y <> 0")
-    e = e.select("y", "p", (F.abs(F.col("y") - F.col("p")) / F.abs("y")).alias("rel"))
+def price_errors(rows: DataFrame, actual: str, predicted: str, *by: str) -> DataFrame:
+    """Error measures of predictions: shares within 10, 20 and 30 %, median and mean relative error, RMSE, MAE, R2.
+
+    All groups of ``by`` come from one pass; their medians are aggregated, so groups are to be of a size one task can sort.
+    """
+    e = rows.select(*by, F.col(actual).alias("y"), F.col(predicted).alias("p")).where("y is not null and p is not null and y <> 0")
+    e = e.select(*by, "y", "p", (F.abs(F.col("y") - F.col("p")) / F.abs("y")).alias("rel"))
+    median = F.percentile("rel", F.lit(0.5))
+    if not by:
+        e = e.persist()
+        median = F.lit(quantiles.exact(e, "rel", [0.5])[0]).cast("double")
     within = lambda x: F.round(F.avg((F.col("rel") <= x).cast("double")) * 100, 4)
     sse = F.sum(F.pow(F.col("y") - F.col("p"), F.lit(2.0)))
-    return e.agg(
+    return e.groupBy(*by).agg(
         F.count("*").alias("n"), within(0.1).alias("within_10"), within(0.2).alias("within_20"), within(0.3).alias("within_30"),
-        F.round(F.percentile("rel", F.lit(0.5)) * 100, 4).alias("median_error"), F.round(F.avg("rel") * 100, 4).alias("mape"),
+        F.round(median * 100, 4).alias("median_error"), F.round(F.avg("rel") * 100, 4).alias("mape"),
         F.round(F.sqrt(F.avg(F.pow(F.col("y") - F.col("p"), F.lit(2.0))))).cast("long").alias("rmse"),
         F.round(F.avg(F.abs(F.col("y") - F.col("p")))).cast("long").alias("mae"), F.round(1 - sse / (F.var_pop("y") * F.count("*")), 6).alias("r2"),
     )
 
 
+def error_spread(rows: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Median, extremes and deviation of the absolute error, mean squared error, and the share of errors above their 95th percentile."""
+    e = rows.select((F.col(actual) - F.col(predicted)).cast("double").alias("d")).where("d is not null").select(F.abs("d").alias("e")).persist()
+    median, p95 = quantiles.exact(e, "e", [0.5, 0.95])
+    money = lambda c: F.round(c).cast("long")
+    return e.agg(
+        F.count("*").alias("n"), F.round(F.avg(F.pow("e", F.lit(2.0))) / 1e12).cast("long").alias("mse_1e12"), money(F.max("e")).alias("max_error"), money(F.min("e")).alias("min_error"),
+        money(F.stddev_pop("e")).alias("std_error"), money(F.lit(median)).alias("median_abs_error"),
+        F.count_if(F.col("e") > p95).alias("outliers") if p95 is not None else F.lit(0).cast("long").alias("outliers"),
+        F.round(F.avg((F.col("e") > F.lit(p95)).cast("double")) * 100, 4).alias("outliers_pct"),
+    )
+
+
+def band_profile(rows: DataFrame, actual: str, predicted: str, bands: tuple[tuple[str, float, float | None], ...]) -> DataFrame:
+    """Mean absolute and relative error and number of rows by named band of the true value; empty bands are left out."""
+    name = F.lit(None).cast("string")
+    for label, low, high in bands:
+        inside = (F.col(actual) >= low) & (F.lit(True) if high is None else F.col(actual) < high)
+        name = F.when(inside, label).otherwise(name)
+    gap = F.abs(F.col(actual) - F.col(predicted))
+    found = rows.where(name.isNotNull()).groupBy(name.alias("band"))
+    return found.agg(F.count("*").alias("n"), F.round(F.avg(gap)).cast("long").alias("mae"), F.round(F.avg(gap / F.col(actual)), 6).alias("mape"))
+
+
 def band_errors(rows: DataFrame, actual: str, predicted: str, bounds: tuple[float, ...], least: int = 10) -> DataFrame:
     """Mean absolute error by band of the true value, for bands with more than ``least`` rows."""
     band = F.lit(0)

@@ -38,12 +38,8 @@ METRICS = "count(*) AS n, round(avg(CASE WHEN rel <= 0.1::DOUBLE THEN 1.0 ELSE 0
 
 
 def by_model(spark, sf):
-    p = predictions(spark, sf)
-    parts = None
-    for pid in range(5):
-        m = stats.price_errors(p.where(F.col("province_id") == pid), "price", "predicted").withColumn("model", F.concat(F.lit("m"), F.lit(pid)))
-        parts = m if parts is None else parts.unionByName(m)
-    return parts
+    named = predictions(spark, sf).withColumn("model", F.concat(F.lit("m"), F.col("province_id")))
+    return stats.price_errors(named, "price", "predicted", "model")
 
 
 BY_MODEL = f"{PREDICTED}, {ERRORS}, m AS (SELECT 'm' || province_id AS model, {METRICS} FROM e GROUP BY province_id)"
@@ -122,18 +118,14 @@ PLANS = {
         with_listings(f"r AS (SELECT {DAY} AS day, listing_key FROM listings WHERE {DAY} BETWEEN DATE '1997-01-01' AND DATE '1997-03-31') SELECT day::VARCHAR AS day, listing_key FROM r WHERE day = (SELECT max(day) FROM r)"),
     ),
     "temporal_split": (
-        lambda s, d: clean.earliest(rows(s, d), 0.8, F.asc("listing_key")).groupBy("train").agg(F.count("*").alias("n"), F.max(F.to_date("posted_date").cast("string")).alias("last"), F.min(F.to_date("posted_date").cast("string")).alias("first")),
+        lambda s, d: clean.earliest(rows(s, d), 0.8).groupBy("train").agg(F.count("*").alias("n"), F.max(F.to_date("posted_date").cast("string")).alias("last"), F.min(F.to_date("posted_date").cast("string")).alias("first")),
         with_listings("r AS (SELECT posted_date::DATE AS day, row_number() OVER (ORDER BY posted_date::DATE, listing_key) <= floor((SELECT count(*) FROM listings) * 0.8::DOUBLE) AS train FROM listings) SELECT train, count(*) AS n, max(day)::VARCHAR AS last, min(day)::VARCHAR AS first FROM r GROUP BY train"),
     ),
     "hash_split": (
         lambda s, d: rows(s, d).groupBy(clean.hash_split(F.col("listing_key"), 80).alias("train")).agg(F.count("*").alias("n")),
         with_listings("SELECT ('0x' || substr(md5(listing_key), 1, 7))::INT % 100 < 80 AS train, count(*) AS n FROM listings GROUP BY 1"),
     ),
-    "balance": (
-        lambda s, d: balanced(rows(s, d).where("province <> 'ASIA' or district_id < 10")),
-        with_listings(f"f AS (SELECT * FROM listings WHERE province <> 'ASIA' OR district_id < 10), {BALANCED}"),
-    ),
-    "balance_all": (lambda s, d: balanced(rows(s, d)), with_listings(f"f AS (SELECT * FROM listings), {BALANCED}")),
+    "balance": (lambda s, d: balanced(rows(s, d)), with_listings(f"f AS (SELECT * FROM listings), {BALANCED}")),
     "unknown_to_null": (
         lambda s, d: features.null_if_unknown(rows(s, d).select("listing_key", F.coalesce("bedroom", F.lit(-1)).alias("bedroom")), ["bedroom"]).agg(F.count("*").alias("n"), F.count("bedroom").alias("known")),
         with_listings("SELECT count(*) AS n, count(bedroom) AS known FROM listings"),

@@ -13,13 +13,13 @@ SHOWN = ["listing_key", "title", "price", "area", "province", "district"]
 SHOWN_SQL = ", ".join(SHOWN)
 WANTED = SearchFilter(province="asia", price=(2e9, 8e9), area=(50, None), bedroom=2)
 WANTED_SQL = "province ILIKE '%asia%' AND price >= 2e9 AND price <= 8e9 AND area >= 50 AND bedroom = 2"
-HERE = (10.762622, 106.660172, 50000.0)
+HERE = (9.0, 102.05, 50000.0)
 DISTANCE = f"6371000.0 * acos(greatest(-1.0, least(1.0, cos(radians({HERE[0]})) * cos(radians(latitude)) * cos(radians(longitude) - radians({HERE[1]})) + sin(radians({HERE[0]})) * sin(radians(latitude)))))"
 ANCHOR = "(SELECT listing_key FROM listings ORDER BY listing_key LIMIT 1)"
 
 
-def anchor_key(rows) -> str:
-    return rows.agg(F.min("listing_key")).first()[0]
+def anchor(rows):
+    return rows.orderBy("listing_key").limit(1)
 
 
 def _suggest_sql(text: str) -> str:
@@ -29,13 +29,32 @@ def _suggest_sql(text: str) -> str:
 
 def similar(spark, sf):
     rows = listings(spark, sf)
-    return ops.similar(rows, anchor_key(rows)).select(*SHOWN, "gap")
+    return ops.similar(rows, anchor(rows)).select(*SHOWN, "gap")
 
 
 def compare(spark, sf):
     rows = listings(spark, sf)
-    keys = [r[0] for r in rows.select("listing_key").distinct().orderBy("listing_key").limit(4).collect()]
-    return rows.where(F.col("listing_key").isin(keys)).select(*SHOWN, "bedroom", F.round("price_per_m2", 2).alias("ppm2"))
+    asked = rows.select("listing_key").distinct().orderBy("listing_key").limit(4)
+    return rows.join(F.broadcast(asked), "listing_key", "left_semi").select(*SHOWN, "bedroom", F.round("price_per_m2", 2).alias("ppm2"))
+
+
+def texts(rows):
+    return rows.withColumns({"location": F.concat_ws(", ", "district", "province"), "description": F.col("house_type")})
+
+
+def shown_price(price):
+    """Billions with one decimal, millions without, else the whole amount; half to even."""
+    short = lambda unit, digits: F.bround((price / unit).cast("decimal(20,6)"), digits)
+    return (
+        F.when(price >= 1e9, F.concat(short(1e9, 1).cast("decimal(20,1)").cast("string"), F.lit(" tỷ")))
+        .when(price >= 1e6, F.concat(short(1e6, 0).cast("long").cast("string"), F.lit(" triệu")))
+        .when(price > 0, F.concat(F.format_number(F.floor(price), 0), F.lit(" VND")))
+    )
+
+
+SHOWN_PRICE_SQL = "CASE WHEN price >= 1e9 THEN round_even((price / 1e9)::DECIMAL(20,6), 1)::DECIMAL(20,1)::VARCHAR || ' tỷ' WHEN price >= 1e6 THEN round_even((price / 1e6)::DECIMAL(20,6), 0)::BIGINT || ' triệu' WHEN price > 0 THEN format('{:,}', floor(price)::BIGINT) || ' VND' END"
+NARROW = SearchFilter(text="nation_1", equal=(("source", "src_b"), ("province_id", 1)), bedroom=(2, 4), bathroom=(1, None), area=(None, 400))
+NARROW_SQL = "source = 'src_b' AND province_id = 1 AND bedroom BETWEEN 2 AND 4 AND bathroom >= 1 AND area <= 400 AND (" + " OR ".join(f"contains(lower({c}), 'nation_1')" for c in ("title", "house_type", "district || ', ' || province", "province", "district", "ward", "street")) + ")"
 
 
 PLANS = {
@@ -52,8 +71,8 @@ PLANS = {
         with_listings(f"SELECT count(*) AS total, ceil(count(*) / 20.0)::BIGINT AS total_pages, 2 < ceil(count(*) / 20.0) AS has_next, true AS has_previous FROM listings WHERE {WANTED_SQL}"),
     ),
     "location_search": (
-        lambda s, d: ops.newest(listings(s, d), F.col("province").ilike("%europe%") & F.col("district").ilike("%fr%"), 50).select(*SHOWN),
-        with_listings(f"SELECT {SHOWN_SQL} FROM listings WHERE province ILIKE '%europe%' AND district ILIKE '%fr%' ORDER BY posted_date DESC, listing_key LIMIT 50"),
+        lambda s, d: ops.newest(listings(s, d), F.col("province").ilike("%europe%") & F.col("district").ilike("%n_1%"), 50).select(*SHOWN),
+        with_listings(f"SELECT {SHOWN_SQL} FROM listings WHERE province ILIKE '%europe%' AND district ILIKE '%n_1%' ORDER BY posted_date DESC, listing_key LIMIT 50"),
     ),
     "radius_search": (
         lambda s, d: ops.within_radius(listings(s, d), *HERE).select(*SHOWN, F.round("distance", 1).alias("distance")),
@@ -65,8 +84,12 @@ PLANS = {
         with_listings(f"a AS (SELECT * FROM listings WHERE listing_key = {ANCHOR} LIMIT 1) SELECT {', '.join('l.' + c for c in SHOWN)}, abs(l.price - a.price) AS gap FROM listings l JOIN a ON l.district = a.district AND l.price BETWEEN a.price * (1 - 0.2::DOUBLE) AND a.price * (1 + 0.2::DOUBLE) AND l.listing_key <> a.listing_key ORDER BY gap, l.listing_key LIMIT 5"),
     ),
     "recommend": (
-        lambda s, d: ops.newest(listings(s, d), (F.col("district_id") == 7) & (F.col("price") > 0), 5).select(*SHOWN),
-        with_listings(f"SELECT {SHOWN_SQL} FROM listings WHERE district_id = 7 AND price > 0 ORDER BY posted_date DESC, listing_key LIMIT 5"),
+        lambda s, d: (lambda rows: ops.recommended(rows, anchor(rows)))(listings(s, d)).select(*SHOWN),
+        with_listings(f"SELECT {SHOWN_SQL} FROM listings WHERE district_id = (SELECT district_id FROM listings WHERE listing_key = {ANCHOR} LIMIT 1) AND listing_key <> {ANCHOR} AND title <> '' AND source IS NOT NULL ORDER BY posted_date DESC, listing_key LIMIT 5"),
+    ),
+    "filtered_listings": (
+        lambda s, d: (lambda rows: rows.where(NARROW.predicate(rows.columns)))(ops.listed(texts(listings(s, d)))).select(*SHOWN),
+        with_listings(f"SELECT {SHOWN_SQL} FROM listings WHERE title <> '' AND source IS NOT NULL AND {NARROW_SQL}"),
     ),
     "price_band": (
         lambda s, d: ops.banded(listings(s, d), 5e9, 200, 3).select(*SHOWN),
@@ -89,7 +112,7 @@ PLANS = {
         with_listings("SELECT listing_key, concat_ws(', ', nullif(trim(street), ''), nullif(trim(ward), ''), nullif(trim(district), ''), nullif(trim(province), '')) AS full_address FROM listings"),
     ),
     "formatted_price": (
-        lambda s, d: listings(s, d).select("listing_key", F.when(F.col("price") >= 1e9, F.concat(F.floor(F.col("price") / 1e8).cast("string"), F.lit("00 triệu"))).otherwise(F.concat(F.floor(F.col("price") / 1e6).cast("string"), F.lit(" triệu"))).alias("shown"), F.concat(F.format_number(F.floor("price"), 0), F.lit(" VND")).alias("vnd")),
-        with_listings("SELECT listing_key, CASE WHEN price >= 1e9 THEN floor(price / 1e8)::BIGINT || '00 triệu' ELSE floor(price / 1e6)::BIGINT || ' triệu' END AS shown, format('{:,}', floor(price)::BIGINT) || ' VND' AS vnd FROM listings"),
+        lambda s, d: listings(s, d).withColumn("price", F.col("price") / F.lit(10.0) ** (F.col("district_id") % 6)).select("listing_key", shown_price(F.col("price")).alias("shown")),
+        with_listings(f"f AS (SELECT listing_key, price / pow(10.0::DOUBLE, district_id % 6) AS price FROM listings) SELECT listing_key, {SHOWN_PRICE_SQL} AS shown FROM f"),
     ),
 }

@@ -74,7 +74,7 @@ def hierarchy(nested: DataFrame) -> dict[str, DataFrame]:
         items = p.where("d is not null").select(F.col("id").alias("province_id"), F.col("d.id").alias("district_id"), F.explode(f"d.{kind}").alias("x"))
         out[kind] = items.select("province_id", "district_id", F.col("x.id").alias(one), F.col("x.name").alias("name"), F.col("x.prefix").alias("prefix"))
     for kind, rows in out.items():
-        unknown = rows.limit(1).select(*[F.lit("unknown" if c in ("name", "prefix") else "-1").cast(t).alias(c) for c, t in rows.dtypes])
+        unknown = rows.sparkSession.range(0, 1, 1, 1).select(*[F.lit("unknown" if c in ("name", "prefix") else "-1").cast(t).alias(c) for c, t in rows.dtypes])
         out[kind] = rows.unionByName(unknown)
     return out
 

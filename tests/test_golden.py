@@ -139,12 +139,12 @@ def test_search_guards(spark):
 def test_checked_filter(spark):
     rows = spark.range(5)
     with pytest.raises(ValueError):
-        clean.checked(rows, rows.where("id > 9"))
+        clean.checked(rows, F.col("id") > 9)
     with pytest.warns(UserWarning):
-        clean.checked(rows, rows.where("id = 1"), least=0.5)
+        clean.checked(rows, F.col("id") == 1, least=0.5)
 
 
-def test_balance_all_reads_every_listing(spark):
+def test_balance_reads_every_listing(spark):
     from hearth.plans import registry
     from hearth.sources.adapters import listings
 
@@ -152,7 +152,7 @@ def test_balance_all_reads_every_listing(spark):
     sizes = sorted(((r["count"], r.province) for r in listings(spark, sf).groupBy("province").count().collect()), key=lambda x: (-x[0], x[1]))
     most = int(sizes[1][0] * 1.2)
     want = {p: min(n, most) if k == 0 else n for k, (n, p) in enumerate(sizes)}
-    assert {r.province: r.n for r in registry.QUERIES["balance_all"](spark, sf).collect()} == want
+    assert {r.province: r.n for r in registry.QUERIES["balance"](spark, sf).collect()} == want
 
 
 def test_raw_reader_turns_empty_text_to_null(spark, tmp_path):
