@@ -7,6 +7,7 @@ self-join on a blocking key (Spark splits skewed blocks) and removed with an ant
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,6 +81,29 @@ def similarity(a: str, b: str) -> Column:
     )
 
 
+def graded(a: str, b: str) -> Column:
+    """Likeness by falling lines in place of steps: same place, price to half, area to a fifth, both rooms, distance to 1 km."""
+    col = lambda side, c: F.col(f"{side}.{c}")
+    every = lambda names: reduce(Column.__and__, [col(a, c).eqNullSafe(col(b, c)) for c in names]).cast("double")
+    relative = lambda c: F.abs(col(a, c) - col(b, c)) / F.greatest(col(a, c), col(b, c))
+    both = lambda c: F.coalesce((col(a, c) != 0) & (col(b, c) != 0), F.lit(False))
+    falling = lambda c, slope: F.when(both(c), F.greatest(F.lit(0.0), 1 - relative(c) * slope)).otherwise(0.0)
+    metres = geo.haversine(col(a, "latitude"), col(a, "longitude"), col(b, "latitude"), col(b, "longitude"))
+    near = F.when(both("latitude") & both("longitude"), F.when(metres < 50, 1.0).otherwise(F.greatest(F.lit(0.0), 1 - metres / 1000))).otherwise(0.0)
+    return (
+        every(("province", "district", "ward", "street")) * WEIGHTS["address"] + falling("price", 2.0) * WEIGHTS["price"] + falling("area", 5.0) * WEIGHTS["area"]
+        + every(("bedroom", "bathroom")) * WEIGHTS["rooms"] + near * WEIGHTS["distance"]
+    )
+
+
+def plain_key(location: Column) -> Column:
+    """Location without signs, price to a tenth of a billion, area to a unit, rooms and places; numbers as integers."""
+    cleaned = F.lower(F.trim(F.regexp_replace(location, r"(?U)[^\w\s]", "")))
+    numbers = [F.coalesce(rounded(F.col("price") / 1e8) * 100000000, F.lit(0)), F.coalesce(rounded(F.col("area")), F.lit(0)), F.coalesce("bedroom", F.lit(0)), F.coalesce("bathroom", F.lit(0))]
+    places = [F.coalesce(F.col(c), F.lit("")) for c in ("province", "district", "ward")]
+    return F.md5(F.concat_ws("|", F.coalesce(cleaned, F.lit("")), *[n.cast("string") for n in numbers], *places))
+
+
 def similar_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs inside a block (``x.listing_key < y.listing_key``) at or above the threshold, with both sides' ranks.
 

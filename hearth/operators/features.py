@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearth.operators import quantiles
+
 FEATURES = [
     "area", "latitude", "longitude", "bedroom", "bathroom", "floor_count", "province_id", "district_id", "total_rooms", "area_per_room", "bedroom_bathroom_ratio", "population_density",
 ]
@@ -91,3 +93,55 @@ def segments(rows: DataFrame, least: int = 1000) -> DataFrame:
     marked = rows.withColumn("segment", F.when(F.col("price") >= 1e10, "luxury").when(F.col("price") >= 1e9, "mid"))
     sizes = marked.where("segment is not null").groupBy("segment").agg(F.count("*").alias("_n")).where(F.col("_n") > least)
     return marked.join(F.broadcast(sizes.select("segment")), "segment")
+
+
+# The target and the sixteen features of the feature store.
+STORED = (
+    "price", "area", "latitude", "longitude", "bedroom", "bathroom", "floor_count", "house_direction_code", "legal_status_code", "interior_code", "province_id", "district_id", "ward_id",
+    "total_rooms", "area_per_room", "bedroom_bathroom_ratio", "population_density",
+)
+NUMBERS = ("area", "latitude", "longitude", "bedroom", "bathroom", "floor_count", "population_density", "total_rooms", "area_per_room", "bedroom_bathroom_ratio")
+CODES = ("province_id", "interior_code", "legal_status_code", "house_direction_code")
+MANY_CODES = ("district_id", "ward_id")
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """The columns of the feature store and the id; a missing one is an error, others are dropped."""
+    missing = [c for c in STORED if c not in rows.columns]
+    if missing:
+        raise ValueError(f"missing features: {', '.join(missing)}")
+    return rows.select(*STORED, "id")
+
+
+def filled(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Exact medians in place of nulls; columns without any value stay null."""
+    held = rows.select(*columns).persist()
+    try:
+        typical = {c: quantiles.exact(held, c, [0.5])[0] for c in columns}
+    finally:
+        held.unpersist()
+    return rows.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(typical[c]).cast("double")) for c in columns})
+
+
+def trained(rows: DataFrame) -> DataFrame:
+    """Training-time form: medians for rooms, floors and area, then the derived columns with divisors a little above zero."""
+    full = filled(rows, ("bedroom", "bathroom", "floor_count", "area")).withColumn("total_rooms", F.col("bedroom") + F.col("bathroom"))
+    return full.withColumns({"area_per_room": F.col("area") / (F.col("total_rooms") + 1e-5), "bedroom_bathroom_ratio": F.col("bedroom") / (F.col("bathroom") + 1e-5)})
+
+
+def for_trees(rows: DataFrame) -> DataFrame:
+    """Codes as integers with -1 for none, medians for the other numbers."""
+    codes = {c: F.coalesce(F.col(c), F.lit(-1)).cast("int") for c in CODES + MANY_CODES if c in rows.columns}
+    return filled(trained(rows).withColumns(codes), tuple(c for c in NUMBERS if c in rows.columns or c in ("total_rooms", "area_per_room", "bedroom_bathroom_ratio")))
+
+
+def for_lines(rows: DataFrame) -> DataFrame:
+    """Logarithm of the price, codes as texts with "missing" for none, medians for the numbers."""
+    codes = {c: F.when(F.col(c).isNull() | (F.col(c) == -1), "missing").otherwise(F.col(c).cast("string")) for c in CODES if c in rows.columns}
+    return filled(trained(rows).withColumns(codes | {"log_price": F.log("price")}), tuple(c for c in NUMBERS if c in rows.columns or c in ("total_rooms", "area_per_room", "bedroom_bathroom_ratio")))
+
+
+def modes(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The most frequent value in place of nulls, the smallest of equally frequent ones."""
+    counted = [rows.where(F.col(c).isNotNull()).groupBy(F.col(c)).agg(F.count("*").alias("n")).orderBy(F.desc("n"), c).limit(1).first() for c in columns]
+    return rows.withColumns({c: F.coalesce(F.col(c), F.lit(r[0])) for c, r in zip(columns, counted, strict=True) if r is not None})

@@ -79,6 +79,22 @@ def hierarchy(nested: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def write_features(rows: DataFrame, root: str, kind: str, day: str, files: int = 10) -> tuple[str, str]:
+    """Features of a day and kind of listing in few files, and a JSON document about them; returns both paths."""
+    folder, plain = f"{root}/{kind}/{day.replace('-', '/')}", day.replace("-", "")
+    data, about = f"{folder}/features_{kind}_{plain}.parquet", f"{folder}/metadata_{kind}_{plain}.json"
+    rows.coalesce(files).write.mode("overwrite").parquet(data)
+    spark = rows.sparkSession
+    count = spark.read.parquet(data).agg(F.count("*").alias("record_count"))
+    names = F.array(*[F.lit(c) for c in rows.columns])
+    made = count.select(
+        F.lit(day).alias("date"), F.lit(kind).alias("property_type"), "record_count", F.lit(len(rows.columns)).alias("feature_count"), names.alias("features"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
+    )
+    made.coalesce(1).write.mode("overwrite").json(about)
+    return data, about
+
+
 def write_days(rows: DataFrame, path: str, day: str = "dt", *more: str) -> None:
     """Overwrite only the days that the rows hold."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day, *more).parquet(path)
