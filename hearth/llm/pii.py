@@ -9,7 +9,8 @@ spans are evidence.  The hubs of a group of like tokens are its first token of e
 where it holds no evidence: evidence speaks to every like mention at once, however many lie between, and a token adds at
 most one edge a kind.  Sum-product messages are passed over the loopy graph until none changes by more than ``BOUND``; where
 they circle, the steps shrink, and after ``LIMIT`` rounds the last beliefs stand.  Tokens whose marginal favours a kind
-become further spans, adjacent tokens of one kind as one span.  Base spans always stay.
+become further spans, adjacent tokens of one kind as one span but for those that their check digit makes whole.  Base spans always
+stay.  What the field adds is mostly what a pattern loses by taking in a neighbour, as patterns are not tried again.
 
 The weights are estimated piecewise (each factor's own likelihood, in closed form from smoothed counts) on at most
 ``SAMPLE_ROWS`` documents, the first by a hash of their id, with the base spans as labels.  The skip factor is counted on
@@ -197,8 +198,11 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
             node.setdefault(r["shape"], np.full(n, 0.5))[r["a"]] += r["n"]
         else:
             pair[r["factor"]][r["a"], r["b"]] += r["n"]
+    seen = sum(node.values(), np.zeros(n)) if node else np.ones(n)
     return {
         "node": {k: np.log(v / v.sum()).tolist() for k, v in node.items()},
+        # Shapes that the sample does not hold.
+        "prior": np.log(seen / seen.sum()).tolist(),
         # Association beyond chance, so that a factor without evidence is neutral.
         **{k: np.log(v * v.sum() / np.outer(v.sum(1), v.sum(0))).tolist() for k, v in pair.items()},
     }
@@ -240,13 +244,10 @@ def all_spans(text: str, model: dict) -> tuple[list[tuple[int, int, int]], list[
     """Base spans, and base and field spans together, both as (start, kind, end) by start, then kind."""
     spans, label, chain, groups, base = graph(text)
     skip = skips(label, chain, groups)
-    if not spans or all(label) or not (any(label) or skip):
-        # Everything is evidence, or nothing links a token to a kind: only the factor of its shape could speak.
-        if not spans or all(label):
-            return base, base
-    n = 1 + len(KINDS)
-    flat = [0.0] * n
-    unary = np.array([model["node"].get(shape(text[a:b]), flat) for a, b in spans])
+    if all(label):
+        return base, base
+    shapes = [shape(text[a:b]) for a, b in spans]
+    unary = np.array([model["node"].get(s, model["prior"]) for s in shapes])
     for t, y in enumerate(label):
         if y:
             unary[t] = -np.inf
@@ -261,7 +262,9 @@ def all_spans(text: str, model: dict) -> tuple[list[tuple[int, int, int]], list[
             continue
         a += len(text[a:b]) - len(text[a:b].lstrip("(<["))
         b -= len(text[a:b]) - len(text[a:b].rstrip(".:)>]!?"))
-        if added and t and (t - 1, t) in linked and not label[t - 1] and best[t - 1] == best[t]:
+        # A token that is a whole number by its check digit stands alone; parts of one, as of a phone number, are one span.
+        whole = "L" in shapes[t] or (t and "L" in shapes[t - 1])
+        if added and t and (t - 1, t) in linked and not label[t - 1] and best[t - 1] == best[t] and not whole:
             added[-1] = (added[-1][0], added[-1][1], b)
         elif a < b:
             added.append((a, int(best[t]) - 1, b))

@@ -1,12 +1,12 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick on folded text.
 
-Folding lower-cases, maps look-alike letters of other scripts and full-width forms to Latin ones, digits and signs used as
-letters to those letters, and ASCII punctuation to spaces.  Lexicon entries match whole words; matches inside an
+Folding lower-cases, maps look-alike letters of other scripts and full-width, mathematical and circled forms to Latin ones, digits
+and signs used as letters to those letters, punctuation to spaces, and drops combining marks and characters that do not show.  Lexicon entries match whole words; matches inside an
 exception phrase do not count.  The sum of the matched weights, divided by the length in words, goes through a logistic
 curve to a score from 0 to 1.
 
 Lexicon and curve are learned from labelled rows: at most ``SAMPLE_ROWS`` of them, the first by a hash of their id (a
-bounded sample, as a documented parameter).  A word's weight is the log odds of toxic against clean rows.  Toxic rows
+bounded sample, as a documented parameter).  The lexicon holds every word of the sample that is telling enough.  A word's weight is the log odds of toxic against clean rows.  Toxic rows
 count by the word that stands before its first place in the row, each different one once, so that a family of near
 copies, in which it follows the same word, counts once.  Scoring reads every whole text.
 
@@ -18,7 +18,9 @@ table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 import string
+import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -33,7 +35,6 @@ from hearth.llm.common import ship, slices, tidy
 ship(__name__)
 
 SAMPLE_ROWS = 40_000
-MAX_WORDS = 5_000
 MIN_CONTEXTS, MIN_ODDS = 3, 8.0
 
 # Look-alike letters (Cyrillic, Greek), digits and signs used as letters.
@@ -43,20 +44,31 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "loser bracket", "pond scum")
 SEED = ("trash", "pathetic", "idiot", "disgusting", "worthless", "stupid", "clown", "loser", "scum", "moron")
 
-_FOLD = str.maketrans(
-    {c: " " for c in string.punctuation + string.whitespace}
-    | {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}
-    | {chr(0xFF21 + i): chr(0x61 + i) for i in range(26)}
-    | HOMOGLYPHS
-    | SUBSTITUTES
-)
+
+
+def _folds() -> dict[str, str]:
+    """What each character becomes, followed to the end: a full-width four becomes a four and so an ``a``."""
+    signs = string.punctuation + string.whitespace + "".join(map(chr, (*range(0x2000, 0x200B), *range(0x2010, 0x2030), 0x2212, 0x00A0, 0x3000)))
+    out = {c: " " for c in signs} | HOMOGLYPHS | SUBSTITUTES
+    # Letters and digits in other dress: full-width, mathematical, circled and letter-like ones.
+    for c in map(chr, (*range(0xFF01, 0xFF5F), *range(0x1D400, 0x1D800), *range(0x2460, 0x2500), *range(0x2100, 0x2150))):
+        plain = unicodedata.normalize("NFKC", c).lower()
+        if plain.isascii() and plain:
+            out[c] = "".join(out.get(x, x) for x in plain)
+    # Marks and joiners that do not show.
+    out |= dict.fromkeys(map(chr, (*range(0x0300, 0x0370), 0x00AD, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xFEFF)), "")
+    return out
+
+
+_FOLD = str.maketrans(_folds())
+_SHOUTS = re.compile(r"!+(?=[^\w$@]|\Z)")  # that end a word
 
 
 def fold(text: str | None) -> str:
     """The folded text between two spaces; trailing ``!`` and the like of a word are its punctuation, not letters."""
     low = (text or "").lower()
     if "!" in low:
-        low = low.replace("! ", "  ").replace("!\n", "  ").rstrip("!")
+        low = _SHOUTS.sub(" ", low)
     return " " + low.translate(_FOLD) + " "
 
 
@@ -165,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         F.count_distinct("before").alias("t"), F.sum("n").alias("n")
     )
     odds = (F.col("t") / F.lit(float(bad))) / ((F.col("n") + 0.5) / F.lit(float(good)))
-    top = counted.where((F.col("t") >= MIN_CONTEXTS) & (F.length("word") > 1) & (odds >= MIN_ODDS)).orderBy(F.desc("t"), "word").limit(MAX_WORDS)
+    top = counted.where((F.col("t") >= MIN_CONTEXTS) & (F.length("word") > 1) & (odds >= MIN_ODDS))
     weights = {r["word"]: min(6.0, math.log(r["t"] / bad / ((r["n"] + 0.5) / good))) for r in top.collect()}
     model = Model(weights or dict.fromkeys(SEED, 1.0), -2.0, 3.0)
     binned = rows.mapInArrow(tidy(_densities(model)), "bin int, toxic int").groupBy("bin", "toxic").count()

@@ -167,6 +167,40 @@ def test_folding():
     assert toxicity.density("trash trash", a)[1] == 2
 
 
+def test_disguised_words_are_folded():
+    for word in ("tr\u200bash", "\uff54\uff52\uff14\uff53\uff48", "\U0001d42d\U0001d42b\U0001d41a\U0001d42c\U0001d421", "t\u0337r\u0337a\u0337s\u0337h", "\u24e3\u24e1\u24d0\u24e2\u24d7", "TR\u0410SH", "tra\u00adsh"):
+        assert toxicity.fold(word).split() == ["trash"], word
+    assert toxicity.fold("trash\u2014can SCUM!! sh!t! \uff14\uff01").split() == ["trash", "can", "scum", "shit", "ai"]
+
+
+def test_automaton_equals_a_naive_search():
+    rng = random.Random(21)
+    words = ["ba", "bad", "dab", "ab", "da", "bada"]
+    model = toxicity.Model({w: 1.0 + i for i, w in enumerate(words)}, -2.0, 3.0, ("bad dab", "da ba"))
+    automaton = model.automaton()
+    for _ in range(3000):
+        text = " ".join("".join(rng.choice("abd") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(0, 12)))
+        tokens = toxicity.fold(text).split()
+        excused = {k + o for k in range(len(tokens)) for e in model.exceptions for o in range(2) if tokens[k : k + 2] == e.split()}
+        hits = [t for k, t in enumerate(tokens) if t in model.weights and k not in excused]
+        total = sum(model.weights[t] for t in hits)
+        want = np.log1p(100 * total / (len(tokens) + 10)) if hits else 0.0
+        got = toxicity.density(text, automaton)
+        assert got[1] == len(hits) and got[0] == pytest.approx(want), text
+    assert toxicity.density("ba " * 400_000, automaton)[1] == 400_000
+
+
+def test_held_out_labels_are_predicted(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.fit(docs, labels.where(~held))
+    rows = toxicity.score(docs, model).join(labels.where(held), "doc_id").select("toxic", "score").collect()
+    toxic, clean = [r.score for r in rows if r.toxic == 1], [r.score for r in rows if r.toxic == 0]
+    # A few labelled rows hold no telling word at all.
+    assert len(toxic) > 20 and sum(s >= 0.5 for s in toxic) / len(toxic) >= 0.92
+    assert sum(s < 0.5 for s in clean) / len(clean) >= 0.99
+
+
 def test_toxicity_learns_words_of_any_language(spark):
     bad = ["zuplo", "krenta", "veshik"]
     texts = [prose(60) + (" " + RNG.choice(bad) + " " + prose(5) + " " + RNG.choice(bad) + " " + prose(9) if i % 4 == 0 else "") for i in range(240)]
@@ -419,6 +453,31 @@ def test_field_spreads_labels(spark):
     assert pii.find(docs.limit(0), pii.fit(docs.limit(0))).count() == 0
 
 
+def checked_number(rng) -> str:
+    digits = "".join(str(rng.randint(1, 9)) for _ in range(15))
+    return next(digits + c for c in "0123456789" if pii.luhn(digits + c))
+
+
+def test_field_finds_what_the_patterns_lose(spark):
+    """Numbers that a pattern joins with their neighbour are lost to it; the field finds them, and leaves decoys alone."""
+    rng, found, planted = random.Random(12), {"phone": 0, "card": 0}, {"phone": 0, "card": 0}
+    model = pii.fit(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    for _ in range(150):
+        phone, a, b = f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}", checked_number(rng), checked_number(rng)
+        decoy = a[:-1] + str((int(a[-1]) + 3) % 10)
+        for text, wanted in (
+            (f"so {phone} 190.137.22.{rng.randint(1, 200)} then", [("phone", phone)]), (f"so {a} {b} then", [("card", a), ("card", b)]),
+            (f"so {phone} {a} then", [("phone", phone), ("card", a)]), (f"so {decoy} then {rng.randint(1, 99)} and version {rng.randint(1, 9)}.", []),
+        ):
+            base, every = pii.all_spans(text, model)
+            got = {(pii.KINDS[k], text[s:e]) for s, k, e in every}
+            assert set(base) <= set(every) and {g for g in got if g[0] != "ip"} <= set(wanted), text
+            for kind, what in wanted:
+                planted[kind] += 1
+                found[kind] += (kind, what) in got
+    assert all(found[k] / planted[k] >= 0.95 for k in found), found
+
+
 def test_marginals_on_a_tree_are_exact():
     rng = np.random.default_rng(2)
     unary, f = rng.normal(size=(3, 5)), rng.normal(size=(2, 5, 5))
@@ -433,7 +492,7 @@ def test_evidence_reaches_every_like_mention():
     node, like = np.full(5, 0.5), 1 + np.diag([2000.0, 20, 20, 20, 20])
     node[0] += 50
     like = np.log(like * like.sum() / np.outer(like.sum(1), like.sum(0)))
-    model = {"node": {pii.shape("2035557713"): np.log(node / node.sum()).tolist()}, "chain": np.zeros((5, 5)).tolist(), "skip": like.tolist()}
+    model = {"node": {pii.shape("2035557713"): np.log(node / node.sum()).tolist()}, "prior": [0.0] * 5, "chain": np.zeros((5, 5)).tolist(), "skip": like.tolist()}
     for at in (0, 25, 50):
         said = ["at 2035557713 again"] * 50
         said.insert(at, "call +12035557713 now")
