@@ -67,6 +67,18 @@ def test_suffix_dedup_other_lengths_null_ids_and_repeated_rows(spark):
     assert suffix_dedup.dedup(spark, documents(spark, [])).count() == 0
 
 
+def test_repeats_across_the_pieces_of_a_long_text(spark):
+    rng = np.random.default_rng(8)
+    letters = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+    passage, other = letters(700), letters(250)
+    long = letters(suffix_dedup.PIECE - 350) + passage + letters(90_000) + other
+    texts = [long, letters(50) + passage, other + letters(300), letters(suffix_dedup.PIECE + 5_000)]
+    got = suffix_dedup.dedup(spark, documents(spark, texts)).orderBy("doc_id").collect()
+    kept = [long.replace(passage, "").replace(other, ""), texts[1][:50], texts[2][250:], texts[3]]
+    assert [(r.n_bytes, r.n_removed, r.n_spans) for r in got] == [(len(t), len(t) - len(k), n) for t, k, n in zip(texts, kept, (2, 1, 1, 0), strict=True)]
+    assert [r.kept_sha256 for r in got] == [hashlib.sha256(k.encode()).hexdigest() for k in kept]
+
+
 def test_windows_cover_every_start_once():
     rng = np.random.default_rng(1)
     text = rng.integers(97, 105, 5000).astype(np.uint8).tobytes()

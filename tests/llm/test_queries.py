@@ -67,3 +67,43 @@ def test_stages_keep_odd_rows_and_columns(spark):
             assert {tuple(r)[5:] for r in out.collect()} <= {("r", *range(10))}
             assert name not in left or out.count() == left[name]
             docs = spark.createDataFrame(out.collect(), schema)
+
+
+def test_pipeline_gives_the_expected_rows(spark, tmp_path):
+    """Planted documents of one source (its target is its size, so every kept one is taken once), held against the library's ids."""
+    import random
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    rng = random.Random(17)
+    prose = lambda n: " ".join("".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(n))
+    clean = [prose(120) for _ in range(12)]
+    item, near = prose(30), clean[3].split()
+    near[60] = "changed"
+    rows = list(enumerate(clean))
+    rows += [(20, clean[2]), (21, " ".join(near)), (22, prose(40) + " " + item.upper() + " " + prose(40)), (5, prose(90)), (None, prose(80)), (30, ""), (31, None), (32, prose(60) + " idiot " + prose(3) + " moron scum")]
+    # Telling words need toxic rows of several contexts.
+    bad = [(100 + i, f"{prose(30)} zuplo {prose(4)} krenta {prose(20)}") for i in range(60)]
+    fine = [(200 + i, prose(60)) for i in range(60)]
+    documents = [(d, t, "en", "s", len(t or "")) for d, t in rows + bad + fine]
+    table = lambda name, data, schema: spark.createDataFrame(data, schema).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    table("documents", documents, "doc_id long, text string, lang string, source string, n_chars long")
+    table("labels", [(d, 1, 1) for d, _ in bad] + [(d, 1, 0) for d, _ in fine], "doc_id long, quality int, toxic int")
+    table("benchmark", [(1, item), (2, prose(25))], "item_id long, text string")
+    got = corpus_pipeline.run(spark, str(tmp_path)).orderBy("start").collect()
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    # 20 copies 2, 21 is near 3, 22 holds an item, 31 equals 30; rows of words that are no longer toxic to the model stay.
+    kept = [(d, t) for d, t in rows if d not in (20, 21, 22, 31)] + fine
+    kept = [(d, t) for d, t in kept if d != 32]
+    want = {(d, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for d, t in kept for ids in [library.encode(t or "", add_special_tokens=False).ids + [2]]}
+    assert {(r.doc_id, r.n_tokens, r.ids_crc32) for r in got if r.doc_id != 32} == want
+    assert [r.doc_id for r in got] == sorted((r.doc_id for r in got), key=lambda d: (d is not None, d or 0))
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
