@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Lengths of the serving columns.
-LENGTHS = {"province": 100, "district": 100, "ward": 200, "street": 200, "house_direction": 50}
+LENGTHS = {"province": 100, "district": 100, "ward": 200, "street": 200, "house_direction": 50, "legal_status": 100, "interior": 100, "house_type": 100}
 
 
 def conform(rows: DataFrame, schema: StructType) -> DataFrame:

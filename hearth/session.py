@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,44 @@ def observed(rows: DataFrame, name: str) -> tuple[DataFrame, object]:
     return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+@contextmanager
+def timed(spark: SparkSession, name: str, log: Callable[[str], None] = print) -> Iterator[None]:
+    """Reports how long a step took, with the jobs and stages still running at its end."""
+    began = time.monotonic()
+    try:
+        yield
+    finally:
+        tracker = spark.sparkContext.statusTracker()
+        log(f"{name}: {time.monotonic() - began:.2f} s, {len(tracker.getActiveJobsIds())} jobs and {len(tracker.getActiveStageIds())} stages running")
+
+
+def release(spark: SparkSession, *frames: DataFrame) -> None:
+    """Give cached frames back, or all of the session's where none is named."""
+    for frame in frames:
+        frame.unpersist()
+    if not frames:
+        spark.catalog.clearCache()
+
+
+def set_options(spark: SparkSession, options: dict[str, str]) -> dict[str, str]:
+    """Set what can be set while the session runs; returns what cannot."""
+    left = {k: v for k, v in options.items() if not spark.conf.isModifiable(k)}
+    for k in options.keys() - left.keys():
+        spark.conf.set(k, options[k])
+    return left
+
+
+STAGES = ("bronze", "silver", "gold", "load")
+
+
+def chosen(only: list[str] | None = None, skip: list[str] | None = None) -> list[str]:
+    """The stages to run, in order."""
+    unknown = {*(only or ()), *(skip or ())} - set(STAGES)
+    if unknown:
+        raise ValueError(f"unknown stages: {', '.join(sorted(unknown))}")
+    return [s for s in STAGES if (not only or s in only) and s not in (skip or ())]
+
+
 def run_daily(spark: SparkSession, raw_a: str | None, raw_b: str | None, hierarchy: str, out: str, day: str, run_id: str) -> DataFrame:
     """Raw files of a day to its gold partition; a missing source is left out, the address document must be there."""
     from hearth.operators import etl

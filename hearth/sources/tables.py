@@ -5,10 +5,15 @@ Paths go through Spark's readers and writers only, so any store Spark can open w
 
 from __future__ import annotations
 
+import re
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from hearth.sources import paths
+
 # The columns of the two raw sources; all are strings.
 RAW_A = (
     "area, bathroom, bedroom, crawl_timestamp, data_type, description, facade_width, floor_count, house_direction, interior, latitude, legal_status, location, longitude, "
@@ -58,10 +63,44 @@ def read_files(spark: SparkSession, path: str, kind: str, glob: str | None = Non
     return (reader.schema(schema) if schema else reader).load(path)
 
 
-def read_window(spark: SparkSession, url: str, table: str, days: int, as_of: str, limit: int, properties: dict[str, str]) -> DataFrame:
-    """A time window of a serving table over JDBC, filtered, ordered and limited by the database."""
+KINDS = {"parquet": "parquet", "csv": "csv", "json": "json", "jsonl": "json"}
+
+
+def read_any(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A file or folder by the extension of its name."""
+    kind = KINDS.get(path.rstrip("/").rsplit(".", 1)[-1].lower())
+    if kind is None:
+        raise ValueError(f"no reader for {path!r}")
+    return read_files(spark, path, kind, schema=schema)
+
+
+def read_present(spark: SparkSession, patterns: list[str], schema: StructType) -> DataFrame:
+    """The Parquet files of all patterns that match some; none at all give an empty table of the schema."""
+    found = [p for p in patterns if paths.listed(spark, p)]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+
+
+def read_numbers(spark: SparkSession, path: str, fallback: str, numbers: list[str]) -> DataFrame:
+    """A CSV file with a header, from the second path where the first is missing; texts that are no numbers become nulls."""
+    rows = spark.read.option("header", True).csv(path if paths.exists(spark, path) else fallback)
+    return rows.withColumns({c: F.expr(f"try_cast(`{c}` AS double)") for c in numbers})
+
+
+def read_window(spark: SparkSession, url: str, table: str, days: int, as_of: str, limit: int, properties: dict[str, str], empty: StructType | None = None) -> DataFrame:
+    """A time window of a serving table over JDBC, filtered, ordered and limited by the database.
+
+    With ``empty``, a database that cannot be read gives an empty table of that schema, and a warning.
+    """
+    if not re.fullmatch(r"\w+(\.\w+)*", table) or not re.fullmatch(r"[\d: .-]+", as_of):
+        raise ValueError("not a table name or a time")
     query = f"(SELECT * FROM {table} WHERE processing_timestamp >= TIMESTAMP '{as_of}' - INTERVAL '{int(days)}' DAY ORDER BY processing_timestamp DESC LIMIT {int(limit)}) AS recent"
-    return spark.read.jdbc(url, query, properties={"fetchsize": "10000", "queryTimeout": "300"} | properties)
+    try:
+        return spark.read.jdbc(url, query, properties={"fetchsize": "10000", "queryTimeout": "300"} | properties)
+    except Exception as error:
+        if empty is None:
+            raise
+        warnings.warn(f"{table} cannot be read: {error}", stacklevel=2)
+        return spark.createDataFrame([], empty)
 
 
 def hierarchy(nested: DataFrame) -> dict[str, DataFrame]:

@@ -6,9 +6,12 @@ The trigger bounds a micro-batch by time, ``files_per_batch`` by size.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 
@@ -21,6 +24,50 @@ def read_parquet(spark: SparkSession, path: str, files_per_batch: int = 16) -> D
     return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def read_messages(spark: SparkSession, servers: str, topic: str, rows_per_batch: int = 20_000, from_start: bool = True, kind: str = "kafka") -> DataFrame:
+    """A topic as a stream, a micro-batch bounded by rows; offsets are committed by the query's checkpoint.
+
+    The connector is not part of Spark itself: without it, starting the query fails.
+    """
+    reader = spark.readStream.format(kind).option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    return reader.option("startingOffsets", "earliest" if from_start else "latest").option("maxOffsetsPerTrigger", rows_per_batch).option("failOnDataLoss", "false").load()
+
+
+def read_bounded(spark: SparkSession, path: str, schema: StructType, batch_bytes: int = 128 << 20) -> DataFrame:
+    """JSON files as a stream, a micro-batch bounded by bytes."""
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).json(path)
+
+
+def retried(write: Callable[[DataFrame, int], None], attempts: int = 3, wait: float = 1.0) -> Callable[[DataFrame, int], None]:
+    """A micro-batch writer that is tried again after ``wait`` seconds, then twice as many and so on by that step."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        for attempt in range(1, attempts + 1):
+            try:
+                return write(batch, number)
+            except Exception:
+                if attempt == attempts:
+                    raise
+                time.sleep(wait * attempt)
+
+    return run
+
+
+def until_idle(query: StreamingQuery, idle: float, poll: float = 1.0) -> None:
+    """Stop a query that has read nothing for ``idle`` seconds, with all it has read written."""
+    quiet_since, last = time.monotonic(), None
+    while query.isActive:
+        progress = query.lastProgress
+        if progress and progress["batchId"] != last and progress["numInputRows"]:
+            quiet_since, last = time.monotonic(), progress["batchId"]
+        if time.monotonic() - quiet_since >= idle and not query.status["isTriggerActive"]:
+            query.processAllAvailable()
+            query.stop()
+        time.sleep(poll)
+    if query.exception():
+        raise query.exception()
+
+
 def decoded(messages: DataFrame, schema: StructType) -> DataFrame:
     """Records of JSON messages; text that is no JSON stays in ``raw``."""
     value = F.col("value").cast("string")
