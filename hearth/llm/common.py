@@ -30,12 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one is set only where none is (tests on one machine)."""
+    """The shared folder the cluster names; a temporary one is set only where none is and all runs on one machine (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="hearth-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 
