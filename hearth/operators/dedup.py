@@ -62,23 +62,36 @@ def stepped(difference: Column, steps) -> Column:
     return F.coalesce(chain, F.lit(0.0))
 
 
-def similarity(a: str, b: str) -> Column:
-    """Weighted likeness of two listings with the column prefixes ``a`` and ``b``."""
+def address(side: str = "") -> Column:
+    """The places of a listing as one text; ``side`` is a column prefix with its dot."""
+    return F.lower(F.trim(F.concat_ws(" ", *[F.nullif(F.col(side + c), F.lit("")) for c in ("street", "ward", "district", "province")])))
+
+
+def words(text: Column) -> Column:
+    return F.array_distinct(F.split(text, " +"))
+
+
+def likeness_of_numbers(a: str, b: str) -> list[Column]:
+    """The weighted parts of price, area, rooms and distance."""
     col = lambda side, c: F.col(f"{side}.{c}")
-    address = [F.lower(F.trim(F.concat_ws(" ", *[F.nullif(col(s, c), F.lit("")) for c in ("street", "ward", "district", "province")]))) for s in (a, b)]
-    words = [F.array_distinct(F.split(x, " +")) for x in address]
-    overlap = F.size(F.array_intersect(*words)) / F.size(F.array_union(*words))
-    place = F.when((address[0] == "") | (address[1] == ""), 0.0).when(address[0] == address[1], 1.0).when(F.contains(*address) | F.contains(*address[::-1]), 0.8).otherwise(overlap)
     relative = lambda c: F.abs(col(a, c) - col(b, c)) / F.greatest(col(a, c), col(b, c))
     both = lambda c: (col(a, c) > 0) & (col(b, c) > 0)
     metres = geo.haversine(col(a, "latitude"), col(a, "longitude"), col(b, "latitude"), col(b, "longitude"))
-    return (
-        place * WEIGHTS["address"]
-        + F.when(both("price"), stepped(relative("price"), STEPS)).otherwise(0.0) * WEIGHTS["price"]
-        + F.when(both("area"), stepped(relative("area"), STEPS)).otherwise(0.0) * WEIGHTS["area"]
-        + F.when(col(a, "bedroom") == col(b, "bedroom"), WEIGHTS["rooms"]).otherwise(0.0)
-        + stepped(metres, DISTANCES) * WEIGHTS["distance"]
-    )
+    return [
+        F.when(both("price"), stepped(relative("price"), STEPS)).otherwise(0.0) * WEIGHTS["price"],
+        F.when(both("area"), stepped(relative("area"), STEPS)).otherwise(0.0) * WEIGHTS["area"],
+        F.when(col(a, "bedroom") == col(b, "bedroom"), WEIGHTS["rooms"]).otherwise(0.0),
+        stepped(metres, DISTANCES) * WEIGHTS["distance"],
+    ]
+
+
+def similarity(a: str, b: str, prepared: bool = False) -> Column:
+    """Weighted likeness of two listings with the column prefixes ``a`` and ``b``; prepared ones have ``address`` and ``words``."""
+    texts = [F.col(f"{s}.address") if prepared else address(s + ".") for s in (a, b)]
+    sets = [F.col(f"{s}.words") if prepared else words(t) for s, t in zip((a, b), texts, strict=True)]
+    overlap = F.size(F.array_intersect(*sets)) / F.size(F.array_union(*sets))
+    place = F.when((texts[0] == "") | (texts[1] == ""), 0.0).when(texts[0] == texts[1], 1.0).when(F.contains(*texts) | F.contains(*texts[::-1]), 0.8).otherwise(overlap)
+    return reduce(Column.__add__, likeness_of_numbers(a, b), place * WEIGHTS["address"])
 
 
 def graded(a: str, b: str) -> Column:
@@ -111,7 +124,7 @@ def similar_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     each other: they then fall into the same or neighbouring steps of their logarithm, and the block's key takes that step too.
     """
     need = ["listing_key", "province", "district", "ward", "street", "price", "area", "bedroom", "latitude", "longitude", "score", "processing_timestamp"]
-    blocked = rows.select(*need, loose_key().alias("block"))
+    blocked = rows.select(*need, loose_key().alias("block"), address().alias("address")).withColumn("words", words(F.col("address")))
     x, y, near = blocked, blocked, F.lit(True)
     on = (F.col("x.block") == F.col("y.block")) & (F.col("x.listing_key") < F.col("y.listing_key"))
     if 1.0 - WEIGHTS["area"] < threshold:
@@ -119,13 +132,11 @@ def similar_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         x, y = blocked.where("area > 0").withColumn("step", step), blocked.where("area > 0").withColumn("step", F.explode(F.array(step - 1, step, step + 1)))
         on = on & (F.col("x.step") == F.col("y.step"))
         near = F.abs(F.col("x.area") - F.col("y.area")) <= F.greatest("x.area", "y.area") * (STEPS[-1][0] + 1e-9)
-    if 1.0 - 2 * WEIGHTS["rooms"] < threshold:
-        # Other rooms cost their whole weight, which leaves nothing to lose elsewhere: area and price decide before texts are compared.
-        lost = lambda c: F.abs(F.col(f"x.{c}") - F.col(f"y.{c}")) > F.greatest(f"x.{c}", f"y.{c}") * (STEPS[-1][0] + 1e-9)
-        near = near & ~(~F.coalesce(F.col("x.bedroom") == F.col("y.bedroom"), F.lit(False)) & (lost("area") | lost("price")))
+    # Numbers decide before texts are compared: they must reach the threshold with the whole weight of the address.
+    near = near & (reduce(Column.__add__, likeness_of_numbers("x", "y")) >= threshold - WEIGHTS["address"] - 1e-6)
     pairs = x.alias("x").join(y.alias("y"), on & near)
     # Rounding noise must not decide at the threshold itself.
-    return pairs.withColumn("similarity", similarity("x", "y")).where(F.col("similarity") >= threshold - 1e-9)
+    return pairs.withColumn("similarity", similarity("x", "y", True)).where(F.col("similarity") >= threshold - 1e-9)
 
 
 def without_fuzzy(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
