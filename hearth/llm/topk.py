@@ -241,10 +241,9 @@ def parts(
     # At most a row for each pivot.
     placed = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "v", "dim").mapInArrow(place, schema)
     sizes = {(r["dim"], r["pivot"]): -(-r["n"] // shard_rows) for r in placed.where("pivot >= 0").groupBy("dim", "pivot").agg(F.count("*").alias("n")).collect()}
-    several = [(F.col("dim") == d) & (F.col("pivot") == p) for (d, p), n in sizes.items() if n > 1]
-    split = F.lit(1)
-    for test, n in zip(several, [n for n in sizes.values() if n > 1], strict=True):
-        split = F.when(test, F.lit(n)).otherwise(split)
+    several = {f"{d}:{p}": n for (d, p), n in sizes.items() if n > 1}
+    known = F.create_map(*(F.lit(x) for pair in several.items() for x in pair)) if several else F.create_map(F.lit(""), F.lit(1))
+    split = F.coalesce(F.try_element_at(known, F.concat_ws(":", "dim", "pivot")), F.lit(1))
     shard = (F.col("pivot") * (1 << 32) + F.pmod(F.xxhash64("vec_id"), split)).alias("shard")
     path = work_path(spark, "ranges")
     ordered = placed.withColumn("shard", shard).repartition("dim", "shard").sortWithinPartitions("dim", "shard", "second", "far", "vec_id")
@@ -255,15 +254,15 @@ def parts(
     first = cut(spark, _meet(ranges, asked.withColumn("least", F.lit(None).cast("double")), k, chunk_rows))
     # A lower bound, as a double: a score beyond 2**53 is rounded, so it is taken a little lower.
     kth = _best(first, k).where(F.col("rank") == k).select("query_id", (F.col("score").cast("double") - F.abs(F.col("score").cast("double")) * 1e-15).alias("least"))
-    known = asked.join(kth, "query_id", "left")
+    bounded = asked.join(kth, "query_id", "left")
     maxima = cut(spark, ranges.select("dim", "shard", "high", "low").groupBy("dim", "shard").applyInArrow(_summed, "dim int, shard long, high array<double>, low array<double>"))
     pieces, chunks = max(1, -(-maxima.count() // PIECE_ROWS)), max(1, -(-asked.count() // chunk_rows))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = maxima.withColumn("piece", F.pmod(F.xxhash64("shard"), F.lit(pieces)).cast("int")).withColumn("chunk", every(chunks))
-    right = known.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int")).withColumn("piece", every(pieces))
+    right = bounded.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int")).withColumn("piece", every(pieces))
     key = ["dim", "piece", "chunk"]
     to_see = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_passing, "query_id long, shard long")
-    rest = to_see.join(known.drop("shard"), "query_id")
+    rest = to_see.join(bounded.drop("shard"), "query_id")
     return first.unionByName(_meet(ranges, rest, k, chunk_rows))
 
 
