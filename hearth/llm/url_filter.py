@@ -91,8 +91,9 @@ def score(found: Column, weights: list[float], bias: float) -> Column:
 def fit(spark: SparkSession, table=None, steps: int = STEPS, rate: float = RATE, decay: float = DECAY) -> tuple[list[float], float]:
     """Weights and intercept; the labelled table must be small (it is a parameter of the filter, not data)."""
     table = labelled() if table is None else table
-    literal = F.array(*(F.struct(F.lit(u).alias("url"), F.lit(float(y)).alias("y")) for u, y in table))
-    rows = spark.range(0, 1, 1, 1).select(F.inline(literal))
+    # One literal, a line for each row with the label first.
+    lines = F.explode(F.split(F.lit("\n".join(f"{y}{u}" for u, y in table)), "\n"))
+    rows = spark.range(0, 1, 1, 1).select(lines.alias("line")).select(F.expr("substring(line, 2)").alias("url"), F.expr("cast(substring(line, 1, 1) as double)").alias("y"))
     held = rows.select("y", buckets(host(F.col("url")), path(F.col("url"))).alias("found")).cache()
     weights, bias = [0.0] * BUCKETS, 0.0
     try:
