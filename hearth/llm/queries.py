@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import chat_format, decontaminate, mixing, near_dedup, pii, suffix_dedup, token_blocks, topk, toxicity, url_filter
+from hearth.llm import chat_format, decontaminate, late_layout, line_quality, mixing, near_dedup, periodic, pii, suffix_dedup, token_blocks, topk, toxicity, url_filter
 from hearth.llm.common import cut, table, work_path
 
 
@@ -163,6 +163,53 @@ SELECT p.page_id, host, path, rule, ruled FROM p LEFT JOIN m USING (page_id)
 """
 
 
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return line_quality.judge(docs, line_quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out)))
+
+
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 11 counts in a text before its field is asked."""
+    counted = line_quality.judge(table(spark, sf_dir, "documents"), line_quality.Model())
+    return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+QUALITY_COUNTS_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, string_split(text, chr(10)) AS lines FROM d),
+g AS (SELECT doc_id, unnest(range(1, len(words) - 3)) AS i, words FROM w),
+t AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i:i+4]) AS n FROM g),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM t, range(5) AS o(k) WHERE n > 1 GROUP BY doc_id),
+c AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines
+  FROM w)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+  n_words < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * n_words AS base_failed
+FROM c LEFT JOIN r USING (doc_id)
+"""
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.find(table(spark, sf_dir, "documents"), looped=True)
+
+
+LATE_FROM = 1_712_707_200_000_000  # 2024-04-10 00:00 in microseconds since 1970
+
+
+def op13_late_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = table(spark, sf_dir, "sales")
+    h = F.crc32(F.col("sale_id").cast("string"))
+    days = lambda n: F.make_dt_interval(n.cast("int"))
+    copies = sales.where((h % 3 == 0) & (late_layout.day_of(late_layout.micros(sales, "sold_at")) % 7 == 0)).withColumns(
+        {"total": F.col("total") + 1, "sold_at": F.col("sold_at") + days(h % 2), "arrived_at": F.col("arrived_at") + days(1 + h % 97)}
+    )
+    rows = 1 + sales.count() // 700
+    return late_layout.overwrite_late(spark, sales.unionByName(copies), rows, work_path(spark, "layout"), work_path(spark, "standing"), LATE_FROM)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_blocks": op2_token_blocks,
@@ -174,6 +221,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_line_quality": op11_line_quality,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_late_overwrite": op13_late_overwrite,
     "url_rules": url_rules,
+    "quality_counts": quality_counts,
 }
-ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_mixing": OP5_SQL, "op7_topk": OP7_SQL, "url_rules": URL_RULES_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_mixing": OP5_SQL, "op7_topk": OP7_SQL, "url_rules": URL_RULES_SQL, "quality_counts": QUALITY_COUNTS_SQL}
