@@ -1,12 +1,11 @@
 """Exact, grid and fuzzy duplicate removal, and conflict rules between a load and the serving table.
 
 Every survivor rule ends in the listing's key, so results do not depend on row order.  Fuzzy duplicates are found by a
-self-join on a blocking key (Spark splits skewed blocks) and removed with an anti-join; groups are never collected.
+set-similarity join over address words inside a block and removed with an anti-join; groups are never collected.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -86,9 +85,9 @@ def likeness_of_numbers(a: str, b: str) -> list[Column]:
 
 
 def similarity(a: str, b: str, prepared: bool = False) -> Column:
-    """Weighted likeness of two listings with the column prefixes ``a`` and ``b``; prepared ones have ``address`` and ``words``."""
+    """Weighted likeness of two listings with the column prefixes ``a`` and ``b``; prepared ones have ``address`` and ``tokens``."""
     texts = [F.col(f"{s}.address") if prepared else address(s + ".") for s in (a, b)]
-    sets = [F.col(f"{s}.words") if prepared else words(t) for s, t in zip((a, b), texts, strict=True)]
+    sets = [F.col(f"{s}.tokens") if prepared else words(t) for s, t in zip((a, b), texts, strict=True)]
     overlap = F.size(F.array_intersect(*sets)) / F.size(F.array_union(*sets))
     place = F.when((texts[0] == "") | (texts[1] == ""), 0.0).when(texts[0] == texts[1], 1.0).when(F.contains(*texts) | F.contains(*texts[::-1]), 0.8).otherwise(overlap)
     return reduce(Column.__add__, likeness_of_numbers(a, b), place * WEIGHTS["address"])
@@ -117,33 +116,119 @@ def plain_key(location: Column) -> Column:
     return F.md5(F.concat_ws("|", F.coalesce(cleaned, F.lit("")), *[n.cast("string") for n in numbers], *places))
 
 
-def similar_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs inside a block (``x.listing_key < y.listing_key``) at or above the threshold, with both sides' ranks.
+# How a listing is filed: under one of its first words, a word inside its address, or in the whole of its block.
+PREFIX, INNER, WHOLE = range(3)
+EASE = 1e-6  # room for rounding in bounds
+
+
+def _numbers(block: Column, listed: Column) -> Column:
+    """Numbers for words, in an order that depends on the block and the word only: words of the place, which a block shares, come last."""
+
+    def number(w: Column) -> Column:
+        half = F.shiftrightunsigned(F.xxhash64(w), 1)
+        return F.when(F.instr(block, F.translate(w, "-_", "")) > 0, half).otherwise(-half - 1)
+
+    return F.transform(listed, number)
+
+
+def candidates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs of a block, as ``x`` and ``y`` columns, whose addresses and areas can reach the threshold; each pair once, in either order.
+
+    Numbers give at most 0.7, so addresses must be alike by the rest of the threshold over their weight at least; where the
+    rooms differ by 0.15 more.  Either case is a set-similarity join over the words of the addresses:
 
-    Where a pair cannot reach the threshold without a part of the area's weight, areas must be within the widest step of
-    each other: they then fall into the same or neighbouring steps of their logarithm, and the block's key takes that step too.
+    - Word sets of ``m`` and ``n`` words of likeness ``l`` share ``least`` = l / (1 + l) * (m + n) words, so in any fixed order of the words a
+      pair shares one of its first ``m - least + 1`` and ``n - least + 1`` words.  A listing is filed under each of its first words, and a pair
+      is taken at the first one it shares: the position bound is part of that, as both words must be early enough.
+    - An address that contains another counts 0.8 whatever their words; as the words inside the contained one are words of
+      the other, it is found under one of them.  Addresses of one or two words, which have none, meet their whole block.
+    - Where nothing less than the same words will do, listings are filed under all of their words at once.
+
+    Rows are filed under a hash of block, rooms and word, so a frequent block is dealt over as many tasks as it has words.
     """
-    need = ["listing_key", "province", "district", "ward", "street", "price", "area", "bedroom", "latitude", "longitude", "score", "processing_timestamp"]
-    blocked = rows.select(*need, loose_key().alias("block"), address().alias("address")).withColumn("words", words(F.col("address")))
-    x, y, near = blocked, blocked, F.lit(True)
-    on = (F.col("x.block") == F.col("y.block")) & (F.col("x.listing_key") < F.col("y.listing_key"))
+    need = ["listing_key", "price", "area", "bedroom", "latitude", "longitude", "score", "processing_timestamp"]
+    # Both sides read this one exchange, so the rows are made once, and what follows has as many tasks as a shuffle.
+    placed = rows.select(*need, loose_key().alias("block"), address().alias("address")).where("address <> ''").repartition("listing_key")
+    numbered = placed.select(*need, "block", "address", _numbers(F.col("block"), F.split("address", " +")).alias("listed"))
+    inner = F.array_min(F.slice("listed", 2, F.greatest(F.size("listed") - 2, F.lit(0))))
+    known = numbered.select(*need, "block", "address", F.sort_array(F.array_distinct("listed")).alias("tokens"), F.coalesce(inner, F.lit(0).cast("long")).alias("inner"))
+    whole = F.array(F.lit(0).cast("long"))
+    passes = []  # (rooms must be equal, least likeness of addresses)
+    for same_rooms, most in ((True, 1.0 - WEIGHTS["address"]), (False, 1.0 - WEIGHTS["address"] - WEIGHTS["rooms"])):
+        likeness = (threshold - EASE - most) / WEIGHTS["address"]
+        if likeness <= 1:
+            passes.append((same_rooms, likeness))
+    if not passes:
+        raise ValueError("no pair can reach this threshold")
+    # (words, pass, how) of what a listing asks for, and of where it is found.
+    asks: list[tuple[Column, int, int]] = []
+    found: list[tuple[Column, int, int]] = []
+    for i, (same_rooms, likeness) in enumerate(passes):
+        # No word set of this likeness shares less than its size times the likeness.
+        first = F.slice("tokens", 1, F.size("tokens") - F.ceil(F.size("tokens") * likeness - EASE).cast("int") + 1)
+        if likeness <= 0:
+            ask, find = [(whole, WHOLE)], [(whole, WHOLE)]
+        elif likeness > 1 - 10 * EASE:
+            ask = find = [(F.array(F.xxhash64("tokens")), WHOLE)]
+        elif likeness > 0.8:
+            ask = find = [(first, PREFIX)]
+        else:
+            ask, find = [(first, PREFIX), (F.array("inner"), INNER)], [(F.col("tokens"), PREFIX), (whole, WHOLE)]
+        fits = lambda words, same_rooms=same_rooms: F.when(F.col("bedroom").isNotNull(), words).otherwise(F.slice(words, 1, 0)) if same_rooms else words
+        asks += [(fits(words), i, how) for words, how in ask]
+        found += [(fits(words), i, how) for words, how in find]
+
+    def filed(entries: list[tuple[Column, int, int]]) -> DataFrame:
+        ends = known.select(*known.columns, *[words.alias(f"words{k}") for k, (words, _, _) in enumerate(entries)])
+        flat = ends.select(*known.columns, *[F.size(f"words{k}").alias(f"n{k}") for k in range(len(entries))], F.posexplode(F.concat(*[f"words{k}" for k in range(len(entries))])).alias("pos", "token"))
+        code, end = F.lit(0), sum((F.col(f"n{k}") for k in range(len(entries))), F.lit(0))
+        for k in reversed(range(len(entries))):
+            code = F.when(F.col("pos") < end, 3 * entries[k][1] + entries[k][2]).otherwise(code)
+            end = end - F.col(f"n{k}")
+        coded = flat.select(*[c for c in known.columns if c != "inner"], "token", code.alias("code"))
+        number = F.floor(F.col("code") / 3).cast("int")
+        rooms = F.when(F.get(F.array(*[F.lit(s) for s, _ in passes]), number), F.col("bedroom"))
+        return coded.withColumns({"number": number, "how": F.col("code") % 3, "key": F.xxhash64(number, "block", rooms, "token")}).drop("code")
+
+    col = F.col
+    m, n = F.size("x.tokens"), F.size("y.tokens")
+    at_pass = lambda values: F.get(F.array(*[F.lit(v) for v in values]), col("x.number"))
+    likeness = at_pass([float(v) for _, v in passes])
+    sizes_fit = (n >= m * likeness - EASE) & (m >= n * likeness - EASE)
+    least = F.ceil(likeness / (1 + likeness) * (m + n) - EASE).cast("int")
+    begin = lambda side, k: F.slice(f"{side}.tokens", 1, F.greatest(k - least + 1, F.lit(0)))
+    # 1 at the first word they share, 0 at another one, 2 where they share none early enough.
+    at = F.coalesce(F.when(sizes_fit, col("x.token") == F.get(F.array_intersect(begin("x", m), begin("y", n)), F.lit(0))).cast("int"), F.lit(2))
+    ordered = col("x.listing_key") < col("y.listing_key")
+    inside = F.contains("y.address", "x.address") & (col("x.listing_key") != col("y.listing_key"))
+    how = F.when(col("x.how") == INNER, inside).otherwise(ordered & (col("x.how") == col("y.how"))) & (
+        (col("x.how") == WHOLE) | (at == F.when(col("x.how") == PREFIX, 1).otherwise(2))
+    )
+    same_rooms = F.coalesce(col("x.bedroom") == col("y.bedroom"), F.lit(False))
+    # What is cheap comes first.
+    on = (col("x.key") == col("y.key")) & (col("x.block") == col("y.block")) & (col("x.number") == col("y.number")) & (same_rooms == at_pass([s for s, _ in passes]))
     if 1.0 - WEIGHTS["area"] < threshold:
-        step = F.floor(F.log("area") / (-math.log(1 - STEPS[-1][0]) + 1e-6))
-        x, y = blocked.where("area > 0").withColumn("step", step), blocked.where("area > 0").withColumn("step", F.explode(F.array(step - 1, step, step + 1)))
-        on = on & (F.col("x.step") == F.col("y.step"))
-        near = F.abs(F.col("x.area") - F.col("y.area")) <= F.greatest("x.area", "y.area") * (STEPS[-1][0] + 1e-9)
-    # Numbers decide before texts are compared: they must reach the threshold with the whole weight of the address.
-    near = near & (reduce(Column.__add__, likeness_of_numbers("x", "y")) >= threshold - WEIGHTS["address"] - 1e-6)
-    pairs = x.alias("x").join(y.alias("y"), on & near)
-    # Rounding noise must not decide at the threshold itself.
-    return pairs.withColumn("similarity", similarity("x", "y", True)).where(F.col("similarity") >= threshold - 1e-9)
+        on = on & (F.abs(col("x.area") - col("y.area")) <= F.greatest("x.area", "y.area") * (STEPS[-1][0] + 1e-9))
+    return filed(asks).alias("x").join(filed(found).alias("y"), on & how)
+
+
+def similar_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``a, b`` (keys, ``a < b``), their ``similarity`` and ranks ``a_rank, b_rank`` of all pairs in a block at or above the threshold."""
+    # Addresses are compared where the numbers reach the threshold with the whole weight of the address.  The generator keeps the long
+    # expression out of the join's condition, whose code would be too large to be compiled; rounding noise must not decide at the threshold.
+    enough = reduce(Column.__add__, likeness_of_numbers("x", "y")) >= threshold - WEIGHTS["address"] - EASE
+    found = F.filter(F.array(F.when(enough, similarity("x", "y", True))), lambda v: v >= threshold - 1e-9)
+    alike = candidates(rows, threshold).select("*", F.explode(found).alias("similarity"))
+    side = lambda s: F.struct(F.col(f"{s}.listing_key").alias("key"), F.struct(F.col(f"{s}.score"), F.col(f"{s}.processing_timestamp")).alias("rank"))
+    turned = F.col("x.listing_key") > F.col("y.listing_key")
+    both = alike.select(F.when(turned, side("y")).otherwise(side("x")).alias("a"), F.when(turned, side("x")).otherwise(side("y")).alias("b"), "similarity")
+    return both.select(F.col("a.key").alias("a"), F.col("b.key").alias("b"), "similarity", F.col("a.rank").alias("a_rank"), F.col("b.rank").alias("b_rank"))
 
 
 def without_fuzzy(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows without a similar peer of higher (score, time, then smaller key)."""
     pairs = similar_pairs(rows, threshold)
-    rank = lambda s: F.struct(F.col(f"{s}.score"), F.col(f"{s}.processing_timestamp"))
-    loser = F.when(rank("x") >= rank("y"), F.col("y.listing_key")).otherwise(F.col("x.listing_key"))
+    loser = F.when(F.col("a_rank") >= F.col("b_rank"), F.col("b")).otherwise(F.col("a"))
     return rows.join(pairs.select(loser.alias("listing_key")).distinct(), "listing_key", "left_anti")
 
 

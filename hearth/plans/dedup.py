@@ -55,7 +55,7 @@ BLOCKED_SQL = f"b AS (SELECT *, {LOOSE_SQL} AS block, {_ADDRESS.format('l')} AS
 
 
 def fuzzy_pairs(spark, sf):
-    return dedup.similar_pairs(scored(spark, sf)).select(F.col("x.listing_key").alias("a"), F.col("y.listing_key").alias("b"), F.round("similarity", 4).alias("similarity"))
+    return dedup.similar_pairs(scored(spark, sf)).select("a", "b", F.round("similarity", 4).alias("similarity"))
 
 
 def sides(spark, sf):
