@@ -15,16 +15,23 @@ def exact(rows: DataFrame, column: str, shares: list[float]) -> list[float | Non
     """Quantiles with linear interpolation between neighbours; nulls do not count, without values all are None.
 
     Each pass over the column counts it by equal bins between the bounds of every open bracket, and keeps the bins in which wanted
-    ranks lie.  The caller persists a column that is costly to make.
+    ranks lie.  The caller persists a column that is costly to make.  Infinite values and NaN (above all others) are counted
+    apart, so that brackets are finite; between infinite neighbours there is nothing to interpolate, their mean is taken as Python does.
     """
-    v = rows.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    n, low, high = v.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    every = rows.select(F.col(column).cast("double").alias("v")).where("v is not null")
+    endless = F.abs("v") == math.inf
+    v = every.where(~F.isnan("v") & ~endless)
+    n, low, high, below, above = every.agg(
+        F.count("*"), *[f(F.when(~F.isnan("v") & ~endless, F.col("v"))) for f in (F.min, F.max)], F.count(F.when(F.col("v") == -math.inf, 1)), F.count(F.when(F.col("v") == math.inf, 1))
+    ).first()
     if not n:
         return [None] * len(shares)
+    finite = 0 if low is None else v.count() if below or above or every.where(F.isnan("v")).take(1) else n
     places = [(n - 1) * s for s in shares]
     wanted = sorted({r for p in places for r in (math.floor(p), math.ceil(p))})
-    value: dict[int, float] = {}
-    brackets = [(low, high, 0, n, wanted)]  # bounds, values before, values inside, ranks
+    inside = [r for r in wanted if below <= r < below + finite]
+    value: dict[int, float] = {r: -math.inf if r < below else math.inf if r < below + finite + above else math.nan for r in wanted if r not in inside}
+    brackets = [(low, high, below, finite, inside)] if inside else []  # bounds, values before, values inside, ranks
     while brackets:
         open_ = []
         for lo, hi, before, inside, ranks in brackets:
@@ -41,7 +48,7 @@ def exact(rows: DataFrame, column: str, shares: list[float]) -> list[float | Non
         for i, (lo, hi, _, _) in enumerate(open_):
             inside = F.col("v").between(lo, hi)
             which = F.when(inside, i).otherwise(which)
-            bin_ = F.when(inside, F.least(F.floor((F.col("v") - lo) / (hi - lo) * BINS), F.lit(BINS - 1))).otherwise(bin_)
+            bin_ = F.when(inside, F.least(F.floor((F.col("v") / 2 - lo / 2) / (hi / 2 - lo / 2) * BINS), F.lit(BINS - 1)) if hi / 2 > lo / 2 else F.when(F.col("v") == lo, 0).otherwise(1)).otherwise(bin_)
         counted = v.groupBy(which.alias("which"), bin_.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         bins: dict[int, list] = {}
         for r in counted.where("which is not null").orderBy("which", "bin").collect():
@@ -53,5 +60,12 @@ def exact(rows: DataFrame, column: str, shares: list[float]) -> list[float | Non
                 if mine:
                     brackets.append((b["lo"], b["hi"], before, b["n"], mine))
                 before += b["n"]
-    between = lambda p: value[math.floor(p)] + (p - math.floor(p)) * (value[math.ceil(p)] - value[math.floor(p)])
+
+    def between(p: float) -> float:
+        a, b, part = value[math.floor(p)], value[math.ceil(p)], p - math.floor(p)
+        if a == b or not part:
+            return a
+        # Differences of very large values of either sign would leave the range of doubles.
+        return a + part * (b - a) if math.isfinite(b - a) else a * (1 - part) + b * part
+
     return [between(p) for p in places]

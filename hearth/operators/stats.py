@@ -141,8 +141,11 @@ def price_errors(rows: DataFrame, actual: str, predicted: str, *by: str) -> Data
     e = e.select(*by, "y", "p", (F.abs(F.col("y") - F.col("p")) / F.abs("y")).alias("rel"))
     median = F.percentile("rel", F.lit(0.5))
     if not by:
-        e = e.persist()
-        median = F.lit(quantiles.exact(e, "rel", [0.5])[0]).cast("double")
+        held = e.persist()
+        try:
+            median = F.lit(quantiles.exact(held, "rel", [0.5])[0]).cast("double")
+        finally:
+            held.unpersist()
     within = lambda x: F.round(F.avg((F.col("rel") <= x).cast("double")) * 100, 4)
     sse = F.sum(F.pow(F.col("y") - F.col("p"), F.lit(2.0)))
     return e.groupBy(*by).agg(
@@ -155,8 +158,12 @@ def price_errors(rows: DataFrame, actual: str, predicted: str, *by: str) -> Data
 
 def error_spread(rows: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Median, extremes and deviation of the absolute error, mean squared error, and the share of errors above their 95th percentile."""
-    e = rows.select((F.col(actual) - F.col(predicted)).cast("double").alias("d")).where("d is not null").select(F.abs("d").alias("e")).persist()
-    median, p95 = quantiles.exact(e, "e", [0.5, 0.95])
+    e = rows.select((F.col(actual) - F.col(predicted)).cast("double").alias("d")).where("d is not null").select(F.abs("d").alias("e"))
+    held = e.persist()
+    try:
+        median, p95 = quantiles.exact(held, "e", [0.5, 0.95])
+    finally:
+        held.unpersist()
     money = lambda c: F.round(c).cast("long")
     return e.agg(
         F.count("*").alias("n"), F.round(F.avg(F.pow("e", F.lit(2.0))) / 1e12).cast("long").alias("mse_1e12"), money(F.max("e")).alias("max_error"), money(F.min("e")).alias("min_error"),
@@ -188,3 +195,31 @@ def band_errors(rows: DataFrame, actual: str, predicted: str, bounds: tuple[floa
 
 def share_of_total(counts: DataFrame, n: str = "n") -> DataFrame:
     return counts.withColumn("pct", F.round(F.col(n) * 100.0 / F.sum(n).over(Window.partitionBy(F.lit(1))), 1))
+
+
+def covariances(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``a, b, n, covariance, correlation`` of every pair of columns (a column with itself too) over the rows that hold both, in one pass.
+
+    A column without spread has no correlation (null).
+    """
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    value = {c: F.col(c).cast("double") for c in columns}
+    both = {(a, b): F.col(a).isNotNull() & F.col(b).isNotNull() for a, b in pairs}
+    spread = lambda a, b: F.sqrt(F.var_samp(F.when(both[a, b], value[a])) * F.var_samp(F.when(both[a, b], value[b])))
+    sums = rows.agg(*[
+        F.struct(
+            F.lit(a).alias("a"), F.lit(b).alias("b"), F.count(F.when(both[a, b], 1)).alias("n"), F.covar_samp(value[a], value[b]).alias("covariance"),
+            F.try_divide(F.covar_samp(value[a], value[b]), spread(a, b)).alias("correlation"),
+        ).alias(f"p{i}")
+        for i, (a, b) in enumerate(pairs)
+    ])
+    return sums.select(F.inline(F.array(*[f"p{i}" for i in range(len(pairs))])))
+
+
+def chosen_features(matrix: DataFrame, target: str, least_variance: float = 0.0, most: int = 10) -> DataFrame:
+    """``name, variance, strength`` of the columns of a covariance matrix that vary more than a bound, the ``most`` of greatest
+    correlation (either sign) with the target first; of equal ones the first by name."""
+    own = matrix.where((F.col("a") == F.col("b")) & (F.col("a") != target)).select(F.col("a").alias("name"), F.col("covariance").alias("variance"))
+    with_target = matrix.where((F.col("a") != F.col("b")) & ((F.col("a") == target) | (F.col("b") == target)))
+    strength = with_target.select(F.when(F.col("a") == target, F.col("b")).otherwise(F.col("a")).alias("name"), F.abs("correlation").alias("strength"))
+    return own.where(F.col("variance") > least_variance).join(strength, "name").orderBy(F.desc_nulls_last("strength"), "name").limit(most)

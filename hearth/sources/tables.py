@@ -54,6 +54,18 @@ def read_latest(spark: SparkSession, path: str, last: str, most: int = 90, day:
     return rows.join(F.broadcast(newest), day)
 
 
+def days_before(last: DataFrame, days: int) -> DataFrame:
+    """The ``days`` days up to the one day ``last``, as ``dt``."""
+    # A filter, as Spark prunes partitions only by a side that has one.
+    spread = last.select("last", F.explode(F.sequence(F.date_sub("last", 2 * days), F.col("last"))).alias("dt"))
+    return spread.where(F.col("dt") > F.date_sub("last", days)).select("dt")
+
+
+def join_days(stored: DataFrame, days: DataFrame) -> DataFrame:
+    """The rows of the joined days, a bounded set of them: other partitions of the stored table are not read."""
+    return stored.join(F.broadcast(days), "dt")
+
+
 def read_files(spark: SparkSession, path: str, kind: str, glob: str | None = None, schema: StructType | None = None) -> DataFrame:
     reader = spark.read.format(kind)
     if kind == "csv":
