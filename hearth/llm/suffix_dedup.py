@@ -6,7 +6,8 @@ distribute it:
 1. *Windows.*  Every string of ``length`` bytes is filed under its anchor, the ``gram``-byte substring with the least hash
    (the first of equal ones), so equal strings have equal anchors at equal offsets.  Consecutive starts with one anchor
    form a window (on average 70 starts).  Windows whose anchor occurs once in the corpus cannot repeat and are dropped.
-2. *Collection.*  Equal windows are collapsed, keeping their number; one text that holds each gives its bytes.  The windows
+2. *Collection.*  Equal windows are collapsed, keeping their number; one text that holds each gives its bytes, which are searched once
+   however many rows repeat that text and its id.  The windows
    of an anchor are a collection of documents, aligned at the anchor.  From the last column to the first, one symbol of
    every document is inserted: the previous column's segment (documents in suffix order with their common prefixes
    and, as transform, the symbols before) is read in sequence, its documents are stably sorted by the inserted symbol, and
@@ -198,9 +199,13 @@ def _searched(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        last = None
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("h", "x", "n", "a", "times", "body")]
             for row in zip(*columns, strict=True):
+                if row[:4] == last:  # rows that repeat id and text (or have no id) all give the window's bytes: once is enough
+                    continue
+                last = row[:4]
                 if len(held) >= BATCH and held[-1][0] != row[0]:
                     yield solved(held)
                     held = []
@@ -262,12 +267,12 @@ def dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int
         .select(*key, "times", F.expr("substring(text, cast(s + 1 as int), n + %d)" % (length - 1)).alias("body"))
     )
     crowded = unique.groupBy("h").count().where(F.col("count") > hot).select("h")
-    spans_of = lambda rows: rows.repartition("h").sortWithinPartitions("h", "x").mapInArrow(tidy(_searched(length)), "h long, x long, n int, a int, spans array<int>")
+    spans_of = lambda rows: rows.repartition("h").sortWithinPartitions(*key).mapInArrow(tidy(_searched(length)), "h long, x long, n int, a int, spans array<int>")
     if crowded.isEmpty():
         found = spans_of(bodies)
     else:
         path = work_path(spark, "bodies")
-        bodies.write.option("compression", "zstd").parquet(path)
+        bodies.dropDuplicates(key).write.option("compression", "zstd").parquet(path)
         bodies = spark.read.parquet(path)
         calm = spans_of(bodies.join(crowded, "h", "left_anti"))
         each = bodies.join(crowded, "h", "left_semi").select(*key, "times", F.posexplode(F.expr("transform(sequence(1, n), i -> substring(body, i, %d))" % length)).alias("p", "string"))
