@@ -98,12 +98,27 @@ def density(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float,
     for end, (n, w) in automaton.iter(folded):
         (excused if w is None else hits).append((end - n + 1, end, w))
     if excused:
-        hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in excused)]
+        hits = _unexcused(hits, excused)
     if not hits:
         return 0.0, 0
     return math.log1p(100.0 * sum(h[2] for h in hits) / (len(folded.split()) + 10)), len(hits)
 
 
+def _unexcused(hits: list[tuple], excused: list[tuple]) -> list[tuple]:
+    """The hits that lie in no exception phrase; both lists are in the order of their ends, and are read once, from the last end to the first.
+
+    A phrase holds a hit if it ends no earlier and begins no later: of all phrases that end no earlier, the least begin decides.
+    """
+    out, at, least = [], len(excused) - 1, math.inf
+    for h in reversed(hits):
+        while at >= 0 and excused[at][1] >= h[1]:
+            least = min(least, excused[at][0])
+            at -= 1
+        if h[0] < least:
+            out.append(h)
+    return out[::-1]
+
+
 def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of each slice of labelled texts: (word, word before it, 1) for toxic rows, (word, none, number) for clean ones."""
     for batch in batches:
