@@ -90,16 +90,26 @@ def parse_turns(formatted: Column) -> Column:
     return F.flatten(F.transform(groups, turns))
 
 
-def under_mask(formatted: Column, mask: Column) -> Column:
-    """The unescaped texts of the masked runs, in order."""
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<at:int,n:int>>").alias("spans"))
+def _parts(piece: Column, size: int) -> Column:
+    """A piece (text ``s`` and the runs ``m`` that cover it) cut into pieces of ``size`` runs."""
+    runs = piece["m"]
+    numbers = F.sequence(F.lit(0), F.ceil(F.size(runs) / size).cast("int") - 1)
+    blocks = F.transform(numbers, lambda i: F.slice(runs, i * size + 1, size))
+    sized = F.transform(blocks, lambda b: F.struct(F.aggregate(b, F.lit(0), lambda n, r: n + r["n"]).alias("n"), b.alias("m")))
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("begins"))
+    begins = F.aggregate(sized, start, lambda acc, b: F.struct((acc["at"] + b["n"]).alias("at"), F.concat(acc["begins"], F.array(acc["at"])).alias("begins")))["begins"]
+    return F.zip_with(begins, sized, lambda at, b: F.struct(F.substring(piece["s"], at, b["n"]).alias("s"), b["m"].alias("m")))
 
-    def step(acc: Column, run: Column) -> Column:
-        span = F.struct(acc["at"].alias("at"), run["n"].alias("n"))
-        return F.struct(
-            (acc["at"] + run["n"]).alias("at"),
-            F.when(run["loss"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
-        )
 
-    spans = F.aggregate(mask, start, step)["spans"]
-    return F.transform(spans, lambda s: unescape(F.substring(formatted, s["at"], s["n"])))
+def under_mask(formatted: Column, mask: Column) -> Column:
+    """The unescaped texts of the masked runs, in order.
+
+    Characters are found by reading a string from its start.  So the string is cut into pieces of 4,096 runs, these into pieces of 64, and
+    only then into runs: no run is looked for from further away than the begin of a small piece.
+    """
+    pieces = F.array(F.struct(formatted.alias("s"), mask.alias("m")))
+    cut = lambda size: lambda p: _parts(p, size)
+    for size in (4096, 64, 1):
+        pieces = F.flatten(F.transform(pieces, cut(size)))
+    found = F.when(F.size(mask) > 0, F.filter(pieces, lambda p: p["m"][0]["loss"]))
+    return F.coalesce(F.transform(found, lambda p: unescape(p["s"])), F.array().cast("array<string>"))
