@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hearth.functions import documents
 from hearth.functions.markup import Field
-from hearth.operators import sample, stats
+from hearth.operators import features, folds, models, sample, sketches, stats
 from hearth.plans.dedup import MERGE_SQL, merged_pair, scored
-from hearth.plans.streams import _work
+from hearth.plans.streams import _work, priced
 from hearth.sources import buckets, pages, tables
 from hearth.sources.adapters import listings, table, with_listings
+from hearth.streaming import flush, ingest
 
 
 def upsert_buckets(spark, sf):
@@ -77,7 +79,85 @@ def strata(spark, sf):
     return sample.least_hashes(listings(spark, sf).select("listing_key", "district", "price"), ["district"], "listing_key", 25).select("listing_key", "district", "price")
 
 
+def click_documents(spark, sf):
+    read = documents.with_documents(table(spark, sf, "clicks"), "props")
+    at = lambda path, kind: documents.field(F.col("document"), path, kind)
+    items = F.coalesce(at("$.items", "array<struct<sku:int,qty:int>>"), F.array().cast("array<struct<sku:int,qty:int>>"))
+    return read.select(
+        "click_id", "malformed", at("$.k", "int").alias("k"), at("$.device.os", "string").alias("os"), at("$.device.ver", "string").alias("version"), F.size(items).alias("n_items"),
+        at("$.items[0].sku", "int").alias("first_sku"), F.aggregate(items, F.lit(0), lambda n, i: n + i["qty"]).alias("quantity"),
+    )
+
+
+def ad_records(spark, sf):
+    """Advertisement documents made from orders (some cut off), read as listings."""
+    o = F.col("o_orderkey")
+    text = lambda c: c.cast("string")
+    whole = F.to_json(F.struct(
+        o.alias("list_id"), F.concat(F.lit("s "), text(F.col("o_custkey"))).alias("subject"), F.concat(F.lit("<p>Big &amp; "), text(o), F.lit("</p>")).alias("body"),
+        F.when(o % 2 == 0, F.concat(text(o), F.lit(" tỷ"))).alias("price_string"), (o * 10).alias("price"), (o % 90).alias("size"), F.when(o % 3 == 0, o % 5).alias("rooms"),
+        F.col("o_orderstatus").alias("ward_name"), F.lit("").alias("area_name"), F.lit("Hà Nội").alias("region_name"), (o * 1000 + 999).alias("list_time"), (o % 8).alias("direction"),
+    ))
+    ads = table(spark, sf, "orders").select("o_orderkey", F.when(o % 7 == 0, F.substring(whole, 1, 20)).otherwise(whole).alias("doc"))
+    read = documents.with_documents(ads, "doc")
+    record = documents.advertisement_record(F.col("document"))
+    return read.select("o_orderkey", "malformed", *[record[c].alias(c) for c in ("listing", "title", "description", "price", "area", "bedroom", "house_direction", "location", "url", "posted", "interior")])
+
+
+def stream_flush(spark, sf):
+    """Buffers of 500 clicks a kind; what is left in them when the stream ends is not flushed."""
+    work = _work(spark)
+    rows = ingest.read_parquet(spark, f"{sf}/clicks.parquet*").withColumn("at", F.col("arrived_at").cast("timestamp")).withColumn("bytes", F.length("props"))
+    found = flush.flushes(rows, "kind", "bytes", "at", 500, 1 << 40, 1_000_000_000)
+    return ingest.run_once(found, f"{work}/out", f"{work}/checkpoint", ["reason"]).select("source", "number", "reason", "n")
+
+
+def daily_sketches(spark, sf):
+    rows = listings(spark, sf).withColumn("day", F.col("posted_date").cast("date"))
+    merged = sketches.windows(sketches.daily(rows, "day", "price"), 30)
+    return sketches.quantiles(merged, [0.25, 0.5, 0.75]).select(F.date_format("last", "yyyy-MM-dd").alias("last"), "n", "q0", "q1", "q2")
+
+
+def rolling_folds(spark, sf):
+    rows = listings(spark, sf).select("listing_key", "posted_date")
+    starts = folds.origins(rows, "posted_date", 5)
+    return folds.folded(rows, "posted_date", starts).groupBy("fold", "part").agg(F.count("*").alias("n"), F.date_format(F.min("posted_date"), "yyyy-MM-dd").alias("low"), F.date_format(F.max("posted_date"), "yyyy-MM-dd").alias("high"))
+
+
+def stacked_models(spark, sf):
+    """Two linear models of the price's logarithm and one over them, by folds of days; errors of each on the last fold."""
+    rows = priced(spark, sf).join(listings(spark, sf).select("listing_key", "posted_date"), "listing_key")
+    starts = folds.origins(rows, "posted_date", 3)
+    base = {"all": models.linear(features.FEATURES, ["house_type"]), "numbers": models.linear(features.FEATURES, [])}
+    found = folds.stacked(folds.out_of_fold(rows, "posted_date", base, starts), "log_price", list(base), len(starts) - 1)
+    return found.agg(F.count("*").alias("n"), *[F.round(F.sqrt(F.avg(F.pow(F.col("log_price") - F.col(f"predicted_{m}"), F.lit(2.0)))), 6).alias(f"rmse_{m}") for m in ("all", "numbers", "stack")])
+
+
+FOLDS_SQL = """d AS (SELECT date_diff('day', DATE '1970-01-01', posted_date::DATE) AS day, posted_date FROM listings),
+q AS (SELECT floor(unnest(quantile_cont(day, [1 / 6::DOUBLE, 2 / 6::DOUBLE, 3 / 6::DOUBLE, 4 / 6::DOUBLE, 5 / 6::DOUBLE])))::BIGINT AS a FROM d),
+s AS (SELECT a, row_number() OVER (ORDER BY a) - 1 AS fold, coalesce(lead(a) OVER (ORDER BY a), (SELECT max(day) + 1 FROM d)) AS b FROM (SELECT DISTINCT a FROM q))
+SELECT fold::INT AS fold, CASE WHEN day < a THEN 'train' ELSE 'test' END AS part, count(*) AS n, strftime(min(posted_date), '%Y-%m-%d') AS low, strftime(max(posted_date), '%Y-%m-%d') AS high FROM d JOIN s ON day < b GROUP BY ALL"""
+
 PLANS = {
+    "click_documents": (
+        click_documents,
+        """SELECT click_id, props IS NOT NULL AND NOT json_valid(props) AS malformed, (j->>'$.k')::INT AS k, j->>'$.device.os' AS os, j->>'$.device.ver' AS version, coalesce(json_array_length(j, '$.items'), 0)::INT AS n_items,
+        (j->>'$.items[0].sku')::INT AS first_sku, coalesce(list_sum(CAST(j->'$.items[*].qty' AS INT[])), 0)::INT AS quantity FROM (SELECT *, CASE WHEN json_valid(props) THEN props::JSON END AS j FROM clicks)""",
+    ),
+    "ad_records": (
+        ad_records,
+        """SELECT o_orderkey, bad AS malformed, CASE WHEN NOT bad THEN o_orderkey::VARCHAR END AS listing, CASE WHEN NOT bad THEN 's ' || o_custkey END AS title, CASE WHEN NOT bad THEN 'Big & ' || o_orderkey END AS description,
+        CASE WHEN bad THEN NULL WHEN o_orderkey % 2 = 0 THEN o_orderkey || ' tỷ' ELSE (o_orderkey * 10)::VARCHAR END AS price, CASE WHEN NOT bad THEN (o_orderkey % 90)::VARCHAR END AS area, CASE WHEN NOT bad AND o_orderkey % 3 = 0 THEN (o_orderkey % 5)::VARCHAR END AS bedroom,
+        CASE WHEN NOT bad THEN (o_orderkey % 8)::VARCHAR END AS house_direction, CASE WHEN NOT bad THEN o_orderstatus || ', Hà Nội' END AS location, CASE WHEN NOT bad THEN 'https://ads.example/' || o_orderkey || '.htm' END AS url, CASE WHEN NOT bad THEN o_orderkey END AS posted, NULL::VARCHAR AS interior
+        FROM (SELECT *, o_orderkey % 7 = 0 AS bad FROM orders)""",
+    ),
+    "stream_flush": (
+        stream_flush,
+        "SELECT coalesce(kind, '') AS source, unnest(range(0, n // 500)) AS number, 'rows' AS reason, 500::BIGINT AS n FROM (SELECT kind, count(*) AS n FROM clicks GROUP BY kind)",
+    ),
+    "daily_sketches": (daily_sketches, None),
+    "rolling_folds": (rolling_folds, with_listings(FOLDS_SQL)),
+    "stacked_models": (stacked_models, None),
     "upsert_buckets": (
         upsert_buckets,
         with_listings(f"{MERGE_SQL} SELECT coalesce(tid, sid) AS id, CASE WHEN action IN ('inserted', 'updated') THEN ss ELSE ts END AS score, CASE WHEN action IN ('inserted', 'updated') THEN st ELSE tt END AS processing_timestamp, CASE WHEN action IN ('inserted', 'updated') THEN sp ELSE tp END AS price FROM j"),
