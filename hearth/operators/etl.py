@@ -5,12 +5,13 @@ Every stage is a lazy ``DataFrame -> DataFrame`` step; run date, run id and "now
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hearth.functions import parse, quality
 from hearth.operators import conform, dedup, merge
+from hearth.sources import buckets, paths
 
 # The gold schema and the serving columns.
 GOLD = (
@@ -129,3 +130,15 @@ def load(serving: DataFrame, new: DataFrame, as_of: Column, days: int = 90) -> D
     recent = target.where(F.col("processing_timestamp") >= as_of - F.make_interval(days=F.lit(days)))
     accepted = dedup.resolved(staged, dedup.conflicts(staged, recent))
     return merge.upsert(target, accepted.select(*target.columns)).drop("score")
+
+
+def load_buckets(spark: SparkSession, path: str, new: DataFrame, as_of: Column, days: int = 90) -> dict[str, int]:
+    """The same load into a table of key buckets, which rewrites only those of the accepted keys; the first load makes the table."""
+    staged = new.withColumn("score", F.col("data_quality_score"))
+    if not paths.exists(spark, path):
+        buckets.create(staged, path, ["id"])
+        return {}
+    target = buckets.read(spark, path)
+    recent = target.where(F.col("processing_timestamp") >= as_of - F.make_interval(days=F.lit(days)))
+    accepted = dedup.resolved(staged, dedup.conflicts(staged, recent))
+    return buckets.merge_into(spark, path, accepted.select(*target.columns), ["id"], buckets.by_score)

@@ -72,22 +72,44 @@ def chosen(only: list[str] | None = None, skip: list[str] | None = None) -> list
     return [s for s in STAGES if (not only or s in only) and s not in (skip or ())]
 
 
-def run_daily(spark: SparkSession, raw_a: str | None, raw_b: str | None, hierarchy: str, out: str, day: str, run_id: str) -> DataFrame:
-    """Raw files of a day to its gold partition; a missing source is left out, the address document must be there."""
+def run_daily(
+    spark: SparkSession, raw_a: str | None, raw_b: str | None, hierarchy: str, out: str, day: str, run_id: str, stages: tuple[str, ...] | list[str] = STAGES[:3]
+) -> DataFrame | None:
+    """Raw files of a day to its gold partition; a missing source is left out, the address document must be there.
+
+    Every stage writes the day's rows below ``out`` and the next one reads them, so a run may begin or end at any stage: what is left out
+    must have run before.  ``load`` brings the day's gold rows into the serving table.  Without any gold stored the result is None.
+    """
     from hearth.operators import etl
-    from hearth.sources import tables
+    from hearth.sources import paths, tables
 
     now = F.lit(day).cast("timestamp")
-    dims = tables.hierarchy(spark.read.option("multiLine", True).json(hierarchy))
-    silvers = []
-    for path, columns, make in ((raw_a, tables.RAW_A, etl.silver_a), (raw_b, tables.RAW_B, etl.silver_b)):
-        if path:
-            silvers.append(etl.addressed(make(tables.read_raw(spark, path, columns), now, run_id), dims))
-    if not silvers:
-        raise ValueError("no source was given")
-    gold = etl.gold(silvers).withColumn("dt", F.lit(day).cast("date"))
-    tables.write_days(gold, f"{out}/gold", "dt", "property_type")
-    return spark.read.parquet(f"{out}/gold").where(F.col("dt") == F.lit(day).cast("date"))
+    dated = lambda rows: rows.withColumn("dt", F.lit(day).cast("date"))
+    stored = lambda name: spark.read.parquet(f"{out}/{name}").where(F.col("dt") == F.lit(day).cast("date"))
+    sources = {"a": (raw_a, tables.RAW_A, etl.silver_a), "b": (raw_b, tables.RAW_B, etl.silver_b)}
+    if "bronze" in stages:
+        if not raw_a and not raw_b:
+            raise ValueError("no source was given")
+        for name, (path, columns, _) in sources.items():
+            if path:
+                tables.write_days(dated(tables.read_raw(spark, path, columns)), f"{out}/bronze/{name}")
+    present = [n for n, (path, _, _) in sources.items() if (path or "bronze" not in stages) and paths.exists(spark, f"{out}/bronze/{n}/dt={day}")]
+    if "silver" in stages:
+        dims = tables.hierarchy(spark.read.option("multiLine", True).json(hierarchy))
+        for name in present:
+            silver = etl.addressed(sources[name][2](stored(f"bronze/{name}").drop("dt"), now, run_id), dims)
+            tables.write_days(dated(silver), f"{out}/silver/{name}")
+    if "gold" in stages:
+        silvers = [stored(f"silver/{n}").drop("dt") for n in present if paths.exists(spark, f"{out}/silver/{n}/dt={day}")]
+        if not silvers:
+            raise ValueError(f"nothing is stored for {day}")
+        tables.write_days(dated(etl.gold(silvers)), f"{out}/gold", "dt", "property_type")
+    if not paths.exists(spark, f"{out}/gold"):
+        return None
+    gold = stored("gold")
+    if "load" in stages:
+        etl.load_buckets(spark, f"{out}/serving", gold.drop("dt"), now)
+    return gold
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -98,9 +120,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--day", required=True, help="yyyy-mm-dd")
     p.add_argument("--run-id", default="manual")
+    p.add_argument("--only", nargs="*", help=f"stages to run, of {', '.join(STAGES)}")
+    p.add_argument("--skip", nargs="*", help="stages to leave out")
     a = p.parse_args(argv)
-    rows = run_daily(get_session("listings-daily"), a.raw_a, a.raw_b, a.hierarchy, a.out, a.day, a.run_id)
-    print(rows.groupBy("source").count().collect())
+    rows = run_daily(get_session("listings-daily"), a.raw_a, a.raw_b, a.hierarchy, a.out, a.day, a.run_id, chosen(a.only, a.skip))
+    print(rows.groupBy("source").count().collect() if rows is not None else "no gold rows")
 
 
 if __name__ == "__main__":

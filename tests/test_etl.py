@@ -2,10 +2,12 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from hearth import session
 from hearth.operators import etl
+from hearth.sources import buckets
 
 PLACES = [
     {"id": "1", "name": "Hồ Chí Minh", "districts": [{"id": "11", "name": "Quận 1", "wards": [{"id": "111", "name": "Phường Bến Thành", "prefix": "Phường"}], "streets": [{"id": "112", "name": "Đường Lê Lợi", "prefix": "Đường"}]}]},
@@ -47,3 +49,18 @@ def test_daily_run(spark, tmp_path):
     newer = again.drop("dt").select(*serving.columns).withColumn("price", F.col("price") + 1)
     after = {r.url: r.price for r in etl.load(serving, newer, F.lit("2025-05-22").cast("timestamp")).collect()}
     assert after["v1"] == 1.5e9 + 1 and after["u1"] == 5.2e9
+
+
+def test_stages_are_chosen(spark, tmp_path):
+    """A run that ends early, one that goes on from there, and two loads into the serving table."""
+    (tmp_path / "h.json").write_text(json.dumps(PLACES, ensure_ascii=False))
+    raw, h, out = lines(tmp_path / "b", B), str(tmp_path / "h.json"), str(tmp_path / "out")
+    assert session.run_daily(spark, None, raw, h, out, "2025-05-20", "job", session.chosen(["bronze"])) is None
+    assert spark.read.parquet(f"{out}/bronze/b").count() == 2
+    gold = session.run_daily(spark, None, None, h, out, "2025-05-20", "job", session.chosen(skip=["bronze"]))
+    assert gold.count() == 2 and buckets.read(spark, f"{out}/serving").count() == 2
+    session.run_daily(spark, None, raw, h, out, "2025-05-21", "job", session.chosen())
+    served = buckets.read(spark, f"{out}/serving").collect()
+    assert len(served) == 2 and {str(r.processing_timestamp)[:10] for r in served} == {"2025-05-21"}
+    with pytest.raises(ValueError, match="nothing is stored"):
+        session.run_daily(spark, None, None, h, out, "2025-06-01", "job", ["gold"])
