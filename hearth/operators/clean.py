@@ -33,6 +33,25 @@ def checked(rows: DataFrame, wanted: Column, least: float = 0.2) -> DataFrame:
     return rows.where(wanted)
 
 
+# What a row must hold at the end.
+FINAL = CRITICAL | {"floor_count": (1, 99)}
+
+
+def valid(rows: DataFrame, ranges: dict = FINAL, optional: tuple[str, ...] = ("floor_count",)) -> DataFrame:
+    """The rows inside all ranges; ranges of columns that are not there are left out."""
+    return rows.where(in_ranges({c: r for c, r in ranges.items() if c in rows.columns}, optional))
+
+
+def removed(rows: DataFrame, ranges: dict = FINAL, optional: tuple[str, ...] = ("floor_count",)) -> DataFrame:
+    """``rule, removed, kept``: how many rows each range takes from what the ranges before it leave, from one pass."""
+    left, parts = F.lit(True), []
+    for i, (c, r) in enumerate((c, r) for c, r in ranges.items() if c in rows.columns):
+        ok = F.coalesce(in_ranges({c: r}, optional), F.lit(False))
+        parts.append(F.struct(F.lit(i).alias("place"), F.lit(c).alias("rule"), F.count_if(left & ~ok).alias("removed"), F.count_if(left & ok).alias("kept")).alias(f"r{i}"))
+        left = left & ok
+    return rows.agg(*parts).select(F.inline(F.array(*[f"r{i}" for i in range(len(parts))])))
+
+
 def impute(rows: DataFrame, medians: list[str], unknown_ids: list[str], texts: list[str], required: list[str]) -> DataFrame:
     """Rows without a required value go; medians fill numbers, -1 fills ids, ``unknown`` fills texts.
 

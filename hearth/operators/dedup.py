@@ -27,6 +27,11 @@ def best_of(rows: DataFrame, keys: list[str | Column], *order: Column) -> DataFr
     return rows.withColumn("_place", F.row_number().over(w)).where(F.col("_place") == 1).drop("_place")
 
 
+def newest(rows: DataFrame, date: str = "data_date", key: str = "id", tie: str = "listing_key") -> DataFrame:
+    """The row of the latest data date of each id, rows without a date last, the least ``tie`` among equal ones."""
+    return best_of(rows, [key], F.desc_nulls_last(date), F.asc(tie))
+
+
 def rounded(c: Column) -> Column:
     """Half up, as an integer: keys are never built from printed fractions."""
     return F.floor(c + 0.5).cast("long")

@@ -7,7 +7,7 @@ import math
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.operators import quantiles
@@ -30,16 +30,20 @@ def folded(rows: DataFrame, day: str, starts: list[int]) -> DataFrame:
 
 
 def out_of_fold(rows: DataFrame, day: str, models: dict[str, Pipeline], starts: list[int]) -> DataFrame:
-    """``rows`` of all test parts with ``fold`` and ``predicted_<name>``: no row is predicted by a model that saw its day or a later one."""
+    """``rows`` of all test parts with ``fold`` and ``predicted_<name>``: no row is predicted by a model that saw its day or a later one.
+
+    Columns with the names that models give theirs are set aside meanwhile.
+    """
     out = None
-    every = folded(rows, day, starts)
+    own = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), "*").drop("prediction", "features", "raw")
+    every = folded(own, day, starts)
     for i in range(len(starts) - 1):
         train, test = (every.where((F.col("fold") == i) & (F.col("part") == p)) for p in ("train", "test"))
         for name, pipeline in models.items():
             kept = test.columns
             test = pipeline.fit(train).transform(test).select(*kept, F.col("prediction").alias(f"predicted_{name}"))
         out = test if out is None else out.unionByName(test)
-    return out.drop("part")
+    return out.select("_row.*", "fold", *[f"predicted_{name}" for name in models])
 
 
 def stacked(predicted: DataFrame, label: str, names: list[str], folds: int) -> DataFrame:
@@ -48,3 +52,17 @@ def stacked(predicted: DataFrame, label: str, names: list[str], folds: int) -> D
     model = Pipeline(stages=[assemble, LinearRegression(featuresCol="_base", labelCol=label, predictionCol="predicted_stack", regParam=0.01)])
     last = folds - 1
     return model.fit(predicted.where(F.col("fold") < last)).transform(predicted.where(F.col("fold") == last)).drop("_base")
+
+
+def searched(rows: DataFrame, day: str, candidates: dict[str, Pipeline], label: str, starts: list[int]) -> DataFrame:
+    """``candidate, fold, n, rmse`` of every candidate on the test part of every fold; rows that one of them cannot predict count for none."""
+    found = out_of_fold(rows, day, candidates, starts)
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("candidate"), F.col(f"predicted_{n}").alias("p")) for n in candidates]))
+    errors = found.select("fold", F.col(label).alias("y"), each.alias("c")).select("fold", "c.candidate", F.pow(F.col("y") - F.col("c.p"), F.lit(2.0)).alias("e"))
+    return errors.groupBy("candidate", "fold").agg(F.count("*").alias("n"), F.sqrt(F.avg("e")).alias("rmse"))
+
+
+def standing(scores: DataFrame) -> DataFrame:
+    """``candidate, folds, rmse`` (mean over the folds) and ``place``, the least error first, by name among equal ones; one row a candidate."""
+    means = scores.groupBy("candidate").agg(F.count("*").alias("folds"), F.avg("rmse").alias("rmse"))
+    return means.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("rmse", "candidate")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("market", "search", "parsing", "dedup", "features", "streams", "more", "serve", "stored")
+MODULES = ("market", "search", "parsing", "dedup", "features", "streams", "more", "serve", "stored", "service")
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
