@@ -8,6 +8,7 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -42,12 +43,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Frames made and run inside leave no shuffle files behind once their action ends.
+
+    By themselves those files stay on the executors' disks until the driver happens to collect garbage.  A frame that is run again makes
+    them anew.
+    """
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def cut(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Lineage cut through a reliable checkpoint in the shared folder."""
+    """Lineage cut through a reliable checkpoint in the shared folder; the shuffle files behind it go as soon as it stands."""
     folder = checkpoint_dir(spark)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    with released(spark):
+        return df.select("*").checkpoint(eager=True)
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -66,7 +86,8 @@ def hot_keys(counts: DataFrame, key: str, total: int) -> dict:
     that bounds what comes to the driver to ``HOT_KEYS`` keys.
     """
     limit = max(HOT_ROWS, total // HOT_KEYS)
-    return {r[0]: r[1] for r in counts.where(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).cast("int")).collect()}
+    with released(counts.sparkSession):
+        return {r[0]: r[1] for r in counts.where(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).cast("int")).collect()}
 
 
 def spread_join(many: DataFrame, one: DataFrame, key: str, hot: dict) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, hot_keys, spread_join
+from hearth.llm.common import cut, hot_keys, released, spread_join
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
         small = spread_join(large, lower, "u", hubs).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lower.select("u", F.col("m").alias("v")))
         edges = cut(spark, small.where("u <> v").distinct())
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        with released(spark):
+            state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break
         total, seen = state["n"], state
