@@ -58,6 +58,15 @@ def stream_distinct(spark, sf):
     return stored.groupBy("event_type").agg(F.count("*").alias("users"))
 
 
+def stream_expiry(spark, sf):
+    """Clicks by day and kind as they arrive, by halves of months: six hours after its end a day is final, dropped from the state and closed to later rows."""
+    clicks = spark.read.parquet(f"{sf}/clicks.parquet").where("ts is not null and arrived_at is not null")
+    half = F.concat_ws(" ", F.date_format("arrived_at", "yyyy-MM"), F.when(F.dayofmonth("arrived_at") > 15, "b").otherwise("a"))
+    rows = clicks.select(F.col("ts").cast("timestamp").alias("at"), "kind", half.alias("half"))
+    stored = ingest.drained_by_part(rows, "half", _work(spark), lambda r: ingest.by_window(r, "at", "1 day", "6 hours", "kind"), ["kind"])
+    return stored.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "kind", "n")
+
+
 def store_days(spark, sf):
     """All listings written by day, the days of one month overwritten, a pruned window read back."""
     path = f"{_work(spark)}/days"
@@ -90,6 +99,15 @@ PLANS = {
     "stream_parity": (stream_parity, "SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL"),
     "stream_windows": (stream_windows, "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL"),
     "stream_distinct": (stream_distinct, "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY event_type"),
+    "stream_expiry": (
+        stream_expiry,
+        """WITH r AS (SELECT date_trunc('day', ts) AS d, ts, kind, strftime(arrived_at, '%Y-%m') || CASE WHEN day(arrived_at) > 15 THEN ' b' ELSE ' a' END AS half
+           FROM clicks WHERE ts IS NOT NULL AND arrived_at IS NOT NULL),
+        seen AS (SELECT half, max(max(ts)) OVER (ORDER BY half ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 6 HOUR AS closed FROM r GROUP BY half),
+        final AS (SELECT max(ts) - INTERVAL 6 HOUR AS closed FROM r)
+        SELECT strftime(d, '%Y-%m-%d') AS day, kind, count(*) AS n FROM r JOIN seen USING (half)
+        WHERE (seen.closed IS NULL OR d + INTERVAL 1 DAY > seen.closed) AND d + INTERVAL 1 DAY <= (SELECT closed FROM final) GROUP BY ALL""",
+    ),
     "store_days": (
         store_days,
         with_listings("SELECT strftime(posted_date, '%Y-%m') AS month, count(*) AS n, round(sum(CASE WHEN strftime(posted_date, '%Y-%m') = '1996-03' THEN 1.0::DOUBLE ELSE price END))::BIGINT AS total FROM listings WHERE strftime(posted_date, '%Y-%m') BETWEEN '1996-02' AND '1996-06' GROUP BY 1"),

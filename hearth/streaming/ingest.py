@@ -103,3 +103,23 @@ def run_once(rows: DataFrame, path: str, checkpoint: str, keys: list[str]) -> Da
     if query.exception():
         raise query.exception()
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def drained_by_part(rows: DataFrame, part: str, work: str, plan: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
+    """The sink of a stream that lands part by part: every part is written to the source's folder and drained before the next one.
+
+    ``part`` is a column of ``rows`` whose values, few by nature (days, halves of months), give the order of landing; null parts never land.
+    ``plan`` makes the streaming result, in append mode.  Each drain starts the query anew from its checkpoint, so offsets, watermark and state
+    outlive a restart; what the watermark has closed is in the sink and gone from the state, and rows that come after that are dropped.
+    The rows are cut into parts in one pass.  An empty table gives an empty sink.
+    """
+    spark, source = rows.sparkSession, f"{work}/in"
+    shape = rows.drop(part)
+    rows.where(F.col(part).isNotNull()).write.partitionBy(part).parquet(f"{work}/parts")
+    cut = spark.read.schema(rows.schema).parquet(f"{work}/parts")
+    parts = [r[0] for r in cut.select(part).distinct().orderBy(part).collect()]
+    stored = plan(shape.limit(0))
+    for number, value in enumerate(parts):
+        cut.where(F.col(part) == value).select(*shape.columns).write.parquet(f"{source}/{number:05d}")
+        stored = run_once(plan(spark.readStream.schema(shape.schema).parquet(f"{source}/*")), f"{work}/out", f"{work}/checkpoint", keys)
+    return stored
