@@ -16,6 +16,11 @@ PPM2_EDGES = ((50, (0, 10, 20, 30, 40, 50)), (100, (0, 15, 30, 50, 70, 100)), (2
 OVERVIEW_EDGES = ((15, (0, 2, 4, 7, 12, None)), (30, (0, 3, 6, 12, 20, None)), (None, (0, 5, 15, 30, 50, None)))
 
 
+def whole_sum(c: str | Column) -> Column:
+    """The sum of a column of numbers below 1e19, added exactly and rounded once to a whole number that a double holds: no order of the rows changes it."""
+    return F.round(F.sum((F.col(c) if isinstance(c, str) else c).cast("decimal(28,9)")).cast("double")).cast("long")
+
+
 def valued(listings: DataFrame) -> DataFrame:
     return listings.where((F.col("price") > 0) & (F.col("area") > 0))
 

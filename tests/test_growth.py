@@ -1,12 +1,20 @@
 """What must hold on larger and odder tables: references cut off in pages, sums beyond 2^53, copies of listings."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from hearth.functions import markup
 from hearth.functions.markup import Field
+from hearth.operators import stats
 
 
 def test_markup_reads_references_with_their_semicolon_only():
     page = '<title>a&amp;b &#x27;c&#39; &lt;d&gt; &amp;lt; &notit; and&amp</title><a href="/?a=1&copy=2&amp;b=3">x</a>'
     assert markup.read(page, [Field("t", "title"), Field("l", "a", "href")]) == [{"t": ["a&b 'c' <d> &lt; &notit; and&amp"], "l": ["/?a=1&copy=2&b=3"]}]
+
+
+def test_whole_sums_do_not_depend_on_the_order_of_rows(spark):
+    """One large number and many small ones, in either order: by doubles the small ones are lost after the large one."""
+    small = spark.range(4000).select("id", F.lit(1.0).alias("v"))
+    for place in (-1, 4000):
+        rows = small.unionByName(spark.range(1).select(F.lit(place).cast("long").alias("id"), F.lit(2.0**54).alias("v"))).coalesce(1).sortWithinPartitions("id")
+        assert rows.agg(stats.whole_sum("v")).first()[0] == 2**54 + 4000
