@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from hearth.operators import clean, features, models, stats
@@ -14,12 +11,7 @@ from hearth.sources.adapters import listings, with_listings
 from hearth.streaming import ingest
 
 
-def _work(spark) -> str:
-    """A new folder in the shared checkpoint folder, or a temporary one where none is named and all runs on one machine."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder")
-    return f"{named or tempfile.mkdtemp()}/hearth-stream-{uuid.uuid4().hex}"
+_work = tables.work_path
 
 
 def _events(spark, sf):

@@ -6,6 +6,8 @@ Paths go through Spark's readers and writers only, so any store Spark can open w
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +27,21 @@ RAW_B = (
 )
 
 
+def work_path(spark: SparkSession) -> str:
+    """A new folder in the shared checkpoint folder, or a temporary one where none is named and all runs on one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder")
+    return f"{named or tempfile.mkdtemp()}/hearth-stream-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """The rows written once to a new folder and read back, for what reads them more than once: the joins that make them run once."""
+    path = f"{work_path(rows.sparkSession)}/rows"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def strings(columns: str) -> StructType:
     return StructType([StructField(c.strip(), StringType()) for c in columns.split(",")])
 

@@ -1,10 +1,13 @@
 """What must hold on larger and odder tables: references cut off in pages, sums beyond 2^53, copies of listings."""
 
+import random
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from hearth.functions import markup
 from hearth.functions.markup import Field
-from hearth.operators import stats
+from hearth.operators import dedup, stats
 
 
 def test_markup_reads_references_with_their_semicolon_only():
@@ -18,3 +21,27 @@ def test_whole_sums_do_not_depend_on_the_order_of_rows(spark):
     for place in (-1, 4000):
         rows = small.unionByName(spark.range(1).select(F.lit(place).cast("long").alias("id"), F.lit(2.0**54).alias("v"))).coalesce(1).sortWithinPartitions("id")
         assert rows.agg(stats.whole_sum("v")).first()[0] == 2**54 + 4000
+
+
+LISTING = "listing_key string, province string, district string, ward string, street string, price double, area double, bedroom int, latitude double, longitude double, score int, processing_timestamp timestamp"
+
+
+def test_copies_of_listings_add_no_links_and_lose_no_duplicate(spark):
+    """Copies with other keys and spots are one profile, and what stays is what all pairs of a block leave, also where a short distance decides."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(60):
+        base = ("p", "d", "w", rng.choice(["lo duc", "lo duc b", "hang bai"]), rng.choice([2e9, 2.05e9]), rng.choice([50.0, 57.0]), rng.choice([2, 3, None]))
+        for _ in range(rng.randint(1, 5)):
+            rows.append((f"k{len(rows):03}", *base, 10.0 + rng.choice([0.0, 0.0005, 0.003, 0.008, 0.1, 3.0]), rng.choice([106.0, 106.0005, -179.9999, 179.9999, None]), rng.randint(1, 4), datetime(2024, 1, rng.randint(1, 3))))
+    data = spark.createDataFrame(rows, LISTING).cache()
+    keyed = data.withColumn("block", dedup.loose_key())
+    pairs = keyed.alias("x").join(keyed.alias("y"), "block").where("x.listing_key < y.listing_key").withColumn("s", dedup.similarity("x", "y"))
+    blocked = pairs.where(F.col("s") >= dedup.THRESHOLD - 1e-9).select("x.*", F.col("y.listing_key").alias("peer"), F.col("y.score").alias("s2"), F.col("y.processing_timestamp").alias("t2")).collect()
+    lost = {r.peer if (r.score, r.processing_timestamp) >= (r.s2, r.t2) else r.listing_key for r in blocked}
+    got = {r.listing_key for r in dedup.without_fuzzy(data).select("listing_key").collect()}
+    assert got == {r[0] for r in rows} - lost and len(lost) > 20
+    profiles = lambda d: dedup.addressed(d).groupBy("profile").agg(*[F.any_value(c).alias(c) for c in dedup.PROFILE])
+    more = data.crossJoin(spark.range(3).select(F.col("id").alias("copy"))).withColumn("listing_key", F.concat("listing_key", F.col("copy").cast("string"))).drop("copy")
+    assert dedup.links(profiles(more), dedup.THRESHOLD).count() == dedup.links(profiles(data), dedup.THRESHOLD).count()
+    data.unpersist()
