@@ -6,18 +6,22 @@ from pyspark.sql import functions as F
 
 from hearth.config import ModelConfig
 from hearth.operators import clean, dedup, features, folds, models, quantiles, serving
-from hearth.plans.features import densities
 from hearth.plans.stored import FOLDS_SQL
 from hearth.plans.streams import _work
 from hearth.sources.adapters import listings, with_listings
+from hearth.sources.tables import stored
 
 LINES = ("area_per_room", "total_rooms")
 DAYS = ("1996-06-30", "1997-06-30")
 CONFIG = ModelConfig(models=LINES, outlier_method="zscore", least_rows=500, balance_cap=1e9)
 
 
+NEEDED = ["listing_key", "province", "province_id", "price", "price_per_m2", "area", "bedroom", "bathroom", "posted_date", "house_type"]
+
+
 def _rows(spark, sf):
-    return features.density(features.rooms(listings(spark, sf)), densities(spark, sf))
+    """What training and service read of the listings, stored, as every model and every bound reads them again."""
+    return stored(features.rooms(listings(spark, sf).select(*NEEDED)))
 
 
 def _service(spark, sf, rows):
@@ -58,6 +62,7 @@ SELECT d::VARCHAR AS day, model, round(1 - sum(pow(price - p, 2)) / (var_pop(pri
 def searched_models(spark, sf):
     """Straight lines over one feature each, by their errors on folds of days."""
     rows = features.rooms(listings(spark, sf)).where("total_rooms is not null").select("price", "posted_date", "area", *LINES)
+    rows = stored(rows)  # every fold and candidate reads them
     starts = folds.origins(rows, "posted_date", 3)
     found = folds.searched(rows, "posted_date", {c: models.line(c) for c in ("area", *LINES)}, "price", starts)
     return folds.standing(found).select("candidate", "folds", F.round(F.col("rmse") / 1000).cast("long").alias("rmse_thousands"), "place")
