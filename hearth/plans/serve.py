@@ -10,6 +10,7 @@ from hearth.plans.features import BY_MODEL, PREDICTED, by_model, densities, pred
 from hearth.plans.streams import _work
 from hearth.sources import tables
 from hearth.sources.adapters import with_listings
+from hearth.sources.tables import stored
 
 BANDS = (("budget", 0.0, 3e9), ("mid_range", 3e9, 1e10), ("luxury", 1e10, 3e10), ("ultra_luxury", 3e10, None))
 BAND_SQL = "CASE WHEN price >= 3e10 THEN 'ultra_luxury' WHEN price >= 1e10 THEN 'luxury' WHEN price >= 3e9 THEN 'mid_range' WHEN price >= 0 THEN 'budget' END"
@@ -75,12 +76,12 @@ STORED_SQL = ",".join((*features.STORED, "id"))
 
 
 def tree_ready(spark, sf):
-    r = features.for_trees(coded(spark, sf))
+    r = features.for_trees(stored(coded(spark, sf).select("listing_key", *features.STORED)))
     return r.select("listing_key", "house_direction_code", "interior_code", "ward_id", "bedroom", "floor_count", F.round("area_per_room", 6).alias("area_per_room"), F.round("bedroom_bathroom_ratio", 6).alias("ratio"))
 
 
 def line_ready(spark, sf):
-    r = features.for_lines(coded(spark, sf))
+    r = features.for_lines(stored(coded(spark, sf).select("listing_key", *features.STORED)))
     return r.select("listing_key", F.round("log_price", 8).alias("log_price"), "house_direction_code", "interior_code", "legal_status_code", "bathroom", F.round("total_rooms", 6).alias("total_rooms"))
 
 
