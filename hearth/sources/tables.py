@@ -151,7 +151,8 @@ def write_features(rows: DataFrame, root: str, kind: str, day: str, files: int =
     """Features of a day and kind of listing in few files, and a JSON document about them; returns both paths."""
     folder, plain = f"{root}/{kind}/{day.replace('-', '/')}", day.replace("-", "")
     data, about = f"{folder}/features_{kind}_{plain}.parquet", f"{folder}/metadata_{kind}_{plain}.json"
-    rows.coalesce(files).write.mode("overwrite").parquet(data)
+    # A shuffle, as fewer tasks for the files alone would also make the rows, joins and all, in so few tasks.
+    rows.repartition(files).write.mode("overwrite").parquet(data)
     spark = rows.sparkSession
     count = spark.read.parquet(data).agg(F.count("*").alias("record_count"))
     names = F.array(*[F.lit(c) for c in rows.columns])
