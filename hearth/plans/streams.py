@@ -69,10 +69,10 @@ def store_days(spark, sf):
     return back.groupBy(F.date_format(F.col("dt"), "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.round(F.sum("price")).cast("long").alias("total"))
 
 
-def priced(spark, sf):
+def priced(spark, sf, *more):
     rows = features.density(features.rooms(listings(spark, sf)), densities(spark, sf)).where("price > 0").na.drop(subset=["bedroom", "bathroom", "floor_count"])
     rows = rows.withColumns({"log_price": F.log("price"), "train": clean.hash_split(F.col("listing_key"), 80)})
-    return rows.select("listing_key", "price", "log_price", "train", "house_type", *features.FEATURES)
+    return rows.select("listing_key", "price", "log_price", "train", "house_type", *features.FEATURES, *more)
 
 
 def _evaluated(spark, sf, pipeline, back=lambda c: c):
