@@ -1,7 +1,7 @@
 """Exact, grid and fuzzy duplicate removal, and conflict rules between a load and the serving table.
 
 Every survivor rule ends in the listing's key, so results do not depend on row order.  Fuzzy duplicates are found by a
-set-similarity join over address words inside a block and removed with an anti-join; groups are never collected.
+set-similarity join over address words inside a block, between profiles of like listings; groups are never collected.
 """
 
 from __future__ import annotations
