@@ -108,11 +108,17 @@ def suggestions(listings: DataFrame, text: str, per_kind: int = 5, limit: int =
 
 
 def similar(listings: DataFrame, anchor: DataFrame, limit: int = 5, tolerance: float = 0.2) -> DataFrame:
-    """Listings of the anchor's district within the price band, nearest in price first; ``anchor`` is one row of the listings."""
-    a = F.broadcast(anchor.limit(1).select(F.col("district").alias("a_district"), F.col("price").alias("a_price"), F.col("listing_key").alias("a_key")))
-    on = (F.col("district") == F.col("a_district")) & F.col("price").between(F.col("a_price") * (1 - tolerance), F.col("a_price") * (1 + tolerance))
-    found = listings.join(a, on & (F.col("listing_key") != F.col("a_key")))
-    return found.withColumn("gap", F.abs(F.col("price") - F.col("a_price"))).orderBy("gap", "listing_key").limit(limit).drop("a_district", "a_price", "a_key")
+    """Listings of the anchor's district within the price band, nearest in price first; ``anchor`` is one row of the listings.
+
+    Its values are literals of the plan, so other districts and prices are left out before the listings are put together.
+    """
+    a = anchor.select("district", "price", "listing_key").first()
+    if a is None:
+        return listings.limit(0).withColumn("gap", F.lit(0.0))
+    price = F.lit(a.price).cast("double")
+    near = (F.col("district") == F.lit(a.district)) & F.col("price").between(price * (1 - tolerance), price * (1 + tolerance))
+    found = listings.where(near & (F.col("listing_key") != F.lit(a.listing_key)))
+    return found.withColumn("gap", F.abs(F.col("price") - price)).orderBy("gap", "listing_key").limit(limit)
 
 
 def recommended(listings: DataFrame, anchor: DataFrame, limit: int = 5) -> DataFrame:

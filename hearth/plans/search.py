@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hearth.functions import parse
 from hearth.operators import search as ops
 from hearth.operators.search import SearchFilter
-from hearth.sources.adapters import listings, with_listings
+from hearth.sources.adapters import leading_listings, listings, with_listings
 
 SHOWN = ["listing_key", "title", "price", "area", "province", "district"]
 SHOWN_SQL = ", ".join(SHOWN)
@@ -18,8 +18,8 @@ DISTANCE = f"6371000.0 * acos(greatest(-1.0, least(1.0, cos(radians({HERE[0]}))
 ANCHOR = "(SELECT listing_key FROM listings ORDER BY listing_key LIMIT 1)"
 
 
-def anchor(rows):
-    return rows.orderBy("listing_key").limit(1)
+def anchor(spark, sf):
+    return leading_listings(spark, sf).orderBy("listing_key").limit(1)
 
 
 def _suggest_sql(text: str) -> str:
@@ -28,8 +28,7 @@ def _suggest_sql(text: str) -> str:
 
 
 def similar(spark, sf):
-    rows = listings(spark, sf)
-    return ops.similar(rows, anchor(rows)).select(*SHOWN, "gap")
+    return ops.similar(listings(spark, sf), anchor(spark, sf)).select(*SHOWN, "gap")
 
 
 def compare(spark, sf):
@@ -84,7 +83,7 @@ PLANS = {
         with_listings(f"a AS (SELECT * FROM listings WHERE listing_key = {ANCHOR} LIMIT 1) SELECT {', '.join('l.' + c for c in SHOWN)}, abs(l.price - a.price) AS gap FROM listings l JOIN a ON l.district = a.district AND l.price BETWEEN a.price * (1 - 0.2::DOUBLE) AND a.price * (1 + 0.2::DOUBLE) AND l.listing_key <> a.listing_key ORDER BY gap, l.listing_key LIMIT 5"),
     ),
     "recommend": (
-        lambda s, d: (lambda rows: ops.recommended(rows, anchor(rows)))(listings(s, d)).select(*SHOWN),
+        lambda s, d: ops.recommended(listings(s, d), anchor(s, d)).select(*SHOWN),
         with_listings(f"SELECT {SHOWN_SQL} FROM listings WHERE district_id = (SELECT district_id FROM listings WHERE listing_key = {ANCHOR} LIMIT 1) AND listing_key <> {ANCHOR} AND title <> '' AND source IS NOT NULL ORDER BY posted_date DESC, listing_key LIMIT 5"),
     ),
     "filtered_listings": (

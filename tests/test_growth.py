@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from hearth.functions import markup
 from hearth.functions.markup import Field
-from hearth.operators import dedup, stats
+from hearth.operators import dedup, search, stats
+from hearth.plans import registry
+from hearth.sources import adapters
 
 
 def test_markup_reads_references_with_their_semicolon_only():
@@ -45,3 +47,37 @@ def test_copies_of_listings_add_no_links_and_lose_no_duplicate(spark):
     more = data.crossJoin(spark.range(3).select(F.col("id").alias("copy"))).withColumn("listing_key", F.concat("listing_key", F.col("copy").cast("string"))).drop("copy")
     assert dedup.links(profiles(more), dedup.THRESHOLD).count() == dedup.links(profiles(data), dedup.THRESHOLD).count()
     data.unpersist()
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def _plan(rows):
+    return rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_price_band_reaches_the_lines(spark):
+    """The lines are put together once and cut by the anchor's band before the joins (before: twice, in full)."""
+    plan = _plan(registry.QUERIES["similar"](spark, SF))
+    assert plan.count("Relation [l_orderkey") == 1
+    assert "l_extendedprice" in plan.split("Relation [l_orderkey")[0].split("Filter")[-1]
+
+
+def test_leading_listings_pass_over_lines_without_their_sides(spark, tmp_path):
+    """Lines of the least keys that have no part are no listings; where they are all that is looked at, all lines are."""
+    for t in ("supplier", "nation", "region", "orders", "part"):
+        adapters.table(spark, SF, t).write.parquet(f"{tmp_path}/{t}.parquet")
+    lines = adapters.table(spark, SF, "lineitem")
+    least = lines.orderBy(adapters.listing_key()).limit(7)
+    lines.unionByName(least.withColumns({"l_orderkey": F.lit(0).cast("long"), "l_partkey": -F.col("l_partkey")})).write.parquet(f"{tmp_path}/lineitem.parquet")
+    want = [r[0] for r in adapters.listings(spark, SF).select("listing_key").orderBy("listing_key").limit(4).collect()]
+    for sought in (3, 9, 1000):
+        found = adapters.leading_listings(spark, str(tmp_path), 4, sought).select("listing_key").distinct().orderBy("listing_key").limit(4)
+        assert [r[0] for r in found.collect()] == want
+    none = adapters.listings(spark, SF).limit(0)
+    assert search.similar(none, none).count() == 0
+
+
+def test_lines_are_dealt_out_before_names_are_joined(spark):
+    plan = _plan(adapters.listings(spark, SF))
+    assert plan.index("= n_nationkey") < plan.index("= p_partkey") < plan.index("= o_orderkey") < plan.index("= s_suppkey")
