@@ -122,10 +122,12 @@ def similar(listings: DataFrame, anchor: DataFrame, limit: int = 5, tolerance: f
 
 
 def recommended(listings: DataFrame, anchor: DataFrame, limit: int = 5) -> DataFrame:
-    """The newest shown listings of the anchor's district but the anchor; ``anchor`` is one row of the listings."""
-    a = F.broadcast(anchor.limit(1).select(F.col("district_id").alias("a_district"), F.col("listing_key").alias("a_key")))
-    found = listed(listings).join(a, (F.col("district_id") == F.col("a_district")) & (F.col("listing_key") != F.col("a_key")))
-    return found.orderBy(F.col("posted_date").desc(), "listing_key").limit(limit).drop("a_district", "a_key")
+    """The newest shown listings of the anchor's district but the anchor; ``anchor`` is one row of the listings, its values literals of the plan."""
+    a = anchor.select("district_id", "listing_key").first()
+    if a is None:
+        return listings.limit(0)
+    found = listed(listings).where((F.col("district_id") == F.lit(a.district_id)) & (F.col("listing_key") != F.lit(a.listing_key)))
+    return found.orderBy(F.col("posted_date").desc(), "listing_key").limit(limit)
 
 
 def banded(listings: DataFrame, price: float, area: float, bedroom: int, limit: int = 12) -> DataFrame:

@@ -63,6 +63,12 @@ def test_a_price_band_reaches_the_lines(spark):
     assert "l_extendedprice" in plan.split("Relation [l_orderkey")[0].split("Filter")[-1]
 
 
+def test_the_district_of_an_anchor_reaches_the_suppliers(spark):
+    plan = _plan(registry.QUERIES["recommend"](spark, SF))
+    assert plan.count("Relation [l_orderkey") == 1
+    assert "s_nationkey" in plan.split("Relation [s_suppkey")[0].split("Filter")[-1].split("=", 1)[0]
+
+
 def test_leading_listings_pass_over_lines_without_their_sides(spark, tmp_path):
     """Lines of the least keys that have no part are no listings; where they are all that is looked at, all lines are."""
     for t in ("supplier", "nation", "region", "orders", "part"):
@@ -75,7 +81,7 @@ def test_leading_listings_pass_over_lines_without_their_sides(spark, tmp_path):
         found = adapters.leading_listings(spark, str(tmp_path), 4, sought).select("listing_key").distinct().orderBy("listing_key").limit(4)
         assert [r[0] for r in found.collect()] == want
     none = adapters.listings(spark, SF).limit(0)
-    assert search.similar(none, none).count() == 0
+    assert search.similar(none, none).count() == search.recommended(none, none).count() == 0
 
 
 def test_lines_are_dealt_out_before_names_are_joined(spark):
