@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hearth.functions import parse
 from hearth.operators import search as ops
 from hearth.operators.search import SearchFilter
-from hearth.sources.adapters import leading_listings, listings, with_listings
+from hearth.sources.adapters import leading_listings, listing_key, listings, table, with_listings
 
 SHOWN = ["listing_key", "title", "price", "area", "province", "district"]
 SHOWN_SQL = ", ".join(SHOWN)
@@ -32,9 +32,10 @@ def similar(spark, sf):
 
 
 def compare(spark, sf):
-    rows = listings(spark, sf)
-    asked = rows.select("listing_key").distinct().orderBy("listing_key").limit(4)
-    return rows.join(F.broadcast(asked), "listing_key", "left_semi").select(*SHOWN, "bedroom", F.round("price_per_m2", 2).alias("ppm2"))
+    """The asked keys pick the lines, of which the listings are made."""
+    asked = leading_listings(spark, sf, 4).select("listing_key").distinct().orderBy("listing_key").limit(4)
+    lines = table(spark, sf, "lineitem").where(listing_key().isin([r.listing_key for r in asked.collect()]))
+    return listings(spark, sf, lines).select(*SHOWN, "bedroom", F.round("price_per_m2", 2).alias("ppm2"))
 
 
 def texts(rows):

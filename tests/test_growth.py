@@ -69,6 +69,12 @@ def test_the_district_of_an_anchor_reaches_the_suppliers(spark):
     assert "s_nationkey" in plan.split("Relation [s_suppkey")[0].split("Filter")[-1].split("=", 1)[0]
 
 
+def test_compared_keys_reach_the_lines(spark):
+    plan = _plan(registry.QUERIES["id_in_compare"](spark, SF))
+    assert plan.count("Relation [l_orderkey") == 1
+    assert "concat_ws" in plan.split("Relation [l_orderkey")[0].split("Filter")[-1]
+
+
 def test_leading_listings_pass_over_lines_without_their_sides(spark, tmp_path):
     """Lines of the least keys that have no part are no listings; where they are all that is looked at, all lines are."""
     for t in ("supplier", "nation", "region", "orders", "part"):
