@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hearth.functions import markup
 from hearth.functions.markup import Field
 from hearth.operators import dedup, search, stats
+from hearth.plans import dedup as dedup_plans
 from hearth.plans import registry
 from hearth.sources import adapters
 
@@ -93,3 +94,9 @@ def test_leading_listings_pass_over_lines_without_their_sides(spark, tmp_path):
 def test_lines_are_dealt_out_before_names_are_joined(spark):
     plan = _plan(adapters.listings(spark, SF))
     assert plan.index("= n_nationkey") < plan.index("= p_partkey") < plan.index("= o_orderkey") < plan.index("= s_suppkey")
+
+
+def test_exact_duplicates_are_dealt_out_by_bytes(spark):
+    rows = dedup_plans.fingerprinted(spark, SF)
+    assert [t for _, t in rows.dtypes] == ["binary", "string", "int", "timestamp_ntz", "int"]
+    assert "windowspecdefinition(key#" in _plan(registry.QUERIES["dedup_exact"](spark, SF))
