@@ -100,12 +100,16 @@ def temporal_validation(spark, sf):
 
 
 def recrawled(spark, sf):
-    """Listings seen twice, the second time with another price for some: one row an id, the fullest, then the newest."""
-    r = rows(spark, sf).select("id", "price", "bedroom", "bathroom", "processing_timestamp")
-    again = r.where("bedroom is not null").withColumns({"processing_timestamp": F.col("processing_timestamp") + F.expr("interval 2 days"), "price": F.col("price") + 1000})
+    """Listings seen twice, the second time with another price for some: one row an id, the fullest, then the newest.
+
+    Listings are dealt out by the bytes of their id once; the second sighting is made where the first one lies.
+    """
+    r = rows(spark, sf).select(F.unhex("id").alias("key"), "price", "bedroom", "bathroom", "processing_timestamp").repartition("key")
+    seen = F.struct("price", "processing_timestamp")
+    again = F.struct((F.col("price") + 1000).alias("price"), (F.col("processing_timestamp") + F.expr("interval 2 days")).alias("processing_timestamp"))
+    both = r.select("key", "bedroom", "bathroom", F.inline(F.when(F.col("bedroom").isNotNull(), F.array(seen, again)).otherwise(F.array(seen))))
     score = F.col("bedroom").isNotNull().cast("int") + F.col("bathroom").isNotNull().cast("int")
-    both = r.unionByName(again)
-    return dedup.best_of(both, ["id"], score.desc(), F.desc("processing_timestamp"), F.asc("price")).select("id", "price")
+    return dedup.best_of(both, ["key"], score.desc(), F.desc("processing_timestamp"), F.asc("price")).select(F.lower(F.hex("key")).alias("id"), "price")
 
 
 def graded_pairs(spark, sf):

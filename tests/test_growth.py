@@ -100,3 +100,7 @@ def test_exact_duplicates_are_dealt_out_by_bytes(spark):
     rows = dedup_plans.fingerprinted(spark, SF)
     assert [t for _, t in rows.dtypes] == ["binary", "string", "int", "timestamp_ntz", "int"]
     assert "windowspecdefinition(key#" in _plan(registry.QUERIES["dedup_exact"](spark, SF))
+
+
+def test_both_sightings_of_a_listing_come_from_one_row(spark):
+    assert _plan(registry.QUERIES["dedup_recrawled"](spark, SF)).count("Relation [l_orderkey") == 1
