@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions import markup
 from hearth.functions.markup import Field
-from hearth.operators import dedup, search, stats
+from hearth.operators import dedup, models, search, stats
 from hearth.plans import dedup as dedup_plans
 from hearth.plans import registry
 from hearth.sources import adapters
@@ -104,3 +104,12 @@ def test_exact_duplicates_are_dealt_out_by_bytes(spark):
 
 def test_both_sightings_of_a_listing_come_from_one_row(spark):
     assert _plan(registry.QUERIES["dedup_recrawled"](spark, SF)).count("Relation [l_orderkey") == 1
+
+
+def test_training_rows_are_dealt_over_all_cores_in_a_fixed_order(spark):
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("k")).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    parts = models.dealt(rows, 1000, "k").rdd.glom().collect()
+    assert len(parts) == cores and all(parts) and sorted(r.k for p in parts for r in p) == sorted(map(str, range(1000)))
+    assert models.dealt(rows.repartition(3), 1000, "k").rdd.glom().collect() == parts
+    assert models.dealt(rows, cores * models.TASK_ROWS + 1, "k").rdd.getNumPartitions() == 2 * cores
