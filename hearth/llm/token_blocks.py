@@ -28,11 +28,13 @@ makes a larger block; further columns are ignored.
 from __future__ import annotations
 
 import json
+import os
 import struct
 import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +48,7 @@ ship(__name__)
 
 BLOCK_TOKENS = 1 << 21
 LANES = 4096
-CACHED = 400_000
+CACHED = 600_000
 _TOTAL, _ZERO = 24, 18  # bits of the whole distribution and of the order-0 table
 _WHOLE = float((1 << _TOTAL) - (1 << 20))  # the most that ids of orders 1 and 2 share
 _FIRST, _HASH = 2, 1 << 18  # predictions of order 1; places of order 2
@@ -76,6 +78,8 @@ def tokenizer_of(path: str):
     # By-value functions bring their module anew with every task; only an entry in ``sys.modules`` outlives it.
     held = sys.modules.setdefault("_hearth_worker", types.ModuleType("_hearth_worker")).__dict__.setdefault("tokenizers", {})
     if path not in held:
+        # Spark has a worker on every core: the library's own threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         held[path] = Tokenizer.from_file(path)
         held[path].encode_special_tokens = True
     return held[path]
@@ -122,7 +126,8 @@ class Encoder:
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each one's end."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.array([i for x in found for i in x], np.uint32), np.cumsum([len(x) for x in found], dtype=np.int64)
+        ends = np.cumsum([len(x) for x in found], dtype=np.int64)
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1]) if found else 0), ends
 
     def _learn(self, pieces: list[bytes]) -> None:
         """Pieces that begin with a space are encoded many at once: the tokenizer splits between them.
@@ -183,6 +188,15 @@ class Encoder:
         return np.split(self.ids[0][at], stops[which == unique.index(_END)][:-1])
 
 
+def encoder_of(path: str, end_id: int | None) -> Encoder:
+    """The encoder of a file and an end id: one for each worker process, so that pieces that one task has met are known to the next."""
+    tokenizer_of(path)
+    held = vars(sys.modules["_hearth_worker"]).setdefault("encoders", {})
+    if (path, end_id) not in held:
+        held[path, end_id] = Encoder(path, end_id)
+    return held[path, end_id]
+
+
 # ---------------------------------------------------------------- model and coder
 
 
@@ -401,7 +415,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 2, block_tokens:
     """``part, block, n_docs, n_tokens, payload`` in ascending order of ``doc_id`` over (part, block)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_texts, part, block = Encoder(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
+        encode_texts, part, block = encoder_of(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
         held_docs: list = []
         held_ids: list = []
         held = 0

@@ -1,6 +1,7 @@
 """The dealt operators against brute force, round trips and held-out accuracy, with the cases their docstrings define."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -647,3 +648,17 @@ def test_url_model_scores_as_written(spark):
     found = table.limit(3).select("page_id", url_filter.buckets(url_filter.host(F.col("url")), url_filter.path(F.col("url"))).alias("b")).collect()
     for r in found:
         assert got[r.page_id] == pytest.approx(1 / (1 + np.exp(-(model[1] + sum(model[0][b] for b in r.b) / len(r.b)))))
+
+
+def test_a_worker_keeps_its_token_encoder_and_its_pieces():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    kept = token_blocks.encoder_of(path, 2)
+    texts = [" some words that come again\n and again", None, ""]
+    first = kept(texts)
+    known = len(kept.pieces)
+    again = token_blocks.encoder_of(path, 2)
+    assert again is kept and os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    assert all(np.array_equal(a, b) for a, b in zip(first, again(texts), strict=True)) and len(again.pieces) == known
+    assert all(np.array_equal(a, b) for a, b in zip(first, token_blocks.Encoder(path, 2)(texts), strict=True))
+
