@@ -34,7 +34,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +53,7 @@ _TOTAL, _ZERO = 24, 18  # bits of the whole distribution and of the order-0 tabl
 _WHOLE = float((1 << _TOTAL) - (1 << 20))  # the most that ids of orders 1 and 2 share
 _FIRST, _HASH = 2, 1 << 18  # predictions of order 1; places of order 2
 _PRIOR = float(8 << _TOTAL)
+_HIT = float(LANES << _TOTAL + 1)
 _LOW32 = np.uint64(0xFFFFFFFF)
 
 # ---------------------------------------------------------------- tokens
@@ -69,6 +70,12 @@ for _c in (*range(0x21, 0x7F), *range(0xC3, 0xE0)):
         _KINDS[_c] |= _LETTER if chr(_c).isalpha() else _SIGN
 _KINDS[32], _KINDS[10], _KINDS[0xFF] = _SPACE, _LINE, _STOP
 _END = b"\xff"  # in no UTF-8 text
+# Bytes of letters up to U+027F, but for the signs U+00D7 and U+00F7 among them: after at most one space they are one piece of the pattern.
+_LETTERS = np.isin(np.arange(256), [*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", *range(0x80, 0xC0), *range(0xC3, 0xCA)])
+# The characters that stand for bytes in the vocabulary of a byte-level tokenizer.
+_CHARS = np.arange(256, dtype="<u2")
+_HIDDEN = np.r_[0:33, 127:161, 173]
+_CHARS[_HIDDEN] = 256 + np.arange(len(_HIDDEN))
 
 
 def tokenizer_of(path: str):
@@ -96,10 +103,18 @@ class Encoder:
         self.end = np.array([] if end_id is None else [end_id], np.uint32)
         self.splits = self._known_splits()
         if self.splits:
+            from tokenizers import Tokenizer
+            from tokenizers.pre_tokenizers import WhitespaceSplit
+
+            # The same model for words that need no further splitting, in the characters of its vocabulary.
+            self.words = Tokenizer(self.tokenizer.model)
+            self.words.pre_tokenizer = WhitespaceSplit()
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
             self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)
             self.length[list(vocabulary.values())] = list(map(len, vocabulary))
-        self._forget()
+        # Piece 0 is the end of a text.
+        self.pieces: dict[bytes, int] = {_END: 0}
+        self.ids, self.ends, self.met = self.end, np.array([len(self.end)]), np.zeros(1, np.int32)
 
     def _known_splits(self) -> bool:
         rules = json.loads(self.tokenizer.to_str())
@@ -111,41 +126,55 @@ class Encoder:
         )
 
     def _forget(self) -> None:
-        """Piece 0 is the end of a text."""
-        self.pieces: dict[bytes, int] = {_END: 0}
-        self.ids, self.ends = [self.end], [np.array([len(self.end)])]
-        self.held = len(self.end)
-
-    def _add(self, pieces: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
-        n = len(self.pieces)
-        self.pieces.update(zip(pieces, range(n, n + len(pieces)), strict=True))
-        self.ids.append(ids)
-        self.ends.append(ends + self.held)
-        self.held += len(ids)
-
-    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Half of the pieces at least: those that the fewest batches of texts held."""
+        kept = self.met > max(1, np.sort(self.met)[-1 - CACHED // 2 :][0])
+        kept[0] = True
+        sizes = np.diff(self.ends, prepend=0)
+        self.ids, self.ends, self.met = self.ids[np.repeat(kept, sizes)], np.cumsum(sizes[kept]), np.ones(np.count_nonzero(kept), np.int32)
+        self.pieces = {p: n for n, p in enumerate(compress(self.pieces, kept.tolist()))}
+
+    def _library(self, texts: list[str], words: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each one's end."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [e.ids for e in (self.words if words else self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
         ends = np.cumsum([len(x) for x in found], dtype=np.int64)
         return np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1]) if found else 0), ends
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        """Pieces that begin with a space are encoded many at once: the tokenizer splits between them.
-
-        A byte-level token is as long as its bytes are many, which tells where each piece's ids end.
-        """
-        spaced = [p for p in pieces if p[0] == 32 and len(p) > 1 and _KINDS[p[1]] & _SOLID]
-        if spaced:
-            ids, _ = self._library([b"".join(spaced[i : i + 500]).decode("utf-8", "surrogatepass") for i in range(0, len(spaced), 500)])
-            ends, wanted = np.cumsum(self.length[ids]), np.cumsum([len(p) for p in spaced])
-            cuts = np.searchsorted(ends, wanted) + 1
-            if cuts[-1] > len(ids) or not np.array_equal(ends[cuts - 1], wanted):
-                raise ValueError("the tokenizer joins pieces that it was expected to split")
-            self._add(spaced, ids, cuts)
-        known = set(spaced)
-        rest = [p for p in pieces if p not in known]
-        if rest:
-            self._add(rest, *self._library([p.decode("utf-8", "surrogatepass") for p in rest]))
+    def _cut(self, ids: np.ndarray, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where each piece's ids end: a byte-level token is as long as its bytes are many."""
+        ends, wanted = np.cumsum(self.length[ids]), np.cumsum(list(map(len, pieces)))
+        cuts = np.searchsorted(ends, wanted) + 1
+        if cuts[-1] > len(ids) or not np.array_equal(ends[cuts - 1], wanted):
+            raise ValueError("the tokenizer joins pieces that it was expected to split")
+        return ids, cuts
+
+    def _learn(self, pieces: list[bytes]) -> np.ndarray:
+        """Numbers of new pieces.  Words, and pieces that begin with a space, are encoded many at once: the tokenizer splits between them."""
+        body = np.frombuffer(b"".join(pieces), np.uint8)
+        starts = np.cumsum([0, *map(len, pieces[:-1])])
+        other = ~_LETTERS[body]
+        other[1:] |= (body[:-1] == 0xC3) & ((body[1:] == 0x97) | (body[1:] == 0xB7))
+        other[starts] &= body[starts] != 32
+        word = np.logical_or.reduceat(other, starts)
+        np.logical_not(word, out=word)
+        spaced = np.fromiter((p[0] == 32 and len(p) > 1 and _KINDS[p[1]] & _SOLID for p in pieces), bool, len(pieces)) & ~word
+        numbers = np.empty(len(pieces), np.int64)
+        for chosen in (word, spaced, ~(word | spaced)):
+            some = list(compress(pieces, chosen.tolist()))
+            if not some:
+                continue
+            groups = [some[i : i + 500] for i in range(0, len(some), 500)]
+            if chosen is word:
+                ids, ends = self._cut(self._library([_in_characters(g) for g in groups], True)[0], some)
+            elif chosen is spaced:
+                ids, ends = self._cut(self._library([b"".join(g).decode("utf-8", "surrogatepass") for g in groups])[0], some)
+            else:
+                ids, ends = self._library([p.decode("utf-8", "surrogatepass") for p in some])
+            n = len(self.pieces)
+            numbers[chosen] = np.arange(n, n + len(some))
+            self.pieces.update(zip(some, range(n, n + len(some)), strict=True))
+            self.ids, self.ends = np.concatenate([self.ids, ids]), np.concatenate([self.ends, ends + len(self.ids)])
+        self.met = np.concatenate([self.met, np.zeros(len(pieces), np.int32)])
+        return numbers
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         ids, ends = self._library(texts)
@@ -172,20 +201,24 @@ class Encoder:
         unique = [held[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
         if len(self.pieces) > CACHED:
             self._forget()
-        number = list(map(self.pieces.get, unique))
-        if None in number:
-            self._learn([p for p, n in zip(unique, number, strict=True) if n is None])
-            self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
-            number = list(map(self.pieces.get, unique))
-        number = np.array(number, np.int64)
-        ends = self.ends[0]
-        begin = np.r_[0, ends[:-1]][number]
-        size = ends[number] - begin
+        number = np.fromiter(map(self.pieces.get, unique, repeat(-1)), np.int64, len(unique))
+        new = number < 0
+        if new.any():
+            number[new] = self._learn(list(compress(unique, new.tolist())))
+        self.met[number] += 1
+        begin = np.r_[0, self.ends[:-1]][number]
+        size = self.ends[number] - begin
         n = size[which]
         stops = np.cumsum(n)
         at = np.arange(int(stops[-1]))
         at += np.repeat(begin[which] - (stops - n), n)
-        return np.split(self.ids[0][at], stops[which == unique.index(_END)][:-1])
+        return np.split(self.ids[at], stops[which == unique.index(_END)][:-1])
+
+
+def _in_characters(words: list[bytes]) -> str:
+    """One word a line, each byte as its character in the vocabulary."""
+    body = np.frombuffer(b"\n".join(words), np.uint8)
+    return np.where(body == 10, np.uint16(10), _CHARS[body]).astype("<u2").tobytes().decode("utf-16-le")
 
 
 def encoder_of(path: str, end_id: int | None) -> Encoder:
@@ -200,6 +233,19 @@ def encoder_of(path: str, end_id: int | None) -> Encoder:
 # ---------------------------------------------------------------- model and coder
 
 
+def _mask(chosen: np.ndarray, kind: type) -> np.ndarray:
+    """All bits where chosen, else none."""
+    mask = chosen.astype(kind)
+    return np.negative(mask, out=mask)
+
+
+def _put(into: np.ndarray, values: np.ndarray, mask: np.ndarray) -> None:
+    """Values of the mask's places.  Bits are faster than a condition for each lane, whose outcome no processor foresees."""
+    values = into ^ values
+    values &= mask
+    into ^= values
+
+
 class _Model:
     """Weighted predictions of the next symbol of every lane; taught with the symbols of all lanes at once.
 
@@ -214,7 +260,7 @@ class _Model:
         self.count = np.ones(symbols, np.int64)
         self.two, self.one = np.zeros(_HASH, np.int32), np.zeros((_FIRST, symbols), np.int32)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.rank = np.arange(1 + _FIRST, dtype=np.int32)[:, None] * 16
+        self.t, self.rank = np.zeros((1 + _FIRST, lanes), np.int32), np.arange(1 + _FIRST, dtype=np.int32)[:, None] * 16
         self.weight = np.full((1 + _FIRST) * 16, 0.05)
         self.weight[:16] += np.arange(16) * 0.2
         self.waiting: list[np.ndarray] = []
@@ -229,21 +275,27 @@ class _Model:
         self.cum = np.zeros(self.n + 1, np.int64)
         np.cumsum(freq, out=self.cum[1:])
         if self.inverse:
-            self.slot = np.repeat(np.arange(self.n, dtype=np.int32), freq)
+            self.slot = np.repeat(np.arange(self.n, dtype=np.uint16 if self.n <= 1 << 16 else np.int32), freq)
 
     def predict(self) -> None:
         if self.step < 16 or self.step % 8 == 0:
             self._refresh()
         self.h = (self.last * 40503 + self.before * 12289) & (_HASH - 1)
-        self.t = np.stack([self.two.take(self.h), *(one.take(self.last) for one in self.one)])
-        self.id = self.t >> 4
-        self.cell = (self.t & 15) + self.rank
+        self.two.take(self.h, out=self.t[0], mode="clip")
+        for one, t in zip(self.one, self.t[1:], strict=True):
+            one.take(self.last, out=t, mode="clip")
+        self.id, self.c = self.t >> 4, self.t & 15
+        self.cell = (self.c + self.rank).astype(np.int64)
         w = self.weight.take(self.cell)
         for k in range(1, 1 + _FIRST):  # one id, one share: order 1 adds its weight where order 2 says the same
-            moved = w[k] * (self.id[k] == self.id[0])
+            moved = w[k] * (self.id[k] == self.id[0]).astype(np.float64)
             w[0] += moved
             w[k] -= moved
-        w *= _WHOLE / (w.sum(axis=0) + 1.0)
+        whole = w[0] + w[1]
+        for k in range(2, 1 + _FIRST):
+            whole += w[k]
+        whole += 1.0
+        w *= np.divide(_WHOLE, whole, out=whole)
         np.floor(w, out=w)
         self.given, self.share = w, w.astype(np.int64)
         self.ends = [self.share[0]]
@@ -256,10 +308,11 @@ class _Model:
         low, high = self.cum.take(s), self.cum.take(s + 1)
         low = self.ends[-1] + (low * self.rest >> _ZERO)
         size = self.ends[-1] + (high * self.rest >> _ZERO) - low
-        self.hit = (self.id == s) & (self.share > 0)
-        for end, share, hit in zip(self.ends, self.share, self.hit, strict=True):
-            np.copyto(low, end - share, where=hit)
-            np.copyto(size, share, where=hit)
+        self.right = self.id == s.astype(np.int32)
+        self.hit = self.right & (self.share > 0)
+        for begin, share, mask in zip((np.int64(0), *self.ends[:-1]), self.share, _mask(self.hit, np.int64), strict=True):
+            _put(low, begin, mask)
+            _put(size, share, mask)
         return low, size
 
     def symbol(self, t: np.ndarray) -> np.ndarray:
@@ -267,23 +320,29 @@ class _Model:
         u = np.maximum(t - self.ends[-1], 0)
         s = self.slot.take((((u + 1 << _ZERO) - 1) / self.rest).astype(np.int64)).astype(np.int64)
         for end, id_ in zip(self.ends[::-1], self.id[::-1], strict=True):
-            np.copyto(s, id_, where=t < end)
+            _put(s, id_.astype(np.int64), _mask(t < end, np.int64))
         return s
 
     def teach(self, s: np.ndarray) -> None:
-        cells, m = self.cell.reshape(-1), len(self.weight)
-        came = np.bincount(cells.take(np.flatnonzero(self.hit)), minlength=m) * float(1 << _TOTAL)
-        given = np.bincount(cells, weights=self.given.reshape(-1), minlength=m)
+        # Hits and shares in one sum: whole numbers, exact in doubles, as the shares of all lanes are below _HIT.
+        both = self.hit.astype(np.float64)
+        both *= _HIT
+        both += self.given
+        both = np.bincount(self.cell.reshape(-1), weights=both.reshape(-1), minlength=len(self.weight))
+        came = np.floor(both / _HIT)
+        given = both - came * _HIT
+        came *= float(1 << _TOTAL)
         self.weight *= (came + given + _PRIOR) / (2.0 * given + _PRIOR)
         self.waiting.append(s)
-        fresh = (s << 4).astype(np.int32)
+        fresh = s.astype(np.int32) << 4
         # A right prediction gains confidence; the last one of its order ages by a miss, then gives way to the id that came.
-        right = self.id == s
-        c = self.t & 15
-        up = self.t + (right & (c < 15))
-        missed = ~np.logical_or.reduce(right[1:])
-        for k, wrong in ((0, ~right[0]), (-1, missed)):
-            np.copyto(up[k], np.where(c[k] > 1, self.t[k] - c[k] + (c[k] >> 1), fresh), where=wrong)
+        right, c = self.right, self.c
+        up = (right & (c < 15)).astype(np.int32)
+        up += self.t
+        for k, wrong in ((0, ~right[0]), (-1, ~np.logical_or.reduce(right[1:]))):
+            new = self.t[k] - c[k] + (c[k] >> 1)
+            _put(new, fresh, _mask(c[k] <= 1, np.int32))
+            _put(up[k], new, _mask(wrong, np.int32))
         self.two[self.h] = up[0]
         for k in range(len(up) - 1, 1, -1):  # the surer one first
             rises = np.flatnonzero((up[k] & 15) > (up[k - 1] & 15))
@@ -353,7 +412,7 @@ def decode_symbols(n: int, counts: np.ndarray, words: np.ndarray, alphabet: int)
     code |= word(slice(None))
     model = _Model(alphabet, lanes, True)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out = np.empty((steps, lanes), np.int64)
+    out = np.empty((steps, lanes), np.int32)
     top = np.int64((1 << _TOTAL) - 1)
     for k in range(steps):
         model.predict()

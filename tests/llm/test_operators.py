@@ -662,3 +662,38 @@ def test_a_worker_keeps_its_token_encoder_and_its_pieces():
     assert all(np.array_equal(a, b) for a, b in zip(first, again(texts), strict=True)) and len(again.pieces) == known
     assert all(np.array_equal(a, b) for a, b in zip(first, token_blocks.Encoder(path, 2)(texts), strict=True))
 
+
+def test_plain_words_are_not_split_again_and_equal_the_library(monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    split, library = [], token_blocks.Encoder._library
+    monkeypatch.setattr(token_blocks.Encoder, "_library", lambda self, texts, *words: (split.extend([] if any(words) else texts), library(self, texts, *words))[1])
+    letters = "".join(map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x280)]))
+    rng = random.Random(3)
+    some = lambda alphabet: "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 9)))
+    plain = [some(letters.replace("\u00d7", "").replace("\u00f7", "")) for _ in range(3000)]
+    mixed = [some(letters[:60] + "\u00d7\u00f7'12.,\u0301\u03b1\u00a0\u0085\u4e2d\t\n ") for _ in range(3000)]
+    texts = [" ".join(plain[:2000]), "\n".join(plain[2000:]), " ".join(mixed[:2000]), "\n".join(mixed[2000:]), "\u00d7a \u00f7", "a\u00d7b c\u00f7d e\u00d7", "", None]
+    made = token_blocks.Encoder(path)
+    got = made(texts[:2])
+    assert not "".join(split).strip()
+    got += made(texts[2:])
+    assert "".join(split).strip()
+    whole = token_blocks.tokenizer_of(path)
+    assert [x.tolist() for x in got] == [[*whole.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_pieces_that_come_often_are_not_forgotten(monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(token_blocks, "CACHED", 60)
+    learned, learn = [], token_blocks.Encoder._learn
+    monkeypatch.setattr(token_blocks.Encoder, "_learn", lambda self, pieces: (learned.extend(pieces), learn(self, pieces))[1])
+    made, whole = token_blocks.Encoder(path), token_blocks.tokenizer_of(path)
+    for k in range(12):
+        texts = [" some words that come often", None, " ".join(f"rare{k}x{i}, of{k}'s" for i in range(20))]
+        assert [x.tolist() for x in made(texts)] == [[*whole.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+        assert len(made.pieces) <= 60 + 45
+    assert learned.count(b" often") == 1
+    made._forget()
+    assert b" often" in made.pieces and len(made.pieces) <= 31 and b" rare11x3" not in made.pieces
