@@ -9,6 +9,8 @@ import re
 import tempfile
 import uuid
 import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +37,28 @@ def work_path(spark: SparkSession) -> str:
     return f"{named or tempfile.mkdtemp()}/hearth-stream-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Frames made and run inside leave no shuffle files behind once their action ends.
+
+    By themselves those files stay on the executors' disks until the driver happens to collect garbage.
+    """
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def stored(rows: DataFrame) -> DataFrame:
     """The rows written once to a new folder and read back, for what reads them more than once: the joins that make them run once."""
     path = f"{work_path(rows.sparkSession)}/rows"
-    rows.write.parquet(path)
+    with released(rows.sparkSession):
+        rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

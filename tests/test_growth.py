@@ -1,6 +1,7 @@
 """What must hold on larger and odder tables: references cut off in pages, sums beyond 2^53, copies of listings."""
 
 import random
+import time
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from hearth.functions.markup import Field
 from hearth.operators import dedup, models, search, stats
 from hearth.plans import dedup as dedup_plans
 from hearth.plans import registry
-from hearth.sources import adapters
+from hearth.sources import adapters, tables
 
 
 def test_markup_reads_references_with_their_semicolon_only():
@@ -50,6 +51,58 @@ def test_copies_of_listings_add_no_links_and_lose_no_duplicate(spark):
     data.unpersist()
 
 
+def test_the_sides_of_a_words_join_are_dealt_out_once(spark):
+    """Each listing is filed under its first words only, and both sides read one exchange."""
+    rows = dedup_plans.scored(spark, "/root/testdata/sf0.01")
+    placed = rows.select("listing_key", "price", "area", "bedroom", dedup.loose_key().alias("block"), dedup.address().alias("address"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = dedup.filed_pairs(placed, ["listing_key", "price", "area", "bedroom"], dedup.THRESHOLD)
+        pairs = parts[0].select("x.listing_key", F.col("y.listing_key").alias("peer"), "x.address", F.col("y.address").alias("other"), "x.price", F.col("y.price").alias("p2"), "x.area", F.col("y.area").alias("a2"))
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan.split("Generate")[-1] or plan.count("Generate explode") == 1
+
+
+def test_a_place_is_searched_for_contained_addresses_once_for_each_address(spark):
+    rows = [("p", "ba dinh ha noi"), ("p", "12 ba dinh ha noi"), ("p", "ha noi"), ("q", "3 ba dinh ha noi"), ("p", "a dinh ha n")]
+    data = spark.createDataFrame(rows * 50, "place string, address string")
+    got = {tuple(r) for r in dedup.contained(data).collect()}
+    assert got == {("p", a, b) for x, a in rows for y, b in rows if x == y == "p" and a != b and a in b} and dedup.contained(data).count() == len(got)
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    made = tables.stored(spark.range(1000).repartition(7, "id"))
+    until = time.monotonic() + 20
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert files() <= before and made.count() == 1000
+
+
+def test_only_the_best_of_copies_is_looked_at_again(spark, monkeypatch):
+    """Copies that are alike enough without their spots are not dealt out: what may stay has one row of them."""
+    rows = [(f"k{i:03}", "p", "d", "w", "lo duc", 2e9, 50.0, 2, 10.0 + i, 106.0, i % 7, datetime(2024, 1, 1)) for i in range(70)]
+    rows += [("m1", None, None, None, None, 2e9, 50.0, 2, 10.0, 106.0, 1, datetime(2024, 1, 1)), ("m2", "p", "d", "w", "cau giay", 2e9, 90.0, None, 10.0, 107.0, 1, None)]
+    written = []
+    keep = tables.stored
+    monkeypatch.setattr(tables, "stored", lambda rows: written.append(keep(rows)) or written[-1])
+    data = spark.createDataFrame(rows, LISTING)
+    got = dedup.without_fuzzy(data, keep=["score", "listing_key"])
+    assert {tuple(r) for r in got.collect()} == {(6, "k006"), (1, "m1"), (1, "m2")} and got.columns == ["score", "listing_key"]
+    assert all(len(w.columns) <= 14 for w in written)
+    spots = [w for w in written if "beat" in w.columns and "latitude" in w.columns]
+    assert len(spots) == 1 and spots[0].count() == 1  # before: rows of all spots were joined
+
+
 SF = "/root/testdata/sf0.001"
 
 
