@@ -10,13 +10,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# What a listing's key, and so its id, is made of; equal keys have equal numbers.
+NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
 def listing_key() -> Column:
     """The key of a line's listing."""
-    return F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")])
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in NUMBERS])
+
 
+def listings(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None, numbered: bool = False) -> DataFrame:
+    """One listing for each order line (or each of ``lines``), with its ``NUMBERS`` where asked; dimension sides are small and left to Catalyst's broadcast choice.
 
-def listings(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    """One listing for each order line (or each of ``lines``); dimension sides are small and left to Catalyst's broadcast choice.
+    Grouped by the numbers, in place of the id made of them, listings stay where the joins by order or part have dealt them.
 
     The large joins come before those that bring names, and that of the suppliers, which a filter on districts reaches, first: lines are
     dealt out by order and by part as narrow as they are.
@@ -34,6 +40,7 @@ def listings(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -
     key = listing_key()
     size = F.col("p_size")
     return joined.select(
+        *NUMBERS if numbered else [],
         F.md5(key).alias("id"),
         key.alias("listing_key"),
         F.when(F.col("l_returnflag") == "R", "src_b").otherwise("src_a").alias("source"),

@@ -166,3 +166,22 @@ def test_training_rows_are_dealt_over_all_cores_in_a_fixed_order(spark):
     assert len(parts) == cores and all(parts) and sorted(r.k for p in parts for r in p) == sorted(map(str, range(1000)))
     assert models.dealt(rows.repartition(3), 1000, "k").rdd.glom().collect() == parts
     assert models.dealt(rows, cores * models.TASK_ROWS + 1, "k").rdd.getNumPartitions() == 2 * cores
+
+
+def test_sides_are_stored_once_and_listings_grouped_where_the_joins_dealt_them(spark, monkeypatch):
+    """One row of an id in both sides together, ids as bytes; the choice among lines of one key needs no exchange of its own."""
+    seen = []
+    monkeypatch.setattr(dedup_plans, "stored", lambda rows: seen.append(rows) or rows)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5k")
+    try:
+        new, old = dedup_plans.sides(spark, SF)
+        plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(seen) == 1 and dict(new.dtypes)["id"] == dict(old.dtypes)["id"] == "binary"
+    assert "hashpartitioning(id" not in plan and "hashpartitioning(l_orderkey#" in plan and ", l_linenumber#" not in "".join(x for x in plan.split("\n") if "hashpartitioning" in x)
+    both = new.unionByName(old)
+    assert both.count() == both.select("id").distinct().count() == adapters.listings(spark, SF).select("id").distinct().count()
