@@ -12,9 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.sources import paths
+from hearth.sources import paths, tables
 
 BUCKETS = 64
+# Whether a join deals out anew what is dealt out by some of its keys.
+BY_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def _bucket(keys: list[str], buckets: int) -> Column:
@@ -25,14 +27,19 @@ def _folder(path: str, buckets: int) -> str:
     return f"{path}/of={buckets}"
 
 
-def _write(rows: DataFrame, path: str, keys: list[str], buckets: int, mode: str) -> None:
-    laid = rows.withColumn("bucket", _bucket(keys, buckets)).repartition("bucket")
-    laid.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(_folder(path, buckets))
+def _laid(rows: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """The rows dealt out by their ``bucket``, to as many tasks."""
+    return rows.withColumn("bucket", _bucket(keys, buckets)).repartition(buckets, "bucket")
+
+
+def _write(laid: DataFrame, path: str, buckets: int, mode: str) -> None:
+    with tables.released(laid.sparkSession):
+        laid.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(_folder(path, buckets))
 
 
 def create(rows: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS) -> None:
     """Write a new table; rows have no column ``bucket`` or ``of``."""
-    _write(rows, path, keys, buckets, "errorifexists")
+    _write(_laid(rows, keys, buckets), path, buckets, "errorifexists")
 
 
 def read(spark: SparkSession, path: str, buckets: int = BUCKETS) -> DataFrame:
@@ -48,7 +55,7 @@ def merge_into(spark: SparkSession, path: str, staged: DataFrame, keys: list[str
     """Load ``staged`` (one row of a key): new keys are inserted, known ones updated where ``better("s", "t")`` says so, always by default.
 
     Returns how many rows of the buckets read were inserted, updated, skipped and kept, counted by the job that writes them.
-    Null keys equal each other.
+    Null keys equal each other.  Both sides are dealt out by bucket, once: so joined, rows lie as they are written.
     """
     from pyspark.sql import Observation
 
@@ -57,16 +64,21 @@ def merge_into(spark: SparkSession, path: str, staged: DataFrame, keys: list[str
         return dict.fromkeys(("inserted", "updated", "skipped", "kept"), 0)
     stored = spark.read.parquet(_folder(path, buckets)).where(F.col("bucket").isin(touched)).drop("bucket")
     columns = stored.columns
-    t = stored.select(F.struct(*columns).alias("t"), *[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)])
-    s = staged.select(F.struct(*columns).alias("s"), *[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)])
-    on = [F.col(f"_t{i}").eqNullSafe(F.col(f"_s{i}")) for i in range(len(keys))]
+    t = _laid(stored, keys, buckets).select(F.struct(*columns).alias("t"), F.col("bucket").alias("_t"), *[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)])
+    s = _laid(staged, keys, buckets).select(F.struct(*columns).alias("s"), F.col("bucket").alias("_s"), *[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)])
+    on = [F.col("_t") == F.col("_s"), *[F.col(f"_t{i}").eqNullSafe(F.col(f"_s{i}")) for i in range(len(keys))]]
     wins = F.lit(True) if better is None else F.coalesce(better("s", "t"), F.lit(False))
     action = F.when(F.col("t").isNull(), "inserted").when(F.col("s").isNull(), "kept").when(wins, "updated").otherwise("skipped")
     seen = Observation()
     decided = t.join(s, on, "full").withColumn("action", action)
     counted = decided.observe(seen, *[F.count(F.when(F.col("action") == a, 1)).alias(a) for a in ("inserted", "updated", "skipped", "kept")])
-    rows = counted.select(F.when(F.col("action").isin("inserted", "updated"), F.col("s")).otherwise(F.col("t")).alias("r")).select("r.*")
-    _write(rows, path, keys, buckets, "overwrite")
+    row = F.when(F.col("action").isin("inserted", "updated"), F.col("s")).otherwise(F.col("t"))
+    before = spark.conf.get(BY_ALL_KEYS)
+    spark.conf.set(BY_ALL_KEYS, "false")
+    try:
+        _write(counted.select(row.alias("r"), F.coalesce("_t", "_s").alias("bucket")).select("r.*", "bucket"), path, buckets, "overwrite")
+    finally:
+        spark.conf.set(BY_ALL_KEYS, before)
     return dict(seen.get)
 
 

@@ -11,7 +11,7 @@ from hearth.functions.markup import Field
 from hearth.operators import dedup, models, search, stats
 from hearth.plans import dedup as dedup_plans
 from hearth.plans import registry
-from hearth.sources import adapters, tables
+from hearth.sources import adapters, buckets, tables
 
 
 def test_markup_reads_references_with_their_semicolon_only():
@@ -185,3 +185,21 @@ def test_sides_are_stored_once_and_listings_grouped_where_the_joins_dealt_them(s
     assert "hashpartitioning(id" not in plan and "hashpartitioning(l_orderkey#" in plan and ", l_linenumber#" not in "".join(x for x in plan.split("\n") if "hashpartitioning" in x)
     both = new.unionByName(old)
     assert both.count() == both.select("id").distinct().count() == adapters.listings(spark, SF).select("id").distinct().count()
+
+
+def test_a_load_deals_out_each_side_once(spark, tmp_path, monkeypatch):
+    """Old and new rows meet by bucket, as they are written, and no shuffle files stay."""
+    path = f"{tmp_path}/t"
+    buckets.create(spark.range(300).select("id", F.lit(1).alias("v")), path, ["id"], 8)
+    plans = []
+    write = buckets._write
+    monkeypatch.setattr(buckets, "_write", lambda rows, *a: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or write(rows, *a))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = buckets.merge_into(spark, path, spark.range(200, 500).select("id", F.lit(2).alias("v")), ["id"], buckets=8)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert counts == {"inserted": 200, "updated": 100, "skipped": 0, "kept": 200}
+    assert plans[0].count("Exchange") == 2 and len(buckets.files(spark, path, 8)) == 8
+    assert {tuple(r) for r in buckets.read(spark, path, 8).groupBy("v").count().collect()} == {(1, 200), (2, 300)}
+    assert spark.conf.get(buckets.BY_ALL_KEYS) == "true"
