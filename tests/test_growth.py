@@ -203,3 +203,8 @@ def test_a_load_deals_out_each_side_once(spark, tmp_path, monkeypatch):
     assert plans[0].count("Exchange") == 2 and len(buckets.files(spark, path, 8)) == 8
     assert {tuple(r) for r in buckets.read(spark, path, 8).groupBy("v").count().collect()} == {(1, 200), (2, 300)}
     assert spark.conf.get(buckets.BY_ALL_KEYS) == "true"
+
+
+def test_the_counts_of_a_forest_leave_room_on_an_executor(spark):
+    """Four tasks of 1 GB each filled an executor (before)."""
+    assert 4 * models.forest(["x"]).getStages()[-1].getMaxMemoryInMB() <= 1024
